@@ -22,12 +22,12 @@ def _long_counts_by(df: DataFrame, cols: list[str], predicate_of_name) -> DataFr
     aggs += [F.count_if(predicate_of_name(c)).alias(f"__n{i}") for i, c in enumerate(cols)]
     one = df.agg(*aggs)
     pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', `__n{i}`" for i, c in enumerate(cols))
-    return one.selectExpr("__total", f"stack({len(cols)}, {pairs}) AS (column, n)")
+    return one.selectExpr("__total", f"stack({len(cols)}, {pairs}) AS (column_name, n)")
 
 
 def missing_profile(df: DataFrame, cols: list[str] | None = None, blank_counts: bool = True,
                     high: float = 20.0, low: float = 5.0) -> DataFrame:
-    """(column, n, pct, flag): rows missing per column, percent of all rows
+    """(column_name, n, pct, flag): rows missing per column, percent of all rows
     rounded to 2, and a two-level flag (> ``high`` -> 'high', > ``low`` ->
     'medium').  ``blank_counts`` counts blank text as missing (F5); else only
     NULL (F6).  A zero-row input gives NULL pct."""
@@ -40,12 +40,12 @@ def missing_profile(df: DataFrame, cols: list[str] | None = None, blank_counts:
 
     long = _long_counts_by(df, cols, missing)
     p = pct(F.col("n"), F.col("__total"))
-    return long.select("column", F.col("n").cast("long").alias("n"), p.alias("pct"),
+    return long.select("column_name", F.col("n").cast("long").alias("n"), p.alias("pct"),
                        threshold_label(p, high, low).alias("flag"))
 
 
 def residual_nulls(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(column, n) for columns that still hold NULLs; empty when clean  (A7)."""
+    """(column_name, n) for columns that still hold NULLs; empty when clean  (A7)."""
     cols = cols or df.columns
     long = _long_counts(df, cols, lambda c: c.isNull())
-    return long.where(F.col("n") > 0).select("column", F.col("n").cast("long").alias("n"))
+    return long.where(F.col("n") > 0).select("column_name", F.col("n").cast("long").alias("n"))

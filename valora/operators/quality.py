@@ -55,26 +55,26 @@ def audit_checks(key: str = "numero_dpe", label_cols=("etiquette_dpe", "etiquett
 
 def check_counts(df: DataFrame, checks: list[Check], dup_key: str | None = None,
                  dup_check_name: str | None = None, include_info: bool = False) -> DataFrame:
-    """(check, n) for every check, zero counts included.  Row checks in one
+    """(check_name, n) for every check, zero counts included.  Row checks in one
     ``agg``; the duplicate-key count (distinct non-null keys seen more than
     once) in one grouped aggregation."""
     use = [c for c in checks if c.logged or include_info]
     aggs = [F.count_if(c.predicate).alias(f"__c{i}") for i, c in enumerate(use)]
     one = df.agg(*aggs)
     pairs = ", ".join(f"'{c.name}', `__c{i}`" for i, c in enumerate(use))
-    long = one.selectExpr(f"stack({len(use)}, {pairs}) AS (check, n)")
+    long = one.selectExpr(f"stack({len(use)}, {pairs}) AS (check_name, n)")
     if dup_key:
         dups = duplicate_key_count(df, dup_key).select(
-            F.lit(dup_check_name or f"dup_{dup_key}").alias("check"), F.col("n_dup_keys").alias("n"))
+            F.lit(dup_check_name or f"dup_{dup_key}").alias("check_name"), F.col("n_dup_keys").alias("n"))
         long = long.unionByName(dups)
-    return long.select("check", F.col("n").cast("long").alias("n"))
+    return long.select("check_name", F.col("n").cast("long").alias("n"))
 
 
 def qc_report(df: DataFrame, checks: list[Check], dup_key: str | None = None,
               dup_check_name: str | None = None) -> DataFrame:
     """Logged checks with a non-zero count, largest first  (C9, O2)."""
     return (check_counts(df, checks, dup_key, dup_check_name)
-            .where(F.col("n") > 0).orderBy(F.desc("n"), F.asc("check")))
+            .where(F.col("n") > 0).orderBy(F.desc("n"), F.asc("check_name")))
 
 
 def qc_totals(report: DataFrame) -> DataFrame:
