@@ -31,11 +31,22 @@ def try_double(c) -> Column:
     return F.when(c.rlike(NUMBER_TEXT), cleaned.try_cast("double"))
 
 
+# Unsigned hexadecimal / binary integer text ('0x1f', '0b101', digits may be
+# grouped by underscores), which the reference's integer cast also accepts.
+HEX_TEXT = r"^0[xX][0-9a-fA-F]+(?:_[0-9a-fA-F]+)*$"
+BIN_TEXT = r"^0[bB][01]+(?:_[01]+)*$"
+
+
 def try_int_rounded(c) -> Column:
     """TRY_CAST(c AS INTEGER) as the reference does it: the text is read as a
-    number and rounded half away from zero ('1.5' -> 2, '1e2' -> 100); out of
-    range, NaN or unparsable -> NULL  (X9)."""
-    r = F.round(try_double(c))
+    number and rounded half away from zero ('1.5' -> 2, '1e2' -> 100), or as
+    unsigned hex / binary ('0x10' -> 16); out of range, NaN or unparsable ->
+    NULL  (X9)."""
+    c = as_col(c).cast("string")
+    digits = F.regexp_replace(F.substring(c, 3, 1 << 20), "_", "")
+    based = (F.when(c.rlike(HEX_TEXT), F.conv(digits, 16, 10))
+             .when(c.rlike(BIN_TEXT), F.conv(digits, 2, 10))).try_cast("decimal(38,0)")
+    r = F.coalesce(based, F.round(try_double(c)).try_cast("decimal(38,0)"))
     return F.when(r.between(_INT_MIN, _INT_MAX), r.try_cast("int"))
 
 
@@ -69,3 +80,29 @@ def exact_money_sum(c) -> Column:
     """Sum of money amounts done in DECIMAL(18,2) and returned as DOUBLE so the
     result does not depend on the order rows are added in."""
     return F.sum(as_col(c).cast("decimal(18,2)")).cast("double")
+
+
+def _split(a: Column) -> tuple[Column, Column]:
+    # Veltkamp split: a = hi + lo with each half fitting 26 bits
+    c = F.lit(134217729.0) * a
+    hi = c - (c - a)
+    return hi, a - hi
+
+
+def fused_multiply_add(a, b, c) -> Column:
+    """a * b + c with a single rounding (FMA), from double operations only:
+    the product is made exact as p + e (Dekker's two-product), p + c is
+    summed exactly as s + t (two-sum), and s + (t + e) rounded once more.
+    Used where the reference engine's compiled arithmetic fuses the multiply
+    and add (its continuous quantiles), so results agree bit for bit."""
+    a, b, c = as_col(a), as_col(b), as_col(c)
+    p = a * b
+    ah, al = _split(a)
+    bh, bl = _split(b)
+    e = ((ah * bh - p) + ah * bl + al * bh) + al * bl
+    s = p + c
+    bb = s - p
+    t = (p - (s - bb)) + (c - bb)
+    exact = s + (t + e)
+    # fall back to the plain expression where the split overflows
+    return F.when(F.abs(a) < F.lit(1e290), exact).otherwise(p + c)
