@@ -8,7 +8,7 @@ from valora.functions import (
     try_double, try_int_rounded, upper_trim, with_default, year_in,
 )
 
-NBSP = " "
+NBSP = "\u00a0"
 TEXTS = ["1 234,5", f"1{NBSP}234,5", "", "n/a", "nan", "NaN", "inf", "-Infinity", "12f", "1d", "1_000",
          " 1.5 ", "1.", ".5", "+3", "1e5", "1E-2", "0x10", "abc", "1,5", "-0.0", "12.345", "1__0", "_1",
          "2.5", "-1.5", "0.5", "1e2", "99999999999", "\t7\t", None]

@@ -47,8 +47,16 @@ SALES_RAW_PIPE_COLUMNS = [
 ]
 
 
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(),
+          "date": T.DateType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+
+
+def data_type(name: str) -> T.DataType:
+    return _TYPES[name]
+
+
 def struct(cols: list[tuple[str, str]]) -> T.StructType:
-    return T.StructType([T.StructField(n, T._parse_datatype_string(t), True) for n, t in cols])
+    return T.StructType([T.StructField(n, data_type(t), True) for n, t in cols])
 
 
 def all_text(cols: list[str]) -> T.StructType:

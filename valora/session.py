@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A pruned CSV scan only validates the columns a query reads, so the
+    # same file would yield different good/reject splits per query; parse
+    # whole rows so bad-row handling does not depend on the projection.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from valora.schemas import data_type
+
 CORRUPT = "_corrupt_record"
 
 
@@ -50,26 +52,50 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
                    partitions: int | None = None, encoding: str = "UTF-8") -> DataFrame | tuple[DataFrame, DataFrame]:
     """One delimited read with a declared schema  (S2, S3, S4, S6).
 
-    ``schema=None`` with ``all_text`` reads every header column as STRING
-    (the reference's ``all_varchar``).  Rows that do not fit the schema
-    (field count, failed cast) go to the reject frame; with
+    ``schema=None`` reads every header column as STRING (the reference's
+    ``all_varchar``; ``all_text`` says so explicitly).  A row is rejected
+    when its field count does not match the header or when a non-empty
+    field does not cast to its declared type.  Fields are read as text and
+    cast with ``try_cast`` in the plan, so the reject test names every typed
+    column and gives the same split whichever columns a later query reads
+    (a pruned CSV scan would skip conversion of unread columns).  With
     ``keep_rejects=False`` only the good rows are returned.  ``partitions``
-    repartitions after the scan (use it for gzip input)."""
+    repartitions after the scan (use it for gzip input, which is one split
+    per file)."""
     if isinstance(paths, str):
         paths = [paths]
-    if schema is None:
-        names = header_of(spark, paths[0], sep)
+    if schema is None or all_text:
+        names = schema.fieldNames() if schema is not None else list(header_of(spark, paths[0], sep))
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    full = _with_corrupt(schema)
-    df = (spark.read.schema(full).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT).option("encoding", encoding)
-          .option("enforceSchema", False).csv(paths))
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    df = (spark.read.schema(_with_corrupt(text)).option("header", header).option("sep", sep)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+          .option("encoding", encoding).option("enforceSchema", False).csv(paths))
     if partitions:
         df = df.repartition(partitions)
-    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    typed, cast_ok = [], []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            typed.append(c)
+        else:
+            v = c.try_cast(f.dataType)
+            typed.append(v.alias(f.name))
+            cast_ok.append(c.isNull() | v.isNotNull())
+    # Spark refuses a raw-file scan whose only required column is the
+    # corrupt-record column (e.g. ``good.count()`` of an all-text read); an
+    # always-true test on the first field keeps one real column in the scan.
+    cast_ok.append(F.hash(F.col(f"`{schema.fields[0].name}`")).bitwiseOR(F.lit(1)) != F.lit(0))
+    ok = reduce(lambda a, b: a & b, cast_ok) & F.col(CORRUPT).isNull()
+    flagged = df.withColumn("__ok", ok)
+    good = flagged.where(F.col("__ok")).select(*typed)
     if not keep_rejects:
         return good
-    rejects = df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_line"))
+    rejects = (flagged.where(~F.col("__ok"))
+               .select(*[F.col(f"`{f.name}`") for f in schema.fields],
+                       F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(f"`{f.name}`"), F.lit(""))
+                                                                    for f in schema.fields])).alias("raw_line"),
+                       F.input_file_name().alias("source_file")))
     return good, rejects
 
 
@@ -87,7 +113,7 @@ def read_delimited_by_header(spark: SparkSession, path: str, sep: str = ";", glo
         groups.setdefault(header_of(spark, f, sep), []).append(f)
     goods, rejects = [], []
     for cols, fs in groups.items():
-        schema = T.StructType([T.StructField(c, T._parse_datatype_string(types.get(c, "string")), True)
+        schema = T.StructType([T.StructField(c, data_type(types.get(c, "string")), True)
                                for c in cols])
         good, bad = read_delimited(spark, fs, sep, schema, keep_rejects=True)
         goods.append(good)
@@ -96,7 +122,7 @@ def read_delimited_by_header(spark: SparkSession, path: str, sep: str = ";", glo
         raise FileNotFoundError(f"no files under {path}")
     good = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), goods)
     if keep_rejects:
-        return good, reduce(lambda a, b: a.unionByName(b), rejects)
+        return good, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rejects)
     return good
 
 
