@@ -49,38 +49,71 @@ def nearest_match(left: DataFrame, right: DataFrame, left_key_cols: list[str],
                   left_block: Column, right_block: Column, distance, distance_alias: str,
                   tie_break: list | None = None, how: str = "inner",
                   broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 16) -> DataFrame:
-    """For every left row, the right row of the same block with the smallest
+    """For every left key, the right row of the same block with the smallest
     distance  (J3 + J4 + W2 + X13).
 
-    ``distance(l, r)`` receives the two joined sides' column namespaces via
-    the ``__l_`` / ``__r_`` free names: pass a function of (Column getter) ->
-    Column, e.g. ``lambda c: sq_planar_distance(c('lon'), c('lat'), c('s_lon'), c('s_lat'))``
-    where ``c`` resolves a column by name on the joined frame.
-
-    Plan: the right side (stations: a dimension) is broadcast when a bounded
-    probe proves it small, so the fan-out happens map-side in every task and
-    the partial ``WindowGroupLimit`` keeps one candidate per left key before
-    the shuffle.  Otherwise both sides are shuffled on ``(block, salt)``: the
-    left row gets a salt from its key hash and the right row is replicated
-    into every salt, so a hot block (a third of all addresses sharing a town
-    article) is spread over ``salt_buckets`` tasks instead of one.
-
-    Nulls sort last so a station without coordinates never wins (Q1); ties
-    are broken by ``tie_break`` (Q2).  ``how='left'`` keeps addresses without
-    any station in their block (Q6; the reference drops them).
-    """
-    ties = [F.col(t) if isinstance(t, str) else t for t in (tie_break or [])]
-    lb = left.withColumn("__block", left_block)
+    ``distance(c)`` builds the distance from a column resolver ``c(name)``,
+    e.g. ``lambda c: sq_planar_distance(c('lon'), c('lat'), c('s_lon'), c('s_lat'))``;
+    names of either side may be used.  ``tie_break`` names columns of either
+    side; the order is (distance, NULLs last), then ``tie_break``.
+
+    Two plans, both exact:
+
+    * right side proven small (bounded probe): it is broadcast as one array
+      of candidates per block, and each left row takes the minimum of its
+      block's array (``transform`` + ``array_min``) — no pair rows are
+      materialised, no shuffle; a hot block only makes its rows' arrays
+      longer.  Left rows sharing a key then keep their best row through a
+      ``row_number() = 1`` (partial WindowGroupLimit before the shuffle).
+    * otherwise both sides are shuffled on (block, salt): the left row gets a
+      salt from its key hash and the right row is copied into every salt, so
+      a hot block (a third of all addresses sharing a town article) spreads
+      over ``salt_buckets`` tasks; pairs are ranked per key.
+
+    A candidate without coordinates (NULL distance) never beats one with a
+    distance (Q1).  ``how='left'`` keeps keys with no candidate (Q6; the
+    reference drops them)."""
+    ties = list(tie_break or [])
+    right_cols = [c for c in right.columns]
     rb = right.withColumn("__block", right_block).where(F.col("__block").isNotNull())
     rb_small, is_small = broadcast_if_small(rb, broadcast_max_rows)
+    lb = left.withColumn("__block", left_block)
     if is_small:
-        pairs = lb.join(rb_small, "__block", how)
-    else:
-        salted_l = lb.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(k) for k in left_key_cols]),
-                                                  F.lit(salt_buckets)))
-        salted_r = rb.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        pairs = salted_l.join(salted_r, ["__block", "__salt"], how).drop("__salt")
+        return _nearest_by_block_arrays(lb, rb, right_cols, left_key_cols, distance, distance_alias, ties, how)
+    salted_l = lb.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(k) for k in left_key_cols]),
+                                              F.lit(salt_buckets)))
+    salted_r = rb.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    pairs = salted_l.join(salted_r, ["__block", "__salt"], how).drop("__salt")
     pairs = pairs.withColumn(distance_alias, distance(F.col))
-    w = Window.partitionBy(*left_key_cols).orderBy(F.col(distance_alias).asc_nulls_last(), *ties)
+    w = Window.partitionBy(*left_key_cols).orderBy(F.col(distance_alias).asc_nulls_last(),
+                                                   *[F.col(t) for t in ties])
     return (pairs.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1)
             .drop("__rank", "__block"))
+
+
+def _nearest_by_block_arrays(lb: DataFrame, rb: DataFrame, right_cols: list[str], left_key_cols: list[str],
+                             distance, distance_alias: str, ties: list[str], how: str) -> DataFrame:
+    # one row per block holding its candidates; the probe bounded the rows
+    cands = rb.groupBy("__block").agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in right_cols]))
+                                      .alias("__cands"))
+    j = lb.join(F.broadcast(cands), "__block", "left" if how == "left" else "inner")
+    right_ties = [t for t in ties if t in right_cols]
+
+    def best_of(cand):
+        def resolve(name):
+            return cand[name] if name in right_cols else F.col(f"`{name}`")
+        d = distance(resolve)
+        # (NULL distance last, distance, right-side ties, payload): array_min
+        # of these structs is the first candidate in the required order
+        return F.struct(d.isNull().alias("__dnull"), d.alias("__d"),
+                        *[cand[t].alias(f"__t{i}") for i, t in enumerate(right_ties)],
+                        *[cand[c].alias(c) for c in right_cols])
+
+    j = j.withColumn("__best", F.array_min(F.transform(F.col("__cands"), best_of))).drop("__cands")
+    j = j.select(*[c for c in j.columns if c != "__best"],
+                 *[F.col("__best").getField(c).alias(c) for c in right_cols],
+                 F.col("__best.__d").alias(distance_alias))
+    w = Window.partitionBy(*left_key_cols).orderBy(F.col(distance_alias).asc_nulls_last(),
+                                                   *[F.col(t) for t in ties])
+    return (j.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1)
+            .drop("__rank", "__block"))

@@ -53,17 +53,34 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
 
 
+# Inputs proven to hold at most this many rows take the per-group window
+# path: every group (and so every window partition) is then bounded too.
+LOCAL_MAX_ROWS = 5_000_000
+
+
 def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
     """One row per distinct ``(group..., value)`` (NULL values included, with
     weight 0) with columns ``_cnt`` (rows holding the value), ``_before``
     (non-null rows of the group with a strictly smaller value) and ``_n``
-    (non-null rows of the group)."""
+    (non-null rows of the group).
+
+    A bounded probe (``limit(local_max_rows + 1).count()``, which stops
+    reading past the bound) picks the plan: a small input uses one window
+    per group; anything larger, where one group may hold a third of all
+    rows, uses the range-partitioned slices described above."""
     g = list(group_cols)
     v = value_col
-    parts = num_partitions or default_parallelism(df)
     weight = F.when(F.col(v).isNull(), F.lit(0)).otherwise(F.lit(1))
     agg = df.groupBy(*g, v).agg(F.sum(weight).cast("long").alias("_cnt"))
+    if local_max_rows and df.limit(local_max_rows + 1).count() <= local_max_rows:
+        gkey = [F.col(c) for c in g] if g else [F.lit(0)]
+        w_run = (Window.partitionBy(*gkey).orderBy(F.col(v).asc_nulls_first())
+                 .rowsBetween(Window.unboundedPreceding, -1))
+        return (agg.withColumn("_before", F.coalesce(F.sum("_cnt").over(w_run), F.lit(0)).cast("long"))
+                .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*gkey)).cast("long")))
+
+    parts = num_partitions or default_parallelism(df)
     # The range boundaries come from a sample, and a recomputed sample may
     # differ; the tagged slices are therefore written once (reliable
     # checkpoint in the cluster's checkpoint folder) and both consumers below
@@ -101,7 +118,8 @@ def _interpolate(lo: Column, hi: Column, frac: Column) -> Column:
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
                     quantiles: dict[str, float] | None = None,
                     name_fmt: str = "{q}_{col}",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None,
+                    local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
     """Exact continuous quantiles (``quantile_cont`` / ``MEDIAN``) of several
     columns per group, NULLs ignored, in one set of passes.
 
@@ -114,7 +132,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
     longf = df.select(*g, *[F.col(c).cast("double").alias(c) for c in value_cols])
     longf = longf.unpivot(g or [], value_cols, "_measure", "_value") if g else \
         longf.unpivot([], value_cols, "_measure", "_value")
-    rt = rank_table(longf, g + ["_measure"], "_value", num_partitions)
+    rt = rank_table(longf, g + ["_measure"], "_value", num_partitions, local_max_rows)
 
     n1 = F.col("_n") - 1
     aggs = []
@@ -149,12 +167,12 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, alias: st
 
 
 def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: str,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
     """Add ``alias`` = PERCENT_RANK() OVER (PARTITION BY group ORDER BY value)
     without a window per group: (rows of the group below the value) / (n-1).
     NULL values rank first, as in an ascending Spark/DuckDB window."""
     g = list(group_cols)
-    rt = rank_table(df.select(*g, value_col), g, value_col, num_partitions)
+    rt = rank_table(df.select(*g, value_col), g, value_col, num_partitions, local_max_rows)
     nulls = df.where(F.col(value_col).isNull()).groupBy(*g).count().withColumnRenamed("count", "_nn")
     # rank among all rows counts the NULL rows (sorted first) as smaller
     rt = rt.join(nulls, g, "left") if g else attach_one_row(rt, nulls.agg(F.sum("_nn").alias("_nn")))
