@@ -65,9 +65,10 @@ def test_percent_rank_matches_window(spark, duck, skewed, local):
     assert got == exp
 
 
-def test_dense_id_is_ordered_and_dense(spark, skewed):
+@PATHS
+def test_dense_id_is_ordered_and_dense(spark, skewed, local):
     _, df = skewed
-    out = dense_id(df.repartition(5), ["g", "id"], "rid", 4).select("g", "id", "rid").collect()
+    out = dense_id(df.repartition(5), ["g", "id"], "rid", 4, local).select("g", "id", "rid").collect()
     got = sorted(out, key=lambda r: r.rid)
     assert [r.rid for r in got] == list(range(1, len(out) + 1))
     assert [(r.g, r.id) for r in got] == sorted((r.g, r.id) for r in out)

@@ -99,20 +99,21 @@ def _nearest_by_block_arrays(lb: DataFrame, rb: DataFrame, right_cols: list[str]
     j = lb.join(F.broadcast(cands), "__block", "left" if how == "left" else "inner")
     right_ties = [t for t in ties if t in right_cols]
 
-    def best_of(cand):
-        def resolve(name):
-            return cand[name] if name in right_cols else F.col(f"`{name}`")
-        d = distance(resolve)
-        # (NULL distance last, distance, right-side ties, payload): array_min
-        # of these structs is the first candidate in the required order
-        return F.struct(d.isNull().alias("__dnull"), d.alias("__d"),
-                        *[cand[t].alias(f"__t{i}") for i, t in enumerate(right_ties)],
-                        *[cand[c].alias(c) for c in right_cols])
-
-    j = j.withColumn("__best", F.array_min(F.transform(F.col("__cands"), best_of))).drop("__cands")
-    j = j.select(*[c for c in j.columns if c != "__best"],
+    def resolver(cand):
+        return lambda name: cand[name] if name in right_cols else F.col(f"`{name}`")
+
+    # 1) smallest distance of the block: array_min over plain doubles
+    #    (NULL distances are skipped; NULL when every candidate lacks one)
+    j = j.withColumn("__dmin", F.array_min(F.transform(F.col("__cands"), lambda c: distance(resolver(c)))))
+    # 2) among the candidates at that distance (usually one), the first in
+    #    tie-break order: array_min of (ties, payload) structs
+    at_min = F.filter(F.col("__cands"), lambda c: distance(resolver(c)).eqNullSafe(F.col("__dmin")))
+    j = j.withColumn("__best", F.array_min(F.transform(at_min, lambda c: F.struct(
+        *[c[t].alias(f"__t{i}") for i, t in enumerate(right_ties)], *[c[x].alias(x) for x in right_cols]))))
+    j = j.drop("__cands")
+    j = j.select(*[c for c in j.columns if c not in ("__best", "__dmin")],
                  *[F.col("__best").getField(c).alias(c) for c in right_cols],
-                 F.col("__best.__d").alias(distance_alias))
+                 F.col("__dmin").alias(distance_alias))
     w = Window.partitionBy(*left_key_cols).orderBy(F.col(distance_alias).asc_nulls_last(),
                                                    *[F.col(t) for t in ties])
     return (j.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1)

@@ -184,20 +184,27 @@ def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: st
     return _null_safe_join(df, rt, g + [value_col])
 
 
-def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int | None = None) -> DataFrame:
-    """Add ``alias`` = ROW_NUMBER() OVER (ORDER BY order_cols), 1-based,
-    without a single-partition window.
-
-    Rows are range-partitioned and sorted on ``order_cols`` (which must be a
-    unique key for a repeatable numbering); each row's index inside its
-    partition comes from ``monotonically_increasing_id`` (partition id in the
-    upper 31 bits, row number within the partition in the lower 33), and the
-    partition's start offset from a table of per-partition counts — one row
-    per partition, so broadcasting it is bounded by the partition count.
+def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int | None = None,
+             local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
+    """Add ``alias`` = ROW_NUMBER() OVER (ORDER BY order_cols), 1-based.
+
+    The input is materialised once (reliable checkpoint), so the upstream
+    plan runs once even though numbering needs two looks at the data.  A
+    copy proven (bounded probe) to hold at most ``local_max_rows`` rows is
+    numbered by one ordered window.  A larger one is range-partitioned and
+    sorted on ``order_cols`` (which must be a unique key for a repeatable
+    numbering); each row's index inside its partition comes from
+    ``monotonically_increasing_id`` (partition id in the upper 31 bits, row
+    number within the partition in the lower 33), and the partition's start
+    offset from a table of per-partition counts — one row per partition, so
+    broadcasting it is bounded by the partition count.
     """
-    parts = num_partitions or default_parallelism(df)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    tagged = stable(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    base = stable(df)
+    if local_max_rows and base.limit(local_max_rows + 1).count() <= local_max_rows:
+        return base.withColumn(alias, F.row_number().over(Window.orderBy(*cols)).cast("long"))
+    parts = num_partitions or default_parallelism(df)
+    tagged = stable(base.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
                     .withColumn("_pid", F.spark_partition_id())
                     .withColumn("_mono", F.monotonically_increasing_id()))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
