@@ -969,3 +969,91 @@ def q_flagship(spark, d):
     latest = latest_per_key(o, ["o_custkey"], [F.desc_nulls_last("o_orderdate"), F.desc("o_orderkey")])
     return price_statistics(latest, ["o_orderpriority"], "o_totalprice", rollup=False,
                             median_alias="median_price", count_alias="n_customers").drop("grouping_level")
+
+
+# ----------------------------------------- landed files derived from tables
+#
+# These queries land a driver table as files in the session's shared
+# checkpoint folder (a fresh sub-folder per call), then read them back
+# through the library's sources, so the file readers are checked on whole
+# tables against the oracle.
+
+def _landing(spark, name: str) -> str:
+    import uuid
+    from valora.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/landing/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_union_by_name", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer
+UNION ALL
+SELECT c_custkey, c_name, CAST(NULL AS INTEGER), c_acctbal, c_mktsegment FROM customer
+""")
+def q_csv_union_by_name(spark, d):
+    from valora.sources.delimited import read_delimited_by_header
+    c = table(spark, d, "customer")
+    root = _landing(spark, "customers")
+    # two landed copies of the whole table with different column sets/orders
+    c.select("c_custkey", "c_name", "c_nationkey", "c_acctbal").write.option("header", True).option("sep", ";") \
+        .csv(f"{root}/adresses-a")
+    c.select("c_mktsegment", "c_acctbal", "c_custkey", "c_name").write.option("header", True).option("sep", ";") \
+        .csv(f"{root}/adresses-b")
+    out = read_delimited_by_header(spark, f"{root}/*", ";", "part-*.csv",
+                                   types={"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
+    return out.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@query("pipe_gzip_scan", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS l_shipdate, CAST(NULL AS VARCHAR) AS l_comment
+FROM lineitem
+""")
+def q_pipe_gzip_scan(spark, d):
+    from valora.schemas import struct
+    from valora.sources.delimited import read_delimited
+    li = table(spark, d, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    root = _landing(spark, "lineitem")
+    li.write.option("header", True).option("sep", "|").option("compression", "gzip").csv(root)
+    cols = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+            ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"),
+            ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "date")]
+    # all-text scan with a keep-list (one wanted column is absent), then
+    # typed by the declared schema; gzip is one split per file, so the read
+    # is repartitioned
+    raw = read_delimited(spark, root, sep="|", all_text=True, partitions=8)
+    kept, _missing = reconcile(raw, [c for c, _ in cols] + ["l_comment"])
+    return kept.select(*[F.col(c).try_cast(t).alias(c) for c, t in cols], "l_comment")
+
+
+@query("stream_latest_orders", """
+SELECT CAST(o_custkey AS VARCHAR) AS numero_dpe,
+       MAX(CAST(o_orderdate AS DATE)) AS date_derniere_modification_dpe,
+       ARG_MAX(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), (CAST(o_orderdate AS DATE), lpad(CAST(o_orderkey AS VARCHAR), 12, '0'))) AS code_insee_ban,
+       ARG_MAX(o_orderstatus, (CAST(o_orderdate AS DATE), lpad(CAST(o_orderkey AS VARCHAR), 12, '0'))) AS etiquette_dpe,
+       0.0 AS score_ban, 0 AS indicateur_confort_ete
+FROM orders GROUP BY o_custkey
+""")
+def q_stream_latest_orders(spark, d):
+    """Orders landed as JSON pages (one page per line, 500 records each) and
+    run through the incremental latest-version query until the landing is
+    drained; the state snapshot is read back."""
+    from valora import schemas
+    from valora.streaming.audit_stream import start_latest_versions
+    o = table(spark, d, "orders")
+    root = _landing(spark, "order-pages")
+    recs = o.select(
+        (F.col("o_orderkey") % F.lit(1 << 62)).alias("__k"),
+        F.struct(F.col("o_custkey").cast("string").alias("numero_dpe"),
+                 F.to_date("o_orderdate").cast("string").alias("date_etablissement_dpe"),
+                 F.to_date("o_orderdate").cast("string").alias("date_derniere_modification_dpe"),
+                 F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("code_insee_ban"),
+                 F.col("o_orderstatus").alias("etiquette_dpe")).alias("r"))
+    pages = (recs.groupBy(F.floor(F.col("__k") / 500).alias("page"))
+             .agg(F.count(F.lit(1)).alias("total"), F.collect_list("r").alias("results")))
+    pages.write.json(f"{root}/in")
+    q = start_latest_versions(spark, f"{root}/in", schemas.AUDIT_API_TEXT, f"{root}/ckpt",
+                              sink_table=f"{root}/state", trigger_once=True, multiline=False, snapshot=True)
+    q.awaitTermination()
+    st = spark.read.parquet(f"{root}/state")
+    return st.select("numero_dpe", "date_derniere_modification_dpe", "code_insee_ban", "etiquette_dpe",
+                     "score_ban", "indicateur_confort_ete")

@@ -108,9 +108,14 @@ def read_delimited_by_header(spark: SparkSession, path: str, sep: str = ";", glo
     groups are combined by column name, absent columns as NULL."""
     types = types or {}
     files = list_files(spark, path, glob)
+    # one first-line read per file; the probes are independent small jobs,
+    # submitted concurrently
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(16, max(1, len(files)))) as pool:
+        headers = list(pool.map(lambda f: header_of(spark, f, sep), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        groups.setdefault(header_of(spark, f, sep), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     goods, rejects = [], []
     for cols, fs in groups.items():
         schema = T.StructType([T.StructField(c, data_type(types.get(c, "string")), True)

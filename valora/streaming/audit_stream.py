@@ -22,9 +22,10 @@ from valora.sources.json_pages import page_schema
 
 
 def read_page_stream(spark: SparkSession, path: str, record: T.StructType,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Records of page files as they land in ``path``."""
-    reader = spark.readStream.schema(page_schema(record, with_total=True)).option("multiLine", True)
+                     max_files_per_trigger: int | None = None, multiline: bool = True) -> DataFrame:
+    """Records of page files as they land in ``path`` (one JSON page per
+    file, or one page per line with ``multiline=False``)."""
+    reader = spark.readStream.schema(page_schema(record, with_total=True)).option("multiLine", multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.json(path)
@@ -64,17 +65,23 @@ def latest_versions(cleaned: DataFrame, key: str = "numero_dpe",
 
 def start_latest_versions(spark: SparkSession, landing: str, record: T.StructType, checkpoint: str,
                           sink_table: str | None = None, query_name: str = "audit_latest",
-                          trigger_once: bool = False):
-    """Start the incremental query; results go to an in-memory table
-    ``query_name`` (tests) or, per micro-batch, to ``sink_table`` folder
-    (changed keys appended with their batch id)."""
-    stream = latest_versions(clean_rows(read_page_stream(spark, landing, record)))
+                          trigger_once: bool = False, multiline: bool = True, snapshot: bool = False):
+    """Start the incremental query.  Results go to an in-memory table
+    ``query_name`` (tests), or to the ``sink_table`` folder: per micro-batch
+    the changed keys are appended with their batch id, or with ``snapshot``
+    the whole current state replaces the folder (complete mode)."""
+    stream = latest_versions(clean_rows(read_page_stream(spark, landing, record, multiline=multiline)))
     w = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
     if trigger_once:
         w = w.trigger(availableNow=True)
     if sink_table is None:
         return w.format("memory").queryName(query_name).outputMode("complete").start()
 
+    if snapshot:
+        def write_state(batch: DataFrame, batch_id: int):
+            batch.write.mode("overwrite").parquet(sink_table)
+        return w.outputMode("complete").foreachBatch(write_state).start()
+
     def write_batch(batch: DataFrame, batch_id: int):
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_table)
 
