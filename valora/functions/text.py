@@ -16,15 +16,16 @@ NOT_PROVIDED = "NR"
 # Fixed value: the default the reference writes for an unknown roof insulation.
 UNKNOWN = "Inconnu"
 
-# Leading / trailing Unicode space separators (category Zs: U+0020, U+00A0,
-# U+2007, U+202F, ...).  Spark's ``trim`` strips only U+0020; the reference's
-# TRIM strips the whole category, and tabs are kept by both.
-_EDGE_SPACES = r"^\p{Zs}+|\p{Zs}+$"
+# Fixed value: the Unicode space separators (category Zs), which the
+# reference's TRIM strips at both ends: U+0020, U+00A0, U+1680, U+2000 to
+# U+200A, U+202F, U+205F, U+3000.  Spark's one-argument ``trim`` strips only
+# U+0020; tabs are kept by both.
+SPACE_SEPARATORS = "".join(chr(c) for c in [0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000])
 
 
 def trim_ws(c) -> Column:
     """TRIM that strips every Unicode space separator at both ends."""
-    return F.regexp_replace(as_col(c), _EDGE_SPACES, "")
+    return F.btrim(as_col(c), F.lit(SPACE_SEPARATORS))
 
 
 def blank_to_null(c) -> Column:

@@ -37,8 +37,10 @@ def default_parallelism(df: DataFrame) -> int:
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row frame (medians, totals) to every row.
 
-    The one-row side is broadcast (a single row is a proven bound) and
-    joined on a constant key, so the plan is a broadcast hash join and the
-    scalars never pass through the driver as literals."""
-    return (df.withColumn("__one", F.lit(0))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(0))), "__one").drop("__one"))
+    The one-row frame (a global aggregate, so exactly one row) is packed into
+    one struct and used as a scalar subquery: Spark evaluates it once and
+    attaches the values to every row without a join."""
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("__one")).scalar()
+    out = df.withColumn("__one", packed)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                      *[F.col("__one").getField(c).alias(c) for c in one_row.columns])

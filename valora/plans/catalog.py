@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valora.functions import (
-    first_non_blank, first_word_key, lower_key, parse_fr_number, sq_planar_distance,
+    first_non_blank, first_word_key, lower_key, sq_planar_distance,
     try_double, try_int_rounded, upper_trim, with_default, with_sentinel, year_in, day_between,
     expired,
 )
@@ -31,7 +31,7 @@ from valora.operators.market import (
 )
 from valora.operators.profile import missing_profile, residual_nulls
 from valora.operators.quality import (
-    Check, audit_checks, duplicate_keys, label_distribution, qc_report, qc_totals,
+    audit_checks, duplicate_keys, label_distribution, qc_report, qc_totals,
 )
 from valora.operators.ranking import dense_id, exact_quantiles
 from valora.operators.spatial import points_in_zones, proximity, zone_edges
@@ -1009,7 +1009,6 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 FROM lineitem
 """)
 def q_pipe_gzip_scan(spark, d):
-    from valora.schemas import struct
     from valora.sources.delimited import read_delimited
     li = table(spark, d, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     root = _landing(spark, "lineitem")
