@@ -98,9 +98,9 @@ def price_statistics(df: DataFrame, group_cols: list[str], value_col: str, rollu
                   F.explode(F.array(*[F.lit(lv) for lv in levels])).alias(level_alias))
     x = x.select(*[F.when(F.col(level_alias) <= len(g) - 1 - i, F.col(c)).alias(c) for i, c in enumerate(g)],
                  level_alias, "__v")
-    med = exact_quantiles(x, [level_alias, *g], ["__v"], {"median": 0.5}, name_fmt=median_alias)
-    cnt = x.groupBy(level_alias, *g).agg(F.count(F.lit(1)).alias(count_alias))
-    return _null_safe_join(cnt, med, [level_alias, *g]).select(*g, level_alias, median_alias, count_alias)
+    med = exact_quantiles(x, [level_alias, *g], ["__v"], {"median": 0.5}, name_fmt=median_alias,
+                          count_alias=count_alias)
+    return med.select(*g, level_alias, median_alias, count_alias)
 
 
 def deal_verdict(df: DataFrame, group_cols: list[str], value_col: str, low: float = 0.9,

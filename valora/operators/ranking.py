@@ -62,8 +62,9 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
                num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
     """One row per distinct ``(group..., value)`` (NULL values included, with
     weight 0) with columns ``_cnt`` (rows holding the value), ``_before``
-    (non-null rows of the group with a strictly smaller value) and ``_n``
-    (non-null rows of the group).
+    (non-null rows of the group with a strictly smaller value), ``_n``
+    (non-null rows of the group) and ``_rows`` (all rows holding the value,
+    NULL included, so ``sum(_rows)`` per group is COUNT(*)).
 
     A bounded probe (``limit(local_max_rows + 1).count()``, which stops
     reading past the bound) picks the plan: a small input uses one window
@@ -72,7 +73,8 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
     g = list(group_cols)
     v = value_col
     weight = F.when(F.col(v).isNull(), F.lit(0)).otherwise(F.lit(1))
-    agg = df.groupBy(*g, v).agg(F.sum(weight).cast("long").alias("_cnt"))
+    agg = df.groupBy(*g, v).agg(F.sum(weight).cast("long").alias("_cnt"),
+                                F.count(F.lit(1)).alias("_rows"))
     if local_max_rows and df.limit(local_max_rows + 1).count() <= local_max_rows:
         gkey = [F.col(c) for c in g] if g else [F.lit(0)]
         w_run = (Window.partitionBy(*gkey).orderBy(F.col(v).asc_nulls_first())
@@ -119,13 +121,14 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
                     quantiles: dict[str, float] | None = None,
                     name_fmt: str = "{q}_{col}",
                     num_partitions: int | None = None,
-                    local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
+                    local_max_rows: int | None = LOCAL_MAX_ROWS,
+                    count_alias: str | None = None) -> DataFrame:
     """Exact continuous quantiles (``quantile_cont`` / ``MEDIAN``) of several
     columns per group, NULLs ignored, in one set of passes.
 
     Returns one row per group with a column ``name_fmt.format(q=name, col=c)``
     per (quantile, value column); a group whose values are all NULL yields
-    NULL.
+    NULL.  ``count_alias`` adds the group's COUNT(*) (from the same pass).
     """
     quantiles = quantiles or {"median": 0.5}
     g = list(group_cols)
@@ -145,6 +148,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
         aggs += [F.max(F.when(hit_lo, F.col("_value"))).alias(f"__lo_{qname}"),
                  F.max(F.when(hit_hi, F.col("_value"))).alias(f"__hi_{qname}"),
                  F.max(F.when(F.col("_cnt") > 0, pos - k_lo)).alias(f"__f_{qname}")]
+    aggs.append(F.sum("_rows").alias("__rows"))
     per = rt.groupBy(*g, "_measure").agg(*aggs)
     for qname in quantiles:
         per = per.withColumn(f"__q_{qname}", _interpolate(
@@ -155,6 +159,8 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
         for c in value_cols:
             wide.append(F.max(F.when(F.col("_measure") == c, F.col(f"__q_{qname}")))
                         .alias(name_fmt.format(q=qname, col=c)))
+    if count_alias:
+        wide.append(F.max("__rows").cast("long").alias(count_alias))
     if g:
         return per.groupBy(*g).agg(*wide)
     return per.agg(*wide)

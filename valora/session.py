@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     # same file would yield different good/reject splits per query; parse
     # whole rows so bad-row handling does not depend on the projection.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
+    # checkpoint files are deleted once their RDD is no longer referenced,
+    # so the shared checkpoint folder does not grow run after run
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
