@@ -1029,7 +1029,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS numero_dpe,
        MAX(CAST(o_orderdate AS DATE)) AS date_derniere_modification_dpe,
        ARG_MAX(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), (CAST(o_orderdate AS DATE), lpad(CAST(o_orderkey AS VARCHAR), 12, '0'))) AS code_insee_ban,
        ARG_MAX(o_orderstatus, (CAST(o_orderdate AS DATE), lpad(CAST(o_orderkey AS VARCHAR), 12, '0'))) AS etiquette_dpe,
-       0.0 AS score_ban, 0 AS indicateur_confort_ete
+       CAST(0.0 AS DOUBLE) AS score_ban, 0 AS indicateur_confort_ete
 FROM orders GROUP BY o_custkey
 """)
 def q_stream_latest_orders(spark, d):
