@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valora.operators.dedup import latest_per_key
-from valora.operators.ranking import _null_safe_join, exact_quantiles, percent_rank
+from valora.operators.ranking import (
+    _null_safe_join, exact_quantiles, percent_rank, quantiles_from_ranks, rank_table,
+)
 from valora.operators.sizing import attach_one_row, broadcast_if_small
 
 
@@ -113,9 +115,11 @@ def deal_verdict(df: DataFrame, group_cols: list[str], value_col: str, low: floa
     per-group window, so a group holding a third of all rows is not one
     task."""
     g = list(group_cols)
-    med = exact_quantiles(df, g, [value_col], {"median": 0.5}, name_fmt=median_alias)
+    # one rank table serves both the group median and every row's rank
+    rt = rank_table(df.select(*g, F.col(value_col).cast("double").alias(value_col)), g, value_col)
+    med = quantiles_from_ranks(rt, g, value_col, {"median": 0.5}, name_fmt=median_alias)
     med, _ = broadcast_if_small(med)
-    ranked = percent_rank(df, g, value_col, rank_alias)
+    ranked = percent_rank(df, g, value_col, rank_alias, ranks=rt)
     j = _null_safe_join(ranked, med, g) if g else attach_one_row(ranked, med)
     ratio = F.when(F.col(median_alias) != 0, F.col(value_col) / F.col(median_alias))
     return (j.withColumn(ratio_alias, ratio)

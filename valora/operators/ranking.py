@@ -63,8 +63,9 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
     """One row per distinct ``(group..., value)`` (NULL values included, with
     weight 0) with columns ``_cnt`` (rows holding the value), ``_before``
     (non-null rows of the group with a strictly smaller value), ``_n``
-    (non-null rows of the group) and ``_rows`` (all rows holding the value,
-    NULL included, so ``sum(_rows)`` per group is COUNT(*)).
+    (non-null rows of the group), ``_rows`` (all rows holding the value,
+    NULL included, so ``sum(_rows)`` per group is COUNT(*)) and ``_nulls``
+    (NULL rows of the group).
 
     A bounded probe (``limit(local_max_rows + 1).count()``, which stops
     reading past the bound) picks the plan: a small input uses one window
@@ -79,8 +80,10 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
         gkey = [F.col(c) for c in g] if g else [F.lit(0)]
         w_run = (Window.partitionBy(*gkey).orderBy(F.col(v).asc_nulls_first())
                  .rowsBetween(Window.unboundedPreceding, -1))
+        w_all = Window.partitionBy(*gkey)
         return (agg.withColumn("_before", F.coalesce(F.sum("_cnt").over(w_run), F.lit(0)).cast("long"))
-                .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*gkey)).cast("long")))
+                .withColumn("_n", F.sum("_cnt").over(w_all).cast("long"))
+                .withColumn("_nulls", F.sum(F.col("_rows") - F.col("_cnt")).over(w_all).cast("long")))
 
     parts = num_partitions or default_parallelism(df)
     # The range boundaries come from a sample, and a recomputed sample may
@@ -97,14 +100,16 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
 
     # slice offsets: a table of (partition, group) totals, at most
     # partitions + groups rows
-    slices = srt.groupBy("_pid", *g).agg(F.sum("_cnt").alias("_ptotal"))
+    slices = srt.groupBy("_pid", *g).agg(F.sum("_cnt").alias("_ptotal"),
+                                         F.sum(F.col("_rows") - F.col("_cnt")).alias("_pnulls"))
     gkey = [F.col(c) for c in g] if g else [F.lit(0)]
     w_off = Window.partitionBy(*gkey).orderBy("_pid")
     slices = (slices
               .withColumn("_offset", F.coalesce(
                   F.sum("_ptotal").over(w_off.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_n", F.sum("_ptotal").over(Window.partitionBy(*gkey)))
-              .drop("_ptotal"))
+              .withColumn("_nulls", F.sum("_pnulls").over(Window.partitionBy(*gkey)).cast("long"))
+              .drop("_ptotal", "_pnulls"))
     out = _null_safe_join(local, slices, ["_pid", *g])
     return (out.withColumn("_before", (F.col("_offset") + F.col("_local")).cast("long"))
             .drop("_offset", "_local", "_pid"))
@@ -136,23 +141,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
     longf = longf.unpivot(g or [], value_cols, "_measure", "_value") if g else \
         longf.unpivot([], value_cols, "_measure", "_value")
     rt = rank_table(longf, g + ["_measure"], "_value", num_partitions, local_max_rows)
-
-    n1 = F.col("_n") - 1
-    aggs = []
-    for qname, q in quantiles.items():
-        pos = n1 * F.lit(float(q))
-        k_lo = F.floor(pos)
-        k_hi = F.ceil(pos)
-        hit_lo = (F.col("_before") <= k_lo) & (k_lo < F.col("_before") + F.col("_cnt")) & (F.col("_cnt") > 0)
-        hit_hi = (F.col("_before") <= k_hi) & (k_hi < F.col("_before") + F.col("_cnt")) & (F.col("_cnt") > 0)
-        aggs += [F.max(F.when(hit_lo, F.col("_value"))).alias(f"__lo_{qname}"),
-                 F.max(F.when(hit_hi, F.col("_value"))).alias(f"__hi_{qname}"),
-                 F.max(F.when(F.col("_cnt") > 0, pos - k_lo)).alias(f"__f_{qname}")]
-    aggs.append(F.sum("_rows").alias("__rows"))
-    per = rt.groupBy(*g, "_measure").agg(*aggs)
-    for qname in quantiles:
-        per = per.withColumn(f"__q_{qname}", _interpolate(
-            F.col(f"__lo_{qname}"), F.col(f"__hi_{qname}"), F.col(f"__f_{qname}")))
+    per = quantiles_from_ranks(rt, g + ["_measure"], "_value", quantiles, name_fmt="__q_{q}", rows_alias="__rows")
     # back to wide: one column per (quantile, measure); tiny input
     wide = []
     for qname in quantiles:
@@ -166,6 +155,30 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
     return per.agg(*wide)
 
 
+def quantiles_from_ranks(rt: DataFrame, group_cols: list[str], value_col: str, quantiles: dict[str, float],
+                         name_fmt: str = "{q}", rows_alias: str | None = None) -> DataFrame:
+    """Exact continuous quantiles per group read off a :func:`rank_table`:
+    the values at ranks floor/ceil of (n - 1) * q, interpolated.  One
+    aggregation over the (distinct-value) rank table."""
+    n1 = F.col("_n") - 1
+    aggs, finals = [], []
+    for qname, q in quantiles.items():
+        pos = n1 * F.lit(float(q))
+        k_lo, k_hi = F.floor(pos), F.ceil(pos)
+        live = F.col("_cnt") > 0
+        hit_lo = (F.col("_before") <= k_lo) & (k_lo < F.col("_before") + F.col("_cnt")) & live
+        hit_hi = (F.col("_before") <= k_hi) & (k_hi < F.col("_before") + F.col("_cnt")) & live
+        aggs += [F.max(F.when(hit_lo, F.col(value_col))).alias(f"__lo_{qname}"),
+                 F.max(F.when(hit_hi, F.col(value_col))).alias(f"__hi_{qname}"),
+                 F.max(F.when(live, pos - k_lo)).alias(f"__f_{qname}")]
+        finals.append(_interpolate(F.col(f"__lo_{qname}"), F.col(f"__hi_{qname}"), F.col(f"__f_{qname}"))
+                      .alias(name_fmt.format(q=qname)))
+    if rows_alias:
+        aggs.append(F.sum("_rows").alias(rows_alias))
+    per = rt.groupBy(*group_cols).agg(*aggs)
+    return per.select(*group_cols, *finals, *([rows_alias] if rows_alias else []))
+
+
 def exact_median(df: DataFrame, group_cols: list[str], value_col: str, alias: str,
                  num_partitions: int | None = None) -> DataFrame:
     return exact_quantiles(df, group_cols, [value_col], {"median": 0.5},
@@ -173,16 +186,16 @@ def exact_median(df: DataFrame, group_cols: list[str], value_col: str, alias: st
 
 
 def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: str,
-                 num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
+                 num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS,
+                 ranks: DataFrame | None = None) -> DataFrame:
     """Add ``alias`` = PERCENT_RANK() OVER (PARTITION BY group ORDER BY value)
     without a window per group: (rows of the group below the value) / (n-1).
-    NULL values rank first, as in an ascending Spark/DuckDB window."""
+    NULL values rank first, as in an ascending Spark/DuckDB window.  Pass
+    ``ranks`` to reuse a :func:`rank_table` already built for the frame."""
     g = list(group_cols)
-    rt = rank_table(df.select(*g, value_col), g, value_col, num_partitions, local_max_rows)
-    nulls = df.where(F.col(value_col).isNull()).groupBy(*g).count().withColumnRenamed("count", "_nn")
-    # rank among all rows counts the NULL rows (sorted first) as smaller
-    rt = rt.join(nulls, g, "left") if g else attach_one_row(rt, nulls.agg(F.sum("_nn").alias("_nn")))
-    nn = F.coalesce(F.col("_nn"), F.lit(0))
+    rt = ranks if ranks is not None else rank_table(df.select(*g, value_col), g, value_col,
+                                                     num_partitions, local_max_rows)
+    nn = F.col("_nulls")
     total = F.col("_n") + nn
     before = F.when(F.col(value_col).isNull(), F.lit(0)).otherwise(F.col("_before") + nn)
     rt = rt.select(*g, value_col,
