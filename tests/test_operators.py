@@ -129,3 +129,25 @@ def test_proximity_matches_brute_force(spark):
         ds = sorted((hav(x, y, qx, qy), qid) for qid, qx, qy in pois if hav(x, y, qx, qy) <= 3000.0)
         assert got[i][0] == len(ds)
         assert got[i][1] == (ds[0][1] if ds else None)
+
+
+def test_equal_distance_stations_tie_break(spark):
+    from valora.operators.star import address_dimension
+    adr = spark.createDataFrame([(1, "rue A", "72000", "Le Mans", 0.0, 0.0, "72181")],
+                                "numero long, nom_voie string, code_postal string, nom_commune string, "
+                                "lon double, lat double, code_insee string")
+    st = spark.createDataFrame([("Zeta", "Le Mans", 1.0, 0.0), ("Alpha", "Le Mans", -1.0, 0.0),
+                                ("NoGeo", "Le Mans", None, None)],
+                               "libelle string, commune string, longitude double, latitude double")
+    row = address_dimension(adr, st).collect()[0]
+    # equal squared distance 1.0: the tie goes to the first station name;
+    # the station without coordinates never wins
+    assert row.nom_gare_proche == "Alpha" and row.distance_gare_degres == 1.0
+
+
+def test_blank_audit_key_dropped(spark):
+    from valora.plans.build import dedup_audits
+    df = spark.createDataFrame([("", "2024-01-01"), (None, "2024-01-02"), ("K", "2024-01-03")],
+                               "numero_dpe string, date_derniere_modification_dpe string")
+    cleaned = clean_audits(df, AuditSpec())
+    assert [r.numero_dpe for r in dedup_audits(cleaned).collect()] == ["K"]

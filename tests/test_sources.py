@@ -30,7 +30,7 @@ def test_union_by_name_across_headers(spark, tmp):
     _write(f"{tmp}/a/adresses-01.csv", "numero;nom_voie;code_postal;lon;lat;extra_a\n"
            "1;rue A;01000;5.1;46.2;x\n2;rue B;01000;5.2;46.3;y\n3;rue C;01000;5.3;46.4;z;TOO;MANY\n")
     _write(f"{tmp}/a/adresses-2A.csv", "code_postal;lat;lon;numero;nom_voie;extra_b\n"
-           "20000;41.9;8.7;10;cours Napoleon;q\n20000;41.8;8.6;abc;rue X;r\n")
+           "20000;41.9;8.7;10;cours Napoleon;q\n20000;41.8;8.6;abc;rue X;r\n20000;41.7\n")
     _write(f"{tmp}/a/other.csv", "ignored;file\n1;2\n")
     good, bad = read_delimited_by_header(spark, f"{tmp}/a", ";", "adresses-*.csv",
                                          types=schemas.ADDRESS_TYPES, keep_rejects=True)
@@ -39,8 +39,8 @@ def test_union_by_name_across_headers(spark, tmp):
     # columns landed by name, not by position
     assert rows[(10, "cours Napoleon")].lon == 8.7 and rows[(10, "cours Napoleon")].code_postal == "20000"
     assert rows[(1, "rue A")].extra_b is None and rows[(1, "rue A")].code_postal == "01000"
-    assert len(rows) == 3                      # extra-field row and non-numeric numero rejected
-    assert bad.count() == 2
+    assert len(rows) == 3            # extra-field row, short row and non-numeric numero rejected
+    assert bad.count() == 3
 
 
 def test_gzip_sales_read_and_clean(spark, tmp):

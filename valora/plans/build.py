@@ -58,7 +58,9 @@ def dedup_audits(cleaned: DataFrame, spec: AuditSpec | None = None) -> DataFrame
     """Latest modification per audit number, NULL dates last, ties broken
     by the other dates (the reference leaves ties arbitrary, Q2)  (C7)."""
     s = spec or AuditSpec()
-    order = [F.desc_nulls_last(s.modified)] + [F.desc_nulls_last(c) for c in s.dates if c != s.modified]
+    have = set(cleaned.columns)
+    dates = [c for c in [s.modified, *s.dates] if c in have]
+    order = [F.desc_nulls_last(c) for c in dict.fromkeys(dates)]
     return latest_per_key(cleaned, [s.key], order)
 
 
