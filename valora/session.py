@@ -28,6 +28,17 @@ DEFAULT_CONF = {
 }
 
 
+def local_driver_memory(fraction: float = 0.5, cap_gb: int = 16) -> str:
+    """Driver heap for a local-mode session: a share of this machine's
+    memory, capped (local mode runs every task inside the driver JVM)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        gb = max(1, min(cap_gb, int(total * fraction / 2 ** 30)))
+    except (ValueError, OSError, AttributeError):
+        gb = 4
+    return f"{gb}g"
+
+
 def get_session(master: str | None = None, app_name: str = "valora",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None) -> SparkSession:
@@ -43,7 +54,7 @@ def get_session(master: str | None = None, app_name: str = "valora",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", os.environ.get("VALORA_DRIVER_MEMORY", "8g"))
+        conf.setdefault("spark.driver.memory", os.environ.get("VALORA_DRIVER_MEMORY") or local_driver_memory())
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
