@@ -12,8 +12,10 @@ sys.path.insert(0, ROOT)
 def spark():
     from valora.session import get_session
     s = get_session("local[4]", app_name="valora-tests", shuffle_partitions=8)
-    # tests run without a cluster checkpoint folder: give them their own
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="valora-test-ckpt-"))
+    # use the checkpoint folder the environment names; only when none is
+    # set do the tests get a scratch folder of their own
+    if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="valora-test-ckpt-"))
     yield s
     s.stop()
 
