@@ -151,3 +151,22 @@ def test_blank_audit_key_dropped(spark):
                                "numero_dpe string, date_derniere_modification_dpe string")
     cleaned = clean_audits(df, AuditSpec())
     assert [r.numero_dpe for r in dedup_audits(cleaned).collect()] == ["K"]
+
+
+def test_proximity_self_mode_with_hot_location(spark):
+    rnd = random.Random(11)
+    pts = [(i, 0.5, 0.5) for i in range(40)]                       # a hot spot: 40 rows, one location
+    pts += [(100 + i, rnd.uniform(0, 1), rnd.uniform(0, 1)) for i in range(120)]
+    pts += [(500, None, 0.3)]
+    P = spark.createDataFrame(pts, "id int, x double, y double")
+    got = {r.id: (r.n_within, r.nearest_id, r.nearest_distance) for r in proximity(
+        P, P, ["id"], "id", "x", "y", "x", "y", radius=0.08, exclude_same_id=True).collect()}
+    r2 = 0.08 * 0.08
+    for i, px, py in pts:
+        if px is None:
+            assert got[i] == (0, None, None)
+            continue
+        ds = sorted(((px - qx) ** 2 + (py - qy) ** 2, j) for j, qx, qy in pts
+                    if qx is not None and j != i and (px - qx) ** 2 + (py - qy) ** 2 <= r2)
+        assert got[i][0] == len(ds), i
+        assert (got[i][1], got[i][2]) == ((ds[0][1], ds[0][0]) if ds else (None, None)), i

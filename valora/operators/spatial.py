@@ -18,7 +18,7 @@ shuffle (AQE splits a hot cell).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valora.functions import haversine_m, sq_planar_distance
@@ -123,40 +123,77 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
     ``metric='planar'`` uses squared input units (``radius`` in the same
     units, compared squared); ``'haversine'`` takes lon/lat degrees and a
     radius in metres.  ``block`` adds equality columns (point col, poi col)
-    to the cell key, e.g. a label or department.  ``exclude_same_id`` skips
-    the pair of a point with itself when points and POIs are one table."""
+    to the cell key, e.g. a label or department.  ``exclude_same_id`` is the
+    self-join mode (points and POIs are the same rows): a point does not
+    count or find itself.
+
+    Rows sharing exact coordinates (default geocodes, sentinel points: the
+    usual hot spot of location data) are collapsed first: POIs to one row
+    per location with their count and two smallest ids (a row_number <= 2
+    planned as partial + final WindowGroupLimit), points to distinct
+    locations.  Only distinct locations are paired, so a location held by a
+    third of all rows is one row in the spatial join; results are joined
+    back to the points by location."""
     block = block or []
+    bcols = [pc for pc, _ in block]
     if metric == "haversine":
-        cy = radius / 111_195.0
         import math
+        cy = radius / 111_195.0
         cx = cy / math.cos(math.radians(max_abs_lat))
     else:
         cx = cy = float(radius)
-    p = points.select(*point_id, *[pc for pc, _ in block], F.col(x).alias("__x"), F.col(y).alias("__y"))
-    p = p.withColumn("__cx", F.floor(F.col("__x") / cx).cast("long")).withColumn(
-        "__cy", F.floor(F.col("__y") / cy).cast("long"))
+    loc = [*bcols, "__qx", "__qy"]
+
     q = pois.select(F.col(poi_id).alias("__pid"), *[F.col(qc).alias(pc) for pc, qc in block],
-                    F.col(poi_x).alias("__qx"), F.col(poi_y).alias("__qy"))
+                    F.col(poi_x).cast("double").alias("__qx"), F.col(poi_y).cast("double").alias("__qy"))
     q = q.where(F.col("__qx").isNotNull() & F.col("__qy").isNotNull())
+    counts = q.groupBy(*loc).agg(F.count(F.lit(1)).alias("__qn"))
+    first2 = (q.withColumn("__r", F.row_number().over(Window.partitionBy(*loc).orderBy("__pid")))
+              .where(F.col("__r") <= 2)
+              .groupBy(*loc).agg(F.min(F.when(F.col("__r") == 1, F.col("__pid"))).alias("__id1"),
+                                 F.min(F.when(F.col("__r") == 2, F.col("__pid"))).alias("__id2")))
+    qloc = counts.join(first2, loc)
     offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
-    q = (q.withColumn("__cx", F.explode(F.transform(offs, lambda o: F.floor(F.col("__qx") / cx).cast("long") + o)))
-          .withColumn("__cy", F.explode(F.transform(offs, lambda o: F.floor(F.col("__qy") / cy).cast("long") + o))))
-    q, _ = broadcast_if_small(q, broadcast_max_rows)
-    keys = ["__cx", "__cy", *[pc for pc, _ in block]]
-    j = p.join(q, keys)
-    if exclude_same_id:
-        j = j.where(F.col(point_id[0]) != F.col("__pid"))
+    qloc = (qloc.withColumn("__cx", F.explode(F.transform(offs, lambda o: F.floor(F.col("__qx") / cx).cast("long") + o)))
+                .withColumn("__cy", F.explode(F.transform(offs, lambda o: F.floor(F.col("__qy") / cy).cast("long") + o))))
+    qloc, _ = broadcast_if_small(qloc, broadcast_max_rows)
+
+    ploc = (points.select(*bcols, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
+            .where(F.col("__x").isNotNull() & F.col("__y").isNotNull()).distinct())
+    ploc = ploc.withColumn("__cx", F.floor(F.col("__x") / cx).cast("long")).withColumn(
+        "__cy", F.floor(F.col("__y") / cy).cast("long"))
+    j = ploc.join(qloc, ["__cx", "__cy", *bcols])
     if metric == "haversine":
         d = haversine_m(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy"))
-        within = d <= radius
+        j = j.withColumn("__d", d).where(F.col("__d") <= radius)
     else:
         d = sq_planar_distance(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy"))
-        within = d <= float(radius) * float(radius)
-    near = (j.withColumn("__d", d).where(within)
-            .groupBy(*point_id)
-            .agg(F.count(F.lit(1)).alias(count_alias),
-                 F.min(F.struct(F.col("__d").alias("d"), F.col("__pid").alias("id"))).alias("__best")))
-    out = points.join(near, point_id, "left")
-    return (out.withColumn(count_alias, F.coalesce(F.col(count_alias), F.lit(0)))
-            .withColumn(nearest_alias, F.col("__best.id"))
-            .withColumn(distance_alias, F.col("__best.d")).drop("__best"))
+        j = j.withColumn("__d", d).where(F.col("__d") <= float(radius) * float(radius))
+    ploc_key = [*bcols, "__x", "__y"]
+    n_loc = j.groupBy(*ploc_key).agg(F.sum("__qn").alias("__n"))
+    # two best (distance, id) candidates per point location: enough to skip
+    # the point itself in self-join mode
+    cand = j.select(*ploc_key, "__d", F.explode(F.array(
+        F.col("__id1"), F.col("__id2"))).alias("__cid")).where(F.col("__cid").isNotNull())
+    w = Window.partitionBy(*ploc_key).orderBy("__d", "__cid")
+    best2 = (cand.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= 2)
+             .groupBy(*ploc_key)
+             .agg(F.min(F.when(F.col("__r") == 1, F.struct(F.col("__d").alias("d"), F.col("__cid").alias("id"))))
+                  .alias("__c1"),
+                  F.min(F.when(F.col("__r") == 2, F.struct(F.col("__d").alias("d"), F.col("__cid").alias("id"))))
+                  .alias("__c2")))
+    res = n_loc.join(best2, ploc_key)
+
+    pts = points.withColumn("__x", F.col(x).cast("double")).withColumn("__y", F.col(y).cast("double"))
+    out = pts.join(res, ploc_key, "left")
+    if exclude_same_id:
+        own = F.col(point_id[0])
+        best = F.when(F.col("__c1.id") == own, F.col("__c2")).otherwise(F.col("__c1"))
+        n = F.col("__n") - F.lit(1)
+    else:
+        best = F.col("__c1")
+        n = F.col("__n")
+    out = (out.withColumn(count_alias, F.coalesce(n, F.lit(0)).cast("long"))
+           .withColumn(nearest_alias, best.getField("id"))
+           .withColumn(distance_alias, best.getField("d")))
+    return out.drop("__x", "__y", "__n", "__c1", "__c2")
