@@ -88,16 +88,21 @@ def points_in_zones(points: DataFrame, edges: DataFrame, id_cols: list[str], x:
         F.floor(F.least("y1", "y2") / band).cast("long"),
         F.floor(F.greatest("y1", "y2") / band).cast("long"))))
     e, _ = broadcast_if_small(e, broadcast_max_rows)
-    p = points.select(*id_cols, F.col(x).alias("__px"), F.col(y).alias("__py"),
-                      F.floor(F.col(y) / band).cast("long").alias("__band"))
-    j = p.join(e, "__band")
+    # crossings are evaluated once per distinct location (rows sharing exact
+    # coordinates are a location data hot spot), then joined back
+    loc = (points.select(F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
+           .where(F.col("__px").isNotNull() & F.col("__py").isNotNull()).distinct()
+           .withColumn("__band", F.floor(F.col("__py") / band).cast("long")))
+    j = loc.join(e, "__band")
     spans = (F.col("y1") > F.col("__py")) != (F.col("y2") > F.col("__py"))
     x_cross = (F.col("x2") - F.col("x1")) * (F.col("__py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
     crosses = spans & (F.col("__px") < x_cross)
-    # pairs of one point are produced in one task (broadcast side), so the
-    # partial aggregate folds them before the shuffle
-    counted = j.where(crosses).groupBy(*id_cols, "zone").agg(F.count(F.lit(1)).alias("__k"))
-    return counted.where(F.col("__k") % 2 == 1).select(*id_cols, "zone")
+    # pairs of one location are produced in one task (broadcast side), so
+    # the partial aggregate folds them before the shuffle
+    inside = (j.where(crosses).groupBy("__px", "__py", "zone").agg(F.count(F.lit(1)).alias("__k"))
+              .where(F.col("__k") % 2 == 1).drop("__k"))
+    p = points.select(*id_cols, F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
+    return p.join(inside, ["__px", "__py"]).select(*id_cols, "zone")
 
 
 def first_zone(points: DataFrame, inside: DataFrame, id_cols: list[str], zone_order: list[str],
