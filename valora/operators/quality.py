@@ -55,18 +55,25 @@ def audit_checks(key: str = "numero_dpe", label_cols=("etiquette_dpe", "etiquett
 
 def check_counts(df: DataFrame, checks: list[Check], dup_key: str | None = None,
                  dup_check_name: str | None = None, include_info: bool = False) -> DataFrame:
-    """(check_name, n) for every check, zero counts included.  Row checks in one
-    ``agg``; the duplicate-key count (distinct non-null keys seen more than
-    once) in one grouped aggregation."""
+    """(check_name, n) for every check, zero counts included, in one scan.
+
+    Without a duplicate-key check, one global aggregation of ``count_if``s.
+    With one, the row checks are counted per key in the same grouped
+    aggregation that finds keys seen more than once (partial aggregation
+    leaves at most one row per key per task, so a hot key is not a hot
+    task), and a second, small aggregation sums them."""
     use = [c for c in checks if c.logged or include_info]
-    aggs = [F.count_if(c.predicate).alias(f"__c{i}") for i, c in enumerate(use)]
-    one = df.agg(*aggs)
-    pairs = ", ".join(f"'{c.name}', `__c{i}`" for i, c in enumerate(use))
-    long = one.selectExpr(f"stack({len(use)}, {pairs}) AS (check_name, n)")
+    counts = [F.count_if(c.predicate).alias(f"__c{i}") for i, c in enumerate(use)]
+    names = [c.name for c in use]
     if dup_key:
-        dups = duplicate_key_count(df, dup_key).select(
-            F.lit(dup_check_name or f"dup_{dup_key}").alias("check_name"), F.col("n_dup_keys").alias("n"))
-        long = long.unionByName(dups)
+        per_key = df.groupBy(dup_key).agg(F.count(F.lit(1)).alias("__n"), *counts)
+        one = per_key.agg(*[F.coalesce(F.sum(f"__c{i}"), F.lit(0)).alias(f"__c{i}") for i in range(len(use))],
+                          F.count_if(F.col(dup_key).isNotNull() & (F.col("__n") > 1)).alias(f"__c{len(use)}"))
+        names = names + [dup_check_name or f"dup_{dup_key}"]
+    else:
+        one = df.agg(*counts)
+    pairs = ", ".join(f"'{n}', `__c{i}`" for i, n in enumerate(names))
+    long = one.selectExpr(f"stack({len(names)}, {pairs}) AS (check_name, n)")
     return long.select("check_name", F.col("n").cast("long").alias("n"))
 
 
