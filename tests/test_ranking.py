@@ -78,3 +78,16 @@ def test_no_single_partition_window(spark, skewed):
     _, df = skewed
     plan = exact_quantiles(df, ["g"], ["v"], {"med": 0.5}, local_max_rows=None)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_value_bucket_is_order_preserving(spark):
+    from valora.operators.ranking import value_bucket
+    rnd = random.Random(3)
+    vals = [rnd.uniform(-1, 1) * 10 ** rnd.uniform(-12, 300) for _ in range(20000)]
+    vals += [0.0, -0.0, 1e-320, -1e-320, float("inf"), float("-inf"), float("nan"), 1.0, 1.0 + 2 ** -52]
+    vals += [x + k * 1e-9 for x in (12345.678, -0.5) for k in range(50)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
+    rows = df.select("v", value_bucket(F.col("v")).alias("b")).orderBy(F.col("v").asc_nulls_first()).collect()
+    bs = [r.b for r in rows]
+    assert all(a <= b for a, b in zip(bs, bs[1:]))
+    assert len(set(bs)) > 1000
