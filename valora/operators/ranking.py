@@ -54,8 +54,8 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
 
 
-# Inputs proven to hold at most this many rows take the per-group window
-# path: every group (and so every window partition) is then bounded too.
+# Inputs proven to hold at most this many rows take the bounded path (value
+# buckets, or one window per group): every group is then bounded too.
 LOCAL_MAX_ROWS = 5_000_000
 
 
