@@ -170,3 +170,11 @@ def test_proximity_self_mode_with_hot_location(spark):
                     if qx is not None and j != i and (px - qx) ** 2 + (py - qy) ** 2 <= r2)
         assert got[i][0] == len(ds), i
         assert (got[i][1], got[i][2]) == ((ds[0][1], ds[0][0]) if ds else (None, None)), i
+
+
+def test_parse_failures(spark):
+    from valora.operators.quality import parse_failures
+    df = spark.createDataFrame([("1 234,5", "bon"), ("n/a", "2"), ("", None), ("12f", "1.5")],
+                               "conso_5_usages_ep string, indicateur_confort_ete string")
+    got = {r.check_name: r.n for r in parse_failures(df, ["conso_5_usages_ep"], ["indicateur_confort_ete"]).collect()}
+    assert got == {"unparsable_conso_5_usages_ep": 2, "unparsable_indicateur_confort_ete": 1}

@@ -104,3 +104,19 @@ def label_distribution(df: DataFrame, col: str, alias: str = "label") -> DataFra
     """UPPER(TRIM(label)) -> count, non-null only, ordered by label  (A3, O1)."""
     return (df.where(F.col(col).isNotNull()).groupBy(upper_trim(F.col(col)).alias(alias))
             .agg(F.count(F.lit(1)).alias("n")).orderBy(F.asc_nulls_last(alias)))
+
+
+def parse_failures(raw: DataFrame, number_cols: list[str] = (), int_cols: list[str] = (),
+                   french: bool = True) -> DataFrame:
+    """(check_name, n): per text column, non-blank values the tolerant cast
+    turns into NULL — the values the clean-up then replaces by a median or a
+    default without trace (SURVEY Q13, Q17).  One aggregation."""
+    from valora.functions import is_non_blank, parse_fr_number, try_double, try_int_rounded
+    parse = parse_fr_number if french else try_double
+    checks = [Check(f"unparsable_{c}", is_non_blank(F.col(f"`{c}`")) & parse(F.col(f"`{c}`")).isNull())
+              for c in number_cols if c in raw.columns]
+    checks += [Check(f"unparsable_{c}", is_non_blank(F.col(f"`{c}`")) & try_int_rounded(F.col(f"`{c}`")).isNull())
+               for c in int_cols if c in raw.columns]
+    if not checks:
+        return raw.sparkSession.createDataFrame([], "check_name string, n bigint")
+    return check_counts(raw, checks)

@@ -1056,3 +1056,25 @@ def q_stream_latest_orders(spark, d):
     st = spark.read.parquet(f"{root}/state")
     return st.select("numero_dpe", "date_derniere_modification_dpe", "code_insee_ban", "etiquette_dpe",
                      "score_ban", "indicateur_confort_ete")
+
+
+@query("audit_lost_values", f"""
+WITH raw AS (SELECT {_audit_raw_sql()} FROM events)
+SELECT * FROM (
+  SELECT 'unparsable_conso_5_usages_ep' AS check_name,
+         COUNT(*) FILTER (WHERE TRIM(conso_5_usages_ep) != ''
+           AND TRY_CAST(REPLACE(REPLACE(conso_5_usages_ep, ',', '.'), ' ', '') AS DOUBLE) IS NULL) AS n FROM raw
+  UNION ALL
+  SELECT 'unparsable_cout_total_5_usages',
+         COUNT(*) FILTER (WHERE TRIM(cout_total_5_usages) != ''
+           AND TRY_CAST(REPLACE(REPLACE(cout_total_5_usages, ',', '.'), ' ', '') AS DOUBLE) IS NULL) FROM raw
+  UNION ALL
+  SELECT 'unparsable_indicateur_confort_ete',
+         COUNT(*) FILTER (WHERE TRIM(indicateur_confort_ete) != ''
+           AND TRY_CAST(indicateur_confort_ete AS INTEGER) IS NULL) FROM raw)
+""")
+def q_audit_lost_values(spark, d):
+    """Values the audit clean-up replaces without trace."""
+    from valora.operators.quality import parse_failures
+    spec = AuditSpec()
+    return parse_failures(_audit_raw(spark, d), spec.measures, [c for c, _ in spec.int_default])

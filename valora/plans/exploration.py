@@ -15,7 +15,7 @@ from valora import schemas
 from valora.operators.clean import AuditSpec, clean_audits, drop_null, fill_numeric, fill_text
 from valora.operators.dedup import dedup_counts
 from valora.operators.profile import missing_profile, residual_nulls
-from valora.operators.quality import audit_checks, label_distribution, qc_report, qc_totals
+from valora.operators.quality import audit_checks, label_distribution, parse_failures, qc_report, qc_totals
 from valora.plans.build import dedup_audits
 from valora.sources.delimited import read_delimited
 from valora.sources.reconcile import reconcile
@@ -44,6 +44,7 @@ def explore_audits(raw: DataFrame, as_of: str | None = None, spec: AuditSpec | N
     report = qc_report(imputed, audit_checks(as_of=as_of), dup_key=spec.key)
     return {
         "profile": missing_profile(kept),
+        "lost_values": parse_failures(kept, spec.measures, [c for c, _ in spec.int_default]),
         "imputed": imputed,
         "residual": residual_nulls(imputed),
         "qc_report": report,
