@@ -178,3 +178,19 @@ def test_parse_failures(spark):
                                "conso_5_usages_ep string, indicateur_confort_ete string")
     got = {r.check_name: r.n for r in parse_failures(df, ["conso_5_usages_ep"], ["indicateur_confort_ete"]).collect()}
     assert got == {"unparsable_conso_5_usages_ep": 2, "unparsable_indicateur_confort_ete": 1}
+
+
+def test_dimension_metres_and_filtered_statistics(spark):
+    from valora.operators.market import price_statistics
+    from valora.operators.star import address_dimension
+    adr = spark.createDataFrame([(1, "rue A", "72000", "Le Mans", 0.19, 48.0, "72181")],
+                                "numero long, nom_voie string, code_postal string, nom_commune string, "
+                                "lon double, lat double, code_insee string")
+    st = spark.createDataFrame([("Le Mans", "Le Mans", 0.19, 47.99)],
+                               "libelle string, commune string, longitude double, latitude double")
+    row = address_dimension(adr, st, with_metres=True).collect()[0]
+    assert abs(row.distance_gare_m - 1111.95) < 1.0
+    sales = spark.createDataFrame([("72", "Vente", 100.0), ("72", "Vente", 300.0), ("72", "Echange", 1e9)],
+                                  "dep string, nature string, price double")
+    st2 = price_statistics(sales, ["dep"], "price", rollup=False, where=F.col("nature") == "Vente").collect()
+    assert [(r.dep, r.median_price, r.n_sales) for r in st2] == [("72", 200.0, 2)]

@@ -86,15 +86,18 @@ def outlier_filter(df: DataFrame, group_cols: list[str], value_col: str, k: floa
 
 def price_statistics(df: DataFrame, group_cols: list[str], value_col: str, rollup: bool = True,
                      median_alias: str = "median_price", count_alias: str = "n_sales",
-                     level_alias: str = "grouping_level") -> DataFrame:
+                     level_alias: str = "grouping_level", where: Column | None = None) -> DataFrame:
     """Exact median and count of ``value_col`` per group, with ROLLUP
     subtotals when ``rollup``  (D7).
 
     Rollup levels are produced by one ``explode`` of the level number (one
     scan, like Spark's own Expand): level L keeps the first ``len(g) - L``
     group columns and NULLs the rest; ``grouping_level`` tells a subtotal
-    NULL from a data NULL."""
+    NULL from a data NULL.  ``where`` restricts the rows first, e.g. to one
+    kind of transaction (the reference prices all kinds alike, SURVEY Q19)."""
     g = list(group_cols)
+    if where is not None:
+        df = df.where(where)
     levels = list(range(len(g) + 1)) if rollup else [0]
     x = df.select(*g, F.col(value_col).cast("double").alias("__v"),
                   F.explode(F.array(*[F.lit(lv) for lv in levels])).alias(level_alias))

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valora.functions import NOT_PROVIDED, first_word_key, lower_key, sq_planar_distance
+from valora.functions import NOT_PROVIDED, first_word_key, haversine_m, lower_key, sq_planar_distance
 from valora.operators.joins import nearest_match, normalised_key_join, prefix_columns
 from valora.operators.ranking import dense_id, hash_id
 
@@ -31,13 +31,15 @@ def unique_addresses(sales: DataFrame, exclude_sentinel_keys: bool = False) -> D
 
 
 def address_dimension(addresses: DataFrame, stations: DataFrame, how: str = "inner",
-                      id_mode: str = "dense") -> DataFrame:
+                      id_mode: str = "dense", with_metres: bool = False) -> DataFrame:
     """Nearest station per address key by squared planar distance inside the
     first-word-of-town block, then a surrogate id  (C11 = J3 + J4 + W3 + P3).
 
     The reference numbers rows before keeping rank 1 (ids with gaps, Q3);
     here the id is assigned after: ``dense`` = 1..n in address-key order,
-    ``hash`` = 64-bit hash of the key (no ordering pass)."""
+    ``hash`` = 64-bit hash of the key (no ordering pass).  ``with_metres``
+    adds ``distance_gare_m``, the great-circle distance, next to the
+    reference's squared degrees (SURVEY Q5)."""
     st = stations.select(F.col("libelle").alias("nom_gare_proche"), F.col("commune").alias("__s_commune"),
                          F.col("longitude").alias("__s_lon"), F.col("latitude").alias("__s_lat"))
     best = nearest_match(
@@ -47,9 +49,13 @@ def address_dimension(addresses: DataFrame, stations: DataFrame, how: str = "inn
         distance_alias="distance_gare_degres", tie_break=["nom_gare_proche", "__s_lon", "__s_lat",
                                                           "lon", "lat", "nom_commune", "code_insee"],
         how=how)
-    best = best.drop("__s_commune", "__s_lon", "__s_lat")
     cols = ["numero", "nom_voie", "code_postal", "nom_commune", "lon", "lat", "code_insee",
             "nom_gare_proche", "distance_gare_degres"]
+    if with_metres:
+        best = best.withColumn("distance_gare_m", haversine_m(F.col("lon"), F.col("lat"),
+                                                               F.col("__s_lon"), F.col("__s_lat")))
+        cols.append("distance_gare_m")
+    best = best.drop("__s_commune", "__s_lon", "__s_lat")
     if id_mode == "hash":
         return best.select(hash_id(*ADDRESS_KEY).alias("id_adresse"), *cols)
     return dense_id(best.select(*cols), ADDRESS_KEY, "id_adresse").select("id_adresse", *cols)
