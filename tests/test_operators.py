@@ -153,14 +153,19 @@ def test_blank_audit_key_dropped(spark):
     assert [r.numero_dpe for r in dedup_audits(cleaned).collect()] == ["K"]
 
 
-def test_proximity_self_mode_with_hot_location(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("bmax", [2_000_000, 0], ids=["broadcast", "shuffle"])
+def test_proximity_self_mode_with_hot_location(spark, bmax):
     rnd = random.Random(11)
     pts = [(i, 0.5, 0.5) for i in range(40)]                       # a hot spot: 40 rows, one location
     pts += [(100 + i, rnd.uniform(0, 1), rnd.uniform(0, 1)) for i in range(120)]
     pts += [(500, None, 0.3)]
     P = spark.createDataFrame(pts, "id int, x double, y double")
     got = {r.id: (r.n_within, r.nearest_id, r.nearest_distance) for r in proximity(
-        P, P, ["id"], "id", "x", "y", "x", "y", radius=0.08, exclude_same_id=True).collect()}
+        P, P, ["id"], "id", "x", "y", "x", "y", radius=0.08, exclude_same_id=True,
+        broadcast_max_rows=bmax).collect()}
     r2 = 0.08 * 0.08
     for i, px, py in pts:
         if px is None:
