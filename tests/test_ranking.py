@@ -44,6 +44,8 @@ def test_quantiles_match_duckdb(spark, duck, skewed, local):
 def test_rank_table_brute_force(spark, skewed, local):
     rows, df = skewed
     rt = {(r.g, r.v): (r._cnt, r._before, r._n) for r in rank_table(df, ["g"], "v", 5, local).collect()}
+    bk = {(r.g, r.v): (r._cnt, r._before, r._n) for r in rank_table(df, ["g"], "v", 5, local, few_groups=True).collect()}
+    assert bk == rt
     for (g, v), (cnt, before, n) in rt.items():
         vals = [x[2] for x in rows if x[1] == g and x[2] is not None]
         assert n == len(vals)

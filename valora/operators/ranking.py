@@ -60,7 +60,8 @@ LOCAL_MAX_ROWS = 5_000_000
 
 
 def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
-               num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
+               num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS,
+               few_groups: bool = False) -> DataFrame:
     """One row per distinct ``(group..., value)`` (NULL values included, with
     weight 0) with columns ``_cnt`` (rows holding the value), ``_before``
     (non-null rows of the group with a strictly smaller value), ``_n``
@@ -69,10 +70,11 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
     (NULL rows of the group).
 
     A bounded probe (``limit(local_max_rows + 1).count()``, which stops
-    reading past the bound) picks the plan: a small input uses value buckets
-    (numbers) or one window per group (other types); anything larger, where
-    one group may hold a third of all rows, uses the range-partitioned
-    slices described above."""
+    reading past the bound) picks the plan: a small input uses one window per
+    group, or value buckets when the caller knows there are only a few
+    groups (``few_groups``: one window per group would leave most cores
+    idle); anything larger, where one group may hold a third of all rows,
+    uses the range-partitioned slices described above."""
     g = list(group_cols)
     v = value_col
     weight = F.when(F.col(v).isNull(), F.lit(0)).otherwise(F.lit(1))
@@ -80,7 +82,7 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
                                 F.count(F.lit(1)).alias("_rows"))
     if local_max_rows and df.limit(local_max_rows + 1).count() <= local_max_rows:
         gkey = [F.col(c) for c in g] if g else [F.lit(0)]
-        if isinstance(df.schema[v].dataType, T.NumericType):
+        if few_groups and isinstance(df.schema[v].dataType, T.NumericType):
             return _bucketed_ranks(agg, g, v)
         w_run = (Window.partitionBy(*gkey).orderBy(F.col(v).asc_nulls_first())
                  .rowsBetween(Window.unboundedPreceding, -1))
@@ -188,7 +190,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
     longf = df.select(*g, *[F.col(c).cast("double").alias(c) for c in value_cols])
     longf = longf.unpivot(g or [], value_cols, "_measure", "_value") if g else \
         longf.unpivot([], value_cols, "_measure", "_value")
-    rt = rank_table(longf, g + ["_measure"], "_value", num_partitions, local_max_rows)
+    rt = rank_table(longf, g + ["_measure"], "_value", num_partitions, local_max_rows, few_groups=not g)
     per = quantiles_from_ranks(rt, g + ["_measure"], "_value", quantiles, name_fmt="__q_{q}", rows_alias="__rows")
     # back to wide: one column per (quantile, measure); tiny input
     wide = []
@@ -242,7 +244,7 @@ def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: st
     ``ranks`` to reuse a :func:`rank_table` already built for the frame."""
     g = list(group_cols)
     rt = ranks if ranks is not None else rank_table(df.select(*g, value_col), g, value_col,
-                                                     num_partitions, local_max_rows)
+                                                     num_partitions, local_max_rows, few_groups=not g)
     nn = F.col("_nulls")
     total = F.col("_n") + nn
     before = F.when(F.col(value_col).isNull(), F.lit(0)).otherwise(F.col("_before") + nn)
