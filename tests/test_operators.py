@@ -199,3 +199,11 @@ def test_dimension_metres_and_filtered_statistics(spark):
                                   "dep string, nature string, price double")
     st2 = price_statistics(sales, ["dep"], "price", rollup=False, where=F.col("nature") == "Vente").collect()
     assert [(r.dep, r.median_price, r.n_sales) for r in st2] == [("72", 200.0, 2)]
+
+
+def test_first_zone_most_severe(spark):
+    from valora.operators.spatial import first_zone
+    pts = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    inside = spark.createDataFrame([(1, "C"), (1, "A"), (2, "D")], "id int, zone string")
+    got = {r.id: r.zone for r in first_zone(pts, inside, ["id"], ["A", "B", "C", "D"]).collect()}
+    assert got == {1: "A", 2: "D", 3: None}
