@@ -137,3 +137,14 @@ def test_points_and_sinks(spark, tmp):
     assert spark.sql("SELECT COUNT(*) AS n FROM v_test").collect()[0].n == 1
     assert sinks.drop_view(spark, "v_test")
     assert [tuple(r) for r in sinks.describe(df).collect()] == [("a", "int"), ("b", "string")]
+
+
+def test_sink_helpers_and_hash_id(spark):
+    from valora.operators.ranking import hash_id
+    df = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0)], "k int, s string, x double")
+    p = sinks.temp_persist(df)
+    assert sinks.row_count(p).collect()[0].n_rows == 2
+    assert sinks.drop_columns(p, "x").columns == ["k", "s"]
+    ids = [r.h for r in df.select(hash_id("k", "s").alias("h")).collect()]
+    assert len(set(ids)) == 2 and ids == [r.h for r in df.select(hash_id("k", "s").alias("h")).collect()]
+    p.unpersist()
