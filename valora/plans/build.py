@@ -98,3 +98,30 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         dim = spark.read.parquet(written["dim_adresses"])
         put("fact_dvf", sale_facts(sales, dim))
     return written
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit valora/plans/build.py --sales ... --out ...``: the
+    cluster manager supplies the master; the output folder should be on the
+    shared file system."""
+    import argparse
+    from valora.session import get_session
+
+    ap = argparse.ArgumentParser(description="Build the property-market tables from landed files.")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--addresses")
+    ap.add_argument("--sales")
+    ap.add_argument("--stations")
+    ap.add_argument("--zones")
+    ap.add_argument("--audits")
+    ap.add_argument("--years", default="2024,2025")
+    a = ap.parse_args(argv)
+    spark = get_session(app_name="valora-build")
+    written = run(spark, Landing(addresses=a.addresses, sales=a.sales, stations=a.stations, zones=a.zones,
+                                 audits=a.audits), a.out, years=tuple(int(y) for y in a.years.split(",")))
+    for name, path in written.items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()
