@@ -101,7 +101,8 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit valora/plans/build.py --sales ... --out ...``: the
+    """``python -m valora.plans.build --sales ... --out ...`` (or spark-submit
+    with the package on --py-files): the
     cluster manager supplies the master; the output folder should be on the
     shared file system."""
     import argparse
