@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from valora.llm.quality import with_quality
 from valora.llm.session import table
+from valora.llm.substring_dedup import remove_repeats
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +20,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *(F.col(f"quality.{c}").alias(c) for c in [*first, *rest]))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "dedup.n_words", "dedup.n_removed",
+                       F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
 #: name -> (query, DuckDB SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_quality_rules": (op1_quality_rules, None),
+    "op10_substring_dedup": (op10_substring_dedup, None),
 }
