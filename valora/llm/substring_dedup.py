@@ -43,12 +43,12 @@ from valora.llm import words as W
 PERIOD, COVER = 7, (1, 2, 4)
 #: Text combined before rows leave a task.
 BATCH_BYTES = 8 << 20
-_FOUND = "key long, more int, id long, sig long, low int, high int"
+_FOUND = "key long, more int, id long, at long, size int"
 
 
-def _spread(id_: np.ndarray, low: np.ndarray) -> np.ndarray:
+def _spread(id_: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Negative keys for rows that need no partner."""
-    return -(W.mix(id_.astype(W.U) * W.U(31) + low.astype(W.U)) >> W.U(1)).astype(np.int64) - 1
+    return -(W.mix(id_.astype(W.U) * W.U(31) + at.astype(W.U)) >> W.U(1)).astype(np.int64) - 1
 
 
 def _runs(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,25 +66,16 @@ def _runs(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndar
     return owner[at], low[at], (reach[last] - shift[last])
 
 
-def _emit(key, more, id_, sig, low, high) -> pa.RecordBatch:
+def _emit(key, more, id_, at, size) -> pa.RecordBatch:
+    """``at``: 31 bits of the text's hash (rows of one id may differ) above the
+    32 of the word position, so that rows stay short."""
     return pa.RecordBatch.from_arrays(
-        [pa.array(key, pa.int64()), pa.array(more, pa.int32()), pa.array(id_, pa.int64()), pa.array(sig, pa.int64()),
-         pa.array(low, pa.int32()), pa.array(high, pa.int32())], ["key", "more", "id", "sig", "low", "high"])
-
-
-def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorting order and, in it, the group number of each entry."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    return order, np.cumsum(new)
+        [pa.array(key, pa.int64()), pa.array(more, pa.int32()), pa.array(id_, pa.int64()), pa.array(at, pa.int64()),
+         pa.array(size, pa.int32())], ["key", "more", "id", "at", "size"])
 
 
 def _anchors(window: int):
-    """Per batch: an anchor's key with the window starts it marks."""
-    span = window - PERIOD
+    """Per batch: an anchor's key and place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sigs = (batch.column(k).to_numpy() for k in (0, 1))
@@ -94,92 +85,93 @@ def _anchors(window: int):
                 grams = W.rolling(hashes, PERIOD)
                 place = np.arange(len(grams)) - bounds[row[: len(grams)]]
                 long_enough = (np.diff(bounds) >= window)[row[: len(grams)]]
-                at = np.flatnonzero(W.inside(bounds, PERIOD) & np.isin(place % PERIOD, COVER) & long_enough)
-                if not len(at):
+                on = np.flatnonzero(W.inside(bounds, PERIOD) & np.isin(place % PERIOD, COVER) & long_enough)
+                if not len(on):
                     continue
-                key, row, place = (grams[at] >> W.U(16)).astype(np.int64), row[at], place[at]
-                size = np.diff(bounds)[row]
-                low, high = np.maximum(place - span, 0), np.minimum(place, size - window) + 1
-                id_, sig = ids[a:b][row], sigs[a:b][row]
-                order, group = _groups(key, id_)
-                group = np.cumsum(np.append(False, np.diff(key[order]) != 0))
+                key, row, place = (grams[on] >> W.U(16)).astype(np.int64), row[on], place[on]
+                id_, at = ids[a:b][row], (sigs[a:b][row] << 32) | place
+                order = np.lexsort((id_, key))
                 k, i = key[order], id_[order]
-                start = np.flatnonzero(np.append(True, np.diff(group) != 0))
-                end = np.append(start[1:], len(group))
+                new = np.append(True, k[1:] != k[:-1])
+                start = np.flatnonzero(new)
+                end = np.append(start[1:], len(k))
                 several = i[start] != i[end - 1]
-                alone = order[~several[group]]
-                near = order[several[group]]
-                owner, lo, hi = _runs(row[near], low[near], high[near])
-                zero = np.zeros(2 * int(several.sum()), np.int64)
-                yield _emit(
-                    np.concatenate([key[alone], k[start[several]], k[start[several]], _spread(ids[a:b][owner], lo)]),
-                    np.zeros(len(alone) + len(zero) + len(owner), np.int32),
-                    np.concatenate([id_[alone], i[start[several]], i[end[several] - 1], ids[a:b][owner]]),
-                    np.concatenate([sig[alone], zero, sigs[a:b][owner]]),
-                    np.concatenate([low[alone], zero, lo]), np.concatenate([high[alone], zero, hi]))
+                shared = np.zeros(len(k), bool)
+                shared[order] = several[np.cumsum(new) - 1]
+                low, high = start[several], end[several] - 1
+                key = np.where(shared, _spread(id_, at), key)
+                some = np.zeros(2 * len(low), np.int64)
+                yield _emit(np.concatenate([key, k[low], k[low]]), np.zeros(len(key) + len(some), np.int32),
+                            np.concatenate([id_, i[low], i[high]]), np.concatenate([at, some - 1]),
+                            np.ones(len(key) + len(some), np.int32))
     return run
 
 
 def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, low, high) of a list<struct<low, high>> column; null: none."""
+    """(row, low, size) of a list<struct<low, size>> column; null: none."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    counts = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = column.flatten()
-    return (np.repeat(np.arange(len(column)), sizes), flat.field(0).to_numpy().astype(np.int64),
+    return (np.repeat(np.arange(len(column)), counts), flat.field(0).to_numpy().astype(np.int64),
             flat.field(1).to_numpy().astype(np.int64))
 
 
+def _marked(bounds: np.ndarray, row: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Words of the rows that lie in a span [low, high) of word positions."""
+    change = np.zeros(int(bounds[-1]) + 1, np.int32)
+    size = np.diff(bounds)[row]
+    np.add.at(change, bounds[row] + np.clip(low, 0, size), 1)
+    np.subtract.at(change, bounds[row] + np.clip(high, 0, size), 1)
+    return np.cumsum(change[:-1]) > 0
+
+
 def _windows(window: int):
     """Per batch: the marked windows' keys; a window that a smaller document
     of the batch has is settled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sigs = (batch.column(k).to_numpy() for k in (0, 1))
-            of, span_low, span_high = _spans(batch.column(3))
+            of, low, _ = _spans(batch.column(3))
             for a, b, data, offs in W.slices(batch.column(2), BATCH_BYTES):
                 hashes, bounds = W.word_hashes(data, offs)
                 mine = (of >= a) & (of < b)
-                marked = np.zeros(len(hashes) + 1, np.int32)
-                np.add.at(marked, bounds[of[mine] - a] + span_low[mine], 1)
-                np.subtract.at(marked, bounds[of[mine] - a] + span_high[mine], 1)
+                marked = _marked(bounds, of[mine] - a, low[mine] - (window - PERIOD), low[mine] + 1)
                 grams = W.rolling(hashes, window)
-                at = np.flatnonzero((np.cumsum(marked[:-1]) > 0)[: len(grams)] & W.inside(bounds, window))
+                at = np.flatnonzero(marked[: len(grams)] & W.inside(bounds, window))
                 if not len(at):
                     continue
                 key = (grams[at] >> W.U(1)).astype(np.int64)
                 more = (W.rolling(W.mix(hashes), window)[at] >> W.U(33)).astype(np.int64)
                 row = W.row_of(bounds)[at]
                 place = at - bounds[row]
-                id_, sig = ids[a:b][row], sigs[a:b][row]
-                order, _ = _groups(key, more, id_)
+                id_ = ids[a:b][row]
+                order = np.lexsort((id_, more, key))
                 k, m, i = key[order], more[order], id_[order]
-                new = np.append(True, (np.diff(k) != 0) | (np.diff(m) != 0))
+                new = np.append(True, (k[1:] != k[:-1]) | (m[1:] != m[:-1]))
                 least = i[np.flatnonzero(new)][np.cumsum(new) - 1]
                 ask, done = order[i == least], order[i != least]
                 owner, lo, hi = _runs(row[done], place[done], place[done] + window)
-                yield _emit(
-                    np.concatenate([key[ask], _spread(ids[a:b][owner], lo)]),
-                    np.concatenate([more[ask], np.zeros(len(owner), np.int64)]),
-                    np.concatenate([id_[ask], ids[a:b][owner]]), np.concatenate([sig[ask], sigs[a:b][owner]]),
-                    np.concatenate([place[ask], lo]), np.concatenate([place[ask] + window, hi]))
+                id_, where = np.concatenate([id_[ask], ids[a:b][owner]]), np.concatenate([place[ask], lo])
+                where |= sigs[a:b][np.concatenate([row[ask], owner])] << 32
+                settled = slice(len(ask), None)
+                yield _emit(np.concatenate([key[ask], _spread(id_[settled], where[settled])]),
+                            np.concatenate([more[ask], np.zeros(len(owner), np.int64)]), id_, where,
+                            np.concatenate([np.full(len(ask), window), hi - lo]))
     return run
 
 
 def _cut(window: int):
     @F.arrow_udf("n_words long, n_removed long, kept string")
     def cut(texts: pa.Array, spans: pa.Array, copies: pa.Array) -> pa.Array:
-        of, low, high = _spans(spans)
+        of, low, run = _spans(spans)
         copy = copies.to_numpy(zero_copy_only=False).astype(bool)
         out = []
         for a, b, data, offs in W.slices(texts):
             starts, ends, bounds = W.word_spans(data, offs)
             size = np.diff(bounds)
             mine = (of >= a) & (of < b)
-            change = np.zeros(len(starts) + 1, np.int32)
-            np.add.at(change, bounds[of[mine] - a] + low[mine], 1)
-            np.subtract.at(change, bounds[of[mine] - a] + high[mine], 1)
             row = W.row_of(bounds)
-            gone = (np.cumsum(change[:-1]) > 0) | (copy[a:b] & (size >= window))[row]
+            gone = _marked(bounds, of[mine] - a, low[mine], (low + run)[mine]) | (copy[a:b] & (size >= window))[row]
             stay = np.flatnonzero(~gone)
             final = np.append(row[stay][1:] != row[stay][:-1], True)[: len(stay)]
             edges = np.zeros(len(data) + 2, np.int8)
@@ -201,8 +193,10 @@ def _cut(window: int):
 
 
 def _collected(found: DataFrame, hit: Column) -> DataFrame:
-    return (found.filter(hit & (F.col("high") > F.col("low"))).groupBy("id", "sig")
-            .agg(F.collect_list(F.struct("low", "high")).alias("spans")))
+    """Per text: the places (low, size) of the rows that ``hit``."""
+    place = F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("low"), "size")
+    return (found.filter(hit & (F.col("at") >= 0))
+            .groupBy("id", F.shiftright("at", 32).alias("sig")).agg(F.collect_list(place).alias("spans")))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
@@ -212,7 +206,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if window < 2 * PERIOD - 1:
         raise ValueError(f"a window has at least {2 * PERIOD - 1} words")
     id_, sig, text = "__dedup_id", "__dedup_sig", F.col(f"`{text_col}`").cast("string")
-    keyed = df.withColumns({id_: F.col(f"`{id_col}`").cast("long"), sig: F.xxhash64(text)})
+    # a whole-number id moves once; the order of the columns is that of
+    # ``texts``, so that all uses of the texts share one exchange
+    rest = [c for c in df.columns if c != out and (c != id_col or dict(df.dtypes)[id_col] != "bigint")]
+    keyed = df.select(F.col(f"`{id_col}`").cast("long").alias(id_),
+                      F.shiftrightunsigned(F.xxhash64(text), 33).alias(sig), *(F.col(f"`{c}`") for c in rest))
     known = keyed.filter(F.col(id_).isNotNull())
     texts = known.select(F.col(id_).alias("id"), F.col(sig).alias("sig"), text.alias("text"))
 
@@ -223,23 +221,29 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = (hashed.join(groups, "same").filter(F.col("id") > F.col("first")).select("id", "sig").distinct())
 
     single = texts.join(copies, ["id", "sig"], "left_anti").select("id", "sig", "text")
-    anchors = (single.sortWithinPartitions("id", "sig").mapInArrow(_anchors(window), _FOUND).drop("more"))
+    anchors = (single.sortWithinPartitions("id", "sig").mapInArrow(_anchors(window), _FOUND)
+               .select("key", "id", "at"))
     same = Window.partitionBy("key")
-    marked = _collected(anchors.withColumns({"least": F.min("id").over(same), "most": F.max("id").over(same)}),
+    anchors = anchors.withColumns({"least": F.min("id").over(same), "most": F.max("id").over(same)})
+    marked = _collected(anchors.withColumn("size", F.lit(1)),
                         (F.col("key") < 0) | (F.col("least") < F.col("most")))
 
+    # an anchor marks the windows it can lie in
     windows = (single.join(marked, ["id", "sig"]).select("id", "sig", "text", "spans")
                .sortWithinPartitions("id", "sig").mapInArrow(_windows(window), _FOUND))
     covered = _collected(windows.withColumn("least", F.min("id").over(Window.partitionBy("key", "more"))),
                          (F.col("key") < 0) | (F.col("least") < F.col("id")))
 
     info = (covered.withColumn("copy", F.lit(False))
-            .unionByName(copies.withColumns({"spans": F.lit(None).cast("array<struct<low:int,high:int>>"),
+            .unionByName(copies.withColumns({"spans": F.lit(None).cast("array<struct<low:int,size:int>>"),
                                              "copy": F.lit(True)})))
     info = info.select(F.col("id").alias(id_), F.col("sig").alias(sig), F.col("spans").alias("__spans"),
                        F.col("copy").alias("__copy"))
-    none = {"__spans": F.lit(None).cast("array<struct<low:int,high:int>>"), "__copy": F.lit(False)}
+    none = {"__spans": F.lit(None).cast("array<struct<low:int,size:int>>"), "__copy": F.lit(False)}
     joined = (known.join(info, [id_, sig], "left")
               .unionByName(keyed.filter(F.col(id_).isNull()).withColumns(none)))
     cut = _cut(window)(text, F.col("__spans"), F.coalesce(F.col("__copy"), F.lit(False)))
-    return joined.withColumn(out, cut).select(*(F.col(f"`{c}`") for c in df.columns if c != out), out)
+    done = joined.withColumn(out, cut)
+    if id_col not in keyed.columns:
+        done = done.withColumnRenamed(id_, id_col)
+    return done.select(*(F.col(f"`{c}`") for c in df.columns if c != out), out)
