@@ -11,7 +11,7 @@ corpus itself, so:
    some shift k of 0..6 puts both on the cover, so two equal 13-word windows
    contain, k words in, equal 7-word runs that are anchors in both documents.
    Anchors found in two documents mark the only windows that can repeat.
-2. *Extension.*  Of marked windows the whole 13 words are compared (by 96
+2. *Extension.*  Of marked windows the whole 13 words are compared (by 79
    hash bits), and for each the smallest document that has it is found.
 3. The covered words are cut out.
 
@@ -108,12 +108,11 @@ def _anchors(window: int):
 
 
 def _spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, low, size) of a list<struct<low, size>> column; null: none."""
+    """(row, low, size) of a list column of ``low + size << 32``; null: none."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     counts = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = column.flatten()
-    return (np.repeat(np.arange(len(column)), counts), flat.field(0).to_numpy().astype(np.int64),
-            flat.field(1).to_numpy().astype(np.int64))
+    flat = column.flatten().to_numpy().astype(np.int64)
+    return np.repeat(np.arange(len(column)), counts), flat & 0xFFFFFFFF, flat >> 32
 
 
 def _marked(bounds: np.ndarray, row: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -141,7 +140,7 @@ def _windows(window: int):
                 if not len(at):
                     continue
                 key = (grams[at] >> W.U(1)).astype(np.int64)
-                more = (W.rolling(W.mix(hashes), window)[at] >> W.U(33)).astype(np.int64)
+                more = (W.rolling(W.mix(hashes), window)[at] >> W.U(48)).astype(np.int64)
                 row = W.row_of(bounds)[at]
                 place = at - bounds[row]
                 id_ = ids[a:b][row]
@@ -149,7 +148,7 @@ def _windows(window: int):
                 k, m, i = key[order], more[order], id_[order]
                 new = np.append(True, (k[1:] != k[:-1]) | (m[1:] != m[:-1]))
                 least = i[np.flatnonzero(new)][np.cumsum(new) - 1]
-                ask, done = order[i == least], order[i != least]
+                ask, done = np.sort(order[i == least]), order[i != least]  # in text order: rows of one text compress well
                 owner, lo, hi = _runs(row[done], place[done], place[done] + window)
                 id_, where = np.concatenate([id_[ask], ids[a:b][owner]]), np.concatenate([place[ask], lo])
                 where |= sigs[a:b][np.concatenate([row[ask], owner])] << 32
@@ -192,11 +191,10 @@ def _cut(window: int):
     return cut
 
 
-def _collected(found: DataFrame, hit: Column) -> DataFrame:
-    """Per text: the places (low, size) of the rows that ``hit``."""
-    place = F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("low"), "size")
-    return (found.filter(hit & (F.col("at") >= 0))
-            .groupBy("id", F.shiftright("at", 32).alias("sig")).agg(F.collect_list(place).alias("spans")))
+def _collected(found: DataFrame, hit: Column, place: Column) -> DataFrame:
+    """Per text: the places of the rows that ``hit``."""
+    return (found.filter(hit & (F.col("at") >= 0)).groupBy("id", F.shiftright("at", 32).alias("sig"))
+            .agg(F.collect_list(place).alias("spans")))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
@@ -225,21 +223,22 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .select("key", "id", "at"))
     same = Window.partitionBy("key")
     anchors = anchors.withColumns({"least": F.min("id").over(same), "most": F.max("id").over(same)})
-    marked = _collected(anchors.withColumn("size", F.lit(1)),
-                        (F.col("key") < 0) | (F.col("least") < F.col("most")))
+    low = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
+    marked = _collected(anchors, (F.col("key") < 0) | (F.col("least") < F.col("most")), low.cast("int"))
 
     # an anchor marks the windows it can lie in
     windows = (single.join(marked, ["id", "sig"]).select("id", "sig", "text", "spans")
                .sortWithinPartitions("id", "sig").mapInArrow(_windows(window), _FOUND))
     covered = _collected(windows.withColumn("least", F.min("id").over(Window.partitionBy("key", "more"))),
-                         (F.col("key") < 0) | (F.col("least") < F.col("id")))
+                         (F.col("key") < 0) | (F.col("least") < F.col("id")),
+                         low.bitwiseOR(F.shiftleft(F.col("size").cast("long"), 32)))
 
     info = (covered.withColumn("copy", F.lit(False))
-            .unionByName(copies.withColumns({"spans": F.lit(None).cast("array<struct<low:int,size:int>>"),
+            .unionByName(copies.withColumns({"spans": F.lit(None).cast("array<long>"),
                                              "copy": F.lit(True)})))
     info = info.select(F.col("id").alias(id_), F.col("sig").alias(sig), F.col("spans").alias("__spans"),
                        F.col("copy").alias("__copy"))
-    none = {"__spans": F.lit(None).cast("array<struct<low:int,size:int>>"), "__copy": F.lit(False)}
+    none = {"__spans": F.lit(None).cast("array<long>"), "__copy": F.lit(False)}
     joined = (known.join(info, [id_, sig], "left")
               .unionByName(keyed.filter(F.col(id_).isNull()).withColumns(none)))
     cut = _cut(window)(text, F.col("__spans"), F.coalesce(F.col("__copy"), F.lit(False)))
