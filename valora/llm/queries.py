@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from valora.llm.ngram_join import near_classes
 from valora.llm.quality import with_quality
 from valora.llm.session import table
 from valora.llm.substring_dedup import remove_repeats
@@ -20,6 +21,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *(F.col(f"quality.{c}").alias(c) for c in [*first, *rest]))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "dedup.n_words", "dedup.n_removed",
@@ -29,5 +34,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: name -> (query, DuckDB SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_quality_rules": (op1_quality_rules, None),
+    "op5_ngram_jaccard_join": (op5_ngram_jaccard_join, None),
     "op10_substring_dedup": (op10_substring_dedup, None),
 }
