@@ -135,22 +135,34 @@ def _tokens(n: int):
     return run
 
 
-def _fits(n1: Column, n2: Column, percent: int) -> Column:
-    return (100 * n1 >= percent * n2) & (100 * n2 >= percent * n1)
+#: Of a node in the group of a shingle: set size, shared shingles, how many of
+#: these come before it, overlap with the group's hub.
+SHAPE = ("n", "s", "at", "o")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of ``pairs`` (a, b) those with enough overlap, counted per fragment and
-    summed."""
+def _fits(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
+    """Whether two nodes of a group can overlap enough."""
+    order = F.least(x["at"], y["at"]) + F.least(x["s"] - x["at"], y["s"] - y["at"])
+    hub = F.least(x["o"], y["o"]) + F.least(x["s"] - x["o"], y["s"] - y["o"])
+    most = F.least(order, hub)
+    return 100 * most >= percent * (x["n"] + y["n"] - most)
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with their set sizes (na, nb) and ``overlap``, counted
+    per fragment and summed."""
     parts = sets.select("node", "n", F.explode("keys").alias("key")).groupBy(
         "node", "n", F.shiftrightunsigned("key", 61).alias("fragment")).agg(F.collect_list("key").alias("part"))
     left = parts.select(F.col("node").alias("a"), F.col("n").alias("na"), "fragment", F.col("part").alias("pa"))
     right = parts.select(F.col("node").alias("b"), F.col("n").alias("nb"), "fragment", F.col("part").alias("pb"))
-    counted = (pairs.join(left, "a").join(right, ["b", "fragment"])
-               .select("a", "b", "na", "nb", F.size(F.array_intersect("pa", "pb")).cast("long").alias("partial"))
-               .groupBy("a", "b", "na", "nb").agg(F.sum("partial").alias("overlap")))
+    return (pairs.join(left, "a").join(right, ["b", "fragment"])
+            .select("a", "b", "na", "nb", F.size(F.array_intersect("pa", "pb")).cast("long").alias("partial"))
+            .groupBy("a", "b", "na", "nb").agg(F.sum("partial").alias("overlap")))
+
+
+def _linked(overlaps: DataFrame, percent: int) -> DataFrame:
     union = F.col("na") + F.col("nb") - F.col("overlap")
-    return counted.filter(100 * F.col("overlap") >= percent * union).select("a", "b")
+    return overlaps.filter(100 * F.col("overlap") >= percent * union).select("a", "b")
 
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -183,30 +195,33 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .filter(F.col("alone") <= F.col("spare")))
     sets = stored(sets)
 
-    first = sets.select("node", "n", (F.col("alone") / F.col("n")).alias("far"),
-                        F.explode(F.slice("keys", 1, (F.col("spare") + 1 - F.col("alone")).cast("int"))).alias("key"))
-    hubs = first.groupBy("key").agg(F.min(F.struct("far", "node", "n")).alias("hub"), F.count("*").alias("c")).filter(
-        F.col("c") > 1)
-    pairs = (first.join(hubs, "key").filter((F.col("node") != F.col("hub.node")) & _fits(F.col("n"), F.col("hub.n"), percent))
-             .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
-    pairs = stored(pairs)
-    links = stored(_linked(pairs, sets, percent))
+    first = sets.select("node", "n", F.size("keys").alias("s"), (F.col("alone") / F.col("n")).alias("far"),
+                        F.posexplode(F.slice("keys", 1, (F.col("spare") + 1 - F.col("alone")).cast("int"))).alias("at", "key"))
+    hubs = first.groupBy("key").agg(F.min(F.struct("far", "node")).getField("node").alias("hub"),
+                                    F.count("*").alias("c")).filter(F.col("c") > 1).select("key", "hub")
+    near = first.join(hubs, "key").filter(F.col("node") != F.col("hub"))
+    known_pairs = stored(_overlaps(near.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), sets))
+    links = _linked(known_pairs, percent)
     groups = components(links, "a", "b")
 
-    placed = (first.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-              .select("key", "node", "n", "group"))
+    # what is left: nodes of one shingle's group in different components.  Of
+    # two of them, the overlap is at most what both have in common with the
+    # hub, and what of the rest either shares with anything.
+    placed = (near.join(known_pairs.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("overlap").alias("o")),
+                        ["node", "hub"])
+              .join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+              .select("key", "node", "group", *SHAPE))
     main = (placed.groupBy("key", "group").agg(F.count("*").alias("c")).groupBy("key")
             .agg(F.max(F.struct("c", "group")).getField("group").alias("main"), F.count("*").alias("groups"))
             .filter(F.col("groups") > 1).select("key", "main"))
     spread = placed.join(main, "key")
     other = spread.filter(F.col("group") != F.col("main")).select(
-        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("group").alias("gx"))
-    more = (spread.join(other, "key")
-            .filter((F.col("group") != F.col("gx")) & _fits(F.col("n"), F.col("nx"), percent)
-                    & ((F.col("group") == F.col("main")) | (F.col("x") < F.col("node"))))
-            .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    links = links.unionByName(_linked(more, sets, percent))
+        "key", *(F.col(c).alias(f"x_{c}") for c in ("node", "group", *SHAPE)))
+    fits = _fits({c: F.col(c) for c in SHAPE}, {c: F.col(f"x_{c}") for c in SHAPE}, percent)
+    more = (spread.join(other, (spread["key"] == other["key"]) & (F.col("group") != F.col("x_group")) & fits
+                        & ((F.col("group") == F.col("main")) | (F.col("x_node") < F.col("node"))))
+            .select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct())
+    links = links.unionByName(_linked(_overlaps(more, sets), percent))
     groups = components(links, "a", "b").withColumnRenamed("component", "class")
 
     named = (decided.join(nodes.select("s1", "s2", "n", "node"), ["s1", "s2", "n"], "left")
