@@ -11,9 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from valora.llm.decontaminate import drop_leaks
+from valora.llm.mixing import mix
+from valora.llm.ngram_join import keep_one
 from valora.llm.quality import keep_quality
 from valora.llm.session import ready, stored, table
+from valora.llm.sharding import reshard
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +27,39 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_quality(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: the one with the smallest id."""
+    ready(spark)
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents a mixture with equal weights takes, none twice."""
+    return mix(docs, share=MIX_SHARE, max_epochs=1, epoch_col=None)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document goes: 24 shards of near-equal bytes, from shards by
+    source."""
+    old = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(20))
+    placed = reshard(docs.select("doc_id", "source", "lang", "text"), old, 24)
+    return placed.select("doc_id", "lang", "source", "size", "old_shard", "shard", "slot")
+
+
+#: Share of the tokens that the mixture takes.
+MIX_SHARE = 0.9
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
 ]
 
 #: n-gram joins with connected components and flow solutions are no SQL
