@@ -15,10 +15,11 @@ overlaps are counted fragment by fragment and summed per pair.
 4. *Pairs without all pairs.*  In the group of each such shingle every node is
    paired with one hub, the node with the smallest unshared share.  Overlaps
    per fragment are summed per pair; links give components.  In a group of
-   near copies that settles nearly everything.  Then, in the groups that still
-   span several components, the nodes outside the group's main component are
-   paired with the members of other components and counted in the same way.
-   Pairs inside one component are never made.
+   near copies that settles nearly everything.  Then, among the nodes of one hub
+   that are still in different components, those outside the hub's main
+   component are paired with the members of other components, if the overlaps
+   with the hub, fragment by fragment, leave room for a link, and counted in
+   the same way.  Pairs inside one component are never made.
 5. Components of both kinds of links.
 
 The shingle groups are resolved within each Arrow batch first, so a shingle of
@@ -46,9 +47,9 @@ from valora.llm import words as W
 from valora.llm.graph import components
 from valora.llm.session import stored
 
-FRAGMENTS, PROBE = 8, 3
+FRAGMENTS, PROBE = 32, 12
+FRAGMENT_BITS = 5
 BATCH_BYTES = 8 << 20
-_LOW = np.int64(-(1 << 63))
 
 
 def _set_hashes(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,29 +136,44 @@ def _tokens(n: int):
     return run
 
 
-#: Of a node in the group of a shingle: set size, shared shingles, how many of
-#: these come before it, overlap with the group's hub.
-SHAPE = ("n", "s", "at", "o")
+def _sum(column: Column) -> Column:
+    return F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _fits(x: dict[str, Column], y: dict[str, Column], percent: int) -> Column:
-    """Whether two nodes of a group can overlap enough."""
-    order = F.least(x["at"], y["at"]) + F.least(x["s"] - x["at"], y["s"] - y["at"])
-    hub = F.least(x["o"], y["o"]) + F.least(x["s"] - x["o"], y["s"] - y["o"])
-    most = F.least(order, hub)
-    return 100 * most >= percent * (x["n"] + y["n"] - most)
+def _fits(percent: int) -> Column:
+    """Whether two nodes with the same hub can overlap enough.  Overlap is at
+    most what both have in common with the hub, and what of the rest either
+    shares with anything; first by totals, then fragment by fragment."""
+    n = F.col("n") + F.col("x_n")
+    total = F.least("o", "x_o") + F.least(F.col("s") - F.col("o"), F.col("x_s") - F.col("x_o"))
+    rest = lambda p: F.zip_with(f"{p}sf", f"{p}of", lambda s, o: s - o)
+    least = lambda x, y: F.zip_with(x, y, lambda a, b: F.least(a, b))
+    parts = _sum(least("of", "x_of")) + _sum(least(rest(""), rest("x_")))
+    return (100 * total >= percent * (n - total)) & (100 * parts >= percent * (n - parts))
+
+
+def _by_fragment(entries: Column) -> Column:
+    """A map of counts by fragment as an array."""
+    return F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)),
+                       lambda f: F.coalesce(F.element_at(entries, f), F.lit(0)))
+
+
+def _fragment(key: str) -> Column:
+    return F.shiftrightunsigned(key, 64 - FRAGMENT_BITS).cast("int")
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with their set sizes (na, nb) and ``overlap``, counted
-    per fragment and summed."""
+    per fragment (``of``) and summed."""
     parts = sets.select("node", "n", F.explode("keys").alias("key")).groupBy(
-        "node", "n", F.shiftrightunsigned("key", 61).alias("fragment")).agg(F.collect_list("key").alias("part"))
+        "node", "n", _fragment("key").alias("fragment")).agg(F.collect_list("key").alias("part"))
     left = parts.select(F.col("node").alias("a"), F.col("n").alias("na"), "fragment", F.col("part").alias("pa"))
     right = parts.select(F.col("node").alias("b"), F.col("n").alias("nb"), "fragment", F.col("part").alias("pb"))
     return (pairs.join(left, "a").join(right, ["b", "fragment"])
-            .select("a", "b", "na", "nb", F.size(F.array_intersect("pa", "pb")).cast("long").alias("partial"))
-            .groupBy("a", "b", "na", "nb").agg(F.sum("partial").alias("overlap")))
+            .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("pa", "pb")).alias("partial"))
+            .groupBy("a", "b", "na", "nb").agg(
+                F.sum("partial").alias("overlap"),
+                _by_fragment(F.map_from_entries(F.collect_list(F.struct("fragment", "partial")))).alias("of")))
 
 
 def _linked(overlaps: DataFrame, percent: int) -> DataFrame:
@@ -195,8 +211,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .filter(F.col("alone") <= F.col("spare")))
     sets = stored(sets)
 
-    first = sets.select("node", "n", F.size("keys").alias("s"), (F.col("alone") / F.col("n")).alias("far"),
-                        F.posexplode(F.slice("keys", 1, (F.col("spare") + 1 - F.col("alone")).cast("int"))).alias("at", "key"))
+    first = sets.select("node", (F.col("alone") / F.col("n")).alias("far"),
+                        F.explode(F.slice("keys", 1, (F.col("spare") + 1 - F.col("alone")).cast("int"))).alias("key"))
     hubs = first.groupBy("key").agg(F.min(F.struct("far", "node")).getField("node").alias("hub"),
                                     F.count("*").alias("c")).filter(F.col("c") > 1).select("key", "hub")
     near = first.join(hubs, "key").filter(F.col("node") != F.col("hub"))
@@ -204,22 +220,23 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = _linked(known_pairs, percent)
     groups = components(links, "a", "b")
 
-    # what is left: nodes of one shingle's group in different components.  Of
-    # two of them, the overlap is at most what both have in common with the
-    # hub, and what of the rest either shares with anything.
-    placed = (near.join(known_pairs.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("overlap").alias("o")),
-                        ["node", "hub"])
-              .join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-              .select("key", "node", "group", *SHAPE))
-    main = (placed.groupBy("key", "group").agg(F.count("*").alias("c")).groupBy("key")
+    # what is left: of nodes that share a shingle of the first ones, and so a
+    # hub, those in different components
+    shape = ("n", "s", "o", "sf", "of")
+    sizes = (sets.select("node", F.explode("keys").alias("key")).groupBy("node", _fragment("key").alias("f"))
+             .agg(F.count("*").cast("int").alias("c")).groupBy("node")
+             .agg(_by_fragment(F.map_from_entries(F.collect_list(F.struct("f", "c")))).alias("sf"), F.sum("c").alias("s")))
+    placed = (known_pairs.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("na").alias("n"),
+                                 F.col("overlap").alias("o"), "of")
+              .join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")))
+    main = (placed.groupBy("hub", "group").agg(F.count("*").alias("c")).groupBy("hub")
             .agg(F.max(F.struct("c", "group")).getField("group").alias("main"), F.count("*").alias("groups"))
-            .filter(F.col("groups") > 1).select("key", "main"))
-    spread = placed.join(main, "key")
+            .filter(F.col("groups") > 1).select("hub", "main"))
+    spread = placed.join(main, "hub").join(sizes, "node").select("hub", "main", "node", "group", *shape)
     other = spread.filter(F.col("group") != F.col("main")).select(
-        "key", *(F.col(c).alias(f"x_{c}") for c in ("node", "group", *SHAPE)))
-    fits = _fits({c: F.col(c) for c in SHAPE}, {c: F.col(f"x_{c}") for c in SHAPE}, percent)
-    more = (spread.join(other, (spread["key"] == other["key"]) & (F.col("group") != F.col("x_group")) & fits
-                        & ((F.col("group") == F.col("main")) | (F.col("x_node") < F.col("node"))))
+        F.col("hub").alias("x_hub"), *(F.col(c).alias(f"x_{c}") for c in ("node", "group", *shape)))
+    more = (spread.join(other, (F.col("hub") == F.col("x_hub")) & (F.col("group") != F.col("x_group"))
+                        & ((F.col("group") == F.col("main")) | (F.col("x_node") < F.col("node"))) & _fits(percent))
             .select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b")).distinct())
     links = links.unionByName(_linked(_overlaps(more, sets), percent))
     groups = components(links, "a", "b").withColumnRenamed("component", "class")
