@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from valora.session import checkpoint_dir
 
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2400
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Let the session's Python workers import this package from where the
     driver has it; where they have it already (``--py-files``, an image) this
-    changes nothing."""
+    changes nothing.  Whole texts are large rows: unless the session says
+    otherwise, an Arrow batch has ``BATCH_ROWS`` of them, not 10,000."""
+    if spark.conf.get(BATCH_CONF, "10000") == "10000":
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
