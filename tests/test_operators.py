@@ -103,15 +103,38 @@ def test_nearest_match_broadcast_and_salted(spark):
     exp = _brute_nearest(left, right)
     L = spark.createDataFrame(left, "id int, blk string, x double, y double")
     R = spark.createDataFrame(right, "sid int, sblk string, sx double, sy double")
-    for max_rows in (10_000, 0):                       # broadcast path, then salted shuffle path
-        got = nearest_match(L, R, ["id"], F.col("blk"), F.col("sblk"),
-                            lambda c: sq_planar_distance(c("x"), c("y"), c("sx"), c("sy")), "d",
-                            tie_break=["sid"], broadcast_max_rows=max_rows, salt_buckets=4)
-        assert {r.id: r.sid for r in got.collect()} == exp
+    got = nearest_match(L, R, ["id"], F.col("blk"), F.col("sblk"),
+                        lambda c: sq_planar_distance(c("x"), c("y"), c("sx"), c("sy")), "d", tie_break=["sid"])
+    assert {r.id: r.sid for r in got.collect()} == exp
     fan = {r.block_key: r.n_pairs for r in block_fanout(L, R, F.col("blk"), F.col("sblk")).collect()}
     assert fan["le"] == sum(1 for x in left if x[1] == "le") * sum(1 for x in right if x[1] == "le")
 
 
+def test_proximity_near_the_pole_and_across_the_meridian(spark):
+    """Haversine cells lose no pair at any latitude or at 180 degrees."""
+    rnd = random.Random(19)
+    place = lambda: (rnd.choice([rnd.uniform(179.9, 180), rnd.uniform(-180, -179.9)]),
+                     rnd.choice([rnd.uniform(74.9, 75.1), rnd.uniform(84.9, 85), rnd.uniform(-89.99, -89.9), 0.01]))
+    pts = [(i, *place()) for i in range(150)]
+    pois = [(100 + j, *place()) for j in range(150)]
+    P = spark.createDataFrame(pts, "id int, lon double, lat double")
+    Q = spark.createDataFrame(pois, "pid int, plon double, plat double")
+    got = {r.id: (r.n_within, r.nearest_id) for r in proximity(
+        P, Q, ["id"], "pid", "lon", "lat", "plon", "plat", radius=5000.0, metric="haversine").collect()}
+
+    def hav(a, b, c, d):
+        p, q = math.radians(b), math.radians(d)
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(c - a) / 2) ** 2
+        return 2 * 6371008.8 * math.asin(min(1.0, math.sqrt(h)))
+
+    found = 0
+    for i, x, y in pts:
+        near = sorted((hav(x, y, a, b), p) for p, a, b in pois if hav(x, y, a, b) <= 5000.0)
+        found += len(near)
+        assert got[i] == (len(near), near[0][1] if near else None)
+    assert found > 100
+
+
 def test_proximity_matches_brute_force(spark):
     rnd = random.Random(9)
     pts = [(i, rnd.uniform(2.0, 2.6), rnd.uniform(48.6, 49.0)) for i in range(150)]
@@ -156,16 +179,14 @@ def test_blank_audit_key_dropped(spark):
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("bmax", [2_000_000, 0], ids=["broadcast", "shuffle"])
-def test_proximity_self_mode_with_hot_location(spark, bmax):
+def test_proximity_self_mode_with_hot_location(spark):
     rnd = random.Random(11)
     pts = [(i, 0.5, 0.5) for i in range(40)]                       # a hot spot: 40 rows, one location
     pts += [(100 + i, rnd.uniform(0, 1), rnd.uniform(0, 1)) for i in range(120)]
     pts += [(500, None, 0.3)]
     P = spark.createDataFrame(pts, "id int, x double, y double")
     got = {r.id: (r.n_within, r.nearest_id, r.nearest_distance) for r in proximity(
-        P, P, ["id"], "id", "x", "y", "x", "y", radius=0.08, exclude_same_id=True,
-        broadcast_max_rows=bmax).collect()}
+        P, P, ["id"], "id", "x", "y", "x", "y", radius=0.08, exclude_same_id=True).collect()}
     r2 = 0.08 * 0.08
     for i, px, py in pts:
         if px is None:

@@ -21,31 +21,28 @@ def skewed(spark):
     return rows, spark.createDataFrame(rows, "id long, g string, v double")
 
 
-PATHS = pytest.mark.parametrize("local", [None, 10_000_000], ids=["range-slices", "bounded-window"])
 
 
-@PATHS
-def test_quantiles_match_duckdb(spark, duck, skewed, local):
+def test_quantiles_match_duckdb(spark, duck, skewed):
     rows, df = skewed
     duck.execute("CREATE OR REPLACE TABLE t (id BIGINT, g VARCHAR, v DOUBLE)")
     duck.executemany("INSERT INTO t VALUES (?, ?, ?)", rows)
     exp = {r[0]: (r[1], r[2], r[3]) for r in duck.execute(
         "SELECT g, quantile_cont(v, 0.25), median(v), quantile_cont(v, 0.9) FROM t GROUP BY g").fetchall()}
-    got = exact_quantiles(df, ["g"], ["v"], {"q1": 0.25, "med": 0.5, "p90": 0.9}, name_fmt="{q}", num_partitions=7,
-                          local_max_rows=local)
+    got = exact_quantiles(df, ["g"], ["v"], {"q1": 0.25, "med": 0.5, "p90": 0.9}, name_fmt="{q}")
     got = {r.g: (r.q1, r.med, r.p90) for r in got.collect()}
     assert got == exp
-    whole = exact_quantiles(df, [], ["v", "id"], {"med": 0.5}, local_max_rows=local).collect()[0]
+    whole = exact_quantiles(df, [], ["v", "id"], {"med": 0.5}).collect()[0]
     assert whole["med_v"] == duck.execute("SELECT median(v) FROM t").fetchone()[0]
     assert whole["med_id"] == duck.execute("SELECT median(id) FROM t").fetchone()[0]
 
 
-@PATHS
-def test_rank_table_brute_force(spark, skewed, local):
+def test_rank_table_brute_force(spark, skewed):
     rows, df = skewed
-    rt = {(r.g, r.v): (r._cnt, r._before, r._n) for r in rank_table(df, ["g"], "v", 5, local).collect()}
-    bk = {(r.g, r.v): (r._cnt, r._before, r._n) for r in rank_table(df, ["g"], "v", 5, local, few_groups=True).collect()}
-    assert bk == rt
+    rt = {(r.g, r.v): (r._cnt, r._before, r._n) for r in rank_table(df, ["g"], "v", 5).collect()}
+    text = df.withColumn("v", F.when(F.col("v").isNotNull(), F.format_string("%012.2f", F.col("v") + 1000)))  # the range-slice plan
+    tx = {(r.g, r.v and round(float(r.v) - 1000, 2)): (r._cnt, r._before, r._n) for r in rank_table(text, ["g"], "v", 5).collect()}
+    assert tx == rt
     for (g, v), (cnt, before, n) in rt.items():
         vals = [x[2] for x in rows if x[1] == g and x[2] is not None]
         assert n == len(vals)
@@ -56,21 +53,19 @@ def test_rank_table_brute_force(spark, skewed, local):
             assert before == sum(1 for x in vals if x < v)
 
 
-@PATHS
-def test_percent_rank_matches_window(spark, duck, skewed, local):
+def test_percent_rank_matches_window(spark, duck, skewed):
     rows, df = skewed
     duck.execute("CREATE OR REPLACE TABLE t (id BIGINT, g VARCHAR, v DOUBLE)")
     duck.executemany("INSERT INTO t VALUES (?, ?, ?)", rows)
     exp = dict(duck.execute("SELECT id, percent_rank() OVER (PARTITION BY g ORDER BY v ASC NULLS FIRST) FROM t")
                .fetchall())
-    got = {r.id: r.pr for r in percent_rank(df, ["g"], "v", "pr", 6, local).select("id", "pr").collect()}
+    got = {r.id: r.pr for r in percent_rank(df, ["g"], "v", "pr", 6).select("id", "pr").collect()}
     assert got == exp
 
 
-@PATHS
-def test_dense_id_is_ordered_and_dense(spark, skewed, local):
+def test_dense_id_is_ordered_and_dense(spark, skewed):
     _, df = skewed
-    out = dense_id(df.repartition(5), ["g", "id"], "rid", 4, local).select("g", "id", "rid").collect()
+    out = dense_id(df.repartition(5), ["g", "id"], "rid", 4).select("g", "id", "rid").collect()
     got = sorted(out, key=lambda r: r.rid)
     assert [r.rid for r in got] == list(range(1, len(out) + 1))
     assert [(r.g, r.id) for r in got] == sorted((r.g, r.id) for r in out)
@@ -78,7 +73,7 @@ def test_dense_id_is_ordered_and_dense(spark, skewed, local):
 
 def test_no_single_partition_window(spark, skewed):
     _, df = skewed
-    plan = exact_quantiles(df, ["g"], ["v"], {"med": 0.5}, local_max_rows=None)._jdf.queryExecution().executedPlan().toString()
+    plan = exact_quantiles(df, ["g"], ["v"], {"med": 0.5})._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
 
 

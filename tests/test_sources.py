@@ -148,3 +148,19 @@ def test_sink_helpers_and_hash_id(spark):
     ids = [r.h for r in df.select(hash_id("k", "s").alias("h")).collect()]
     assert len(set(ids)) == 2 and ids == [r.h for r in df.select(hash_id("k", "s").alias("h")).collect()]
     p.unpersist()
+
+
+def test_sales_by_name_with_quotes(spark, tmp):
+    """Extra columns, another order, doubled quotes and line breaks in quotes."""
+    import os
+    from valora.plans.build import load_sales
+    os.makedirs(f"{tmp}/s")
+    with open(f"{tmp}/s/sales.csv", "w", newline="") as f:
+        f.write('extra,valeur_fonciere,date_mutation,adresse_nom_voie,code_postal\r\n'
+                'x,100.5,2024-01-02,"rue ""X"", bis",01000\r\n'
+                'x,200,2025-03-04,"two\r\nlines",75001\r\n'
+                'x,not a number,2024-01-02,bad,75001\r\n'
+                'x,300,2023-01-02,old,75001\r\n')
+    got = load_sales(spark, f"{tmp}/s", multi_line=True).collect()
+    assert sorted((r.valeur_fonciere, r.adresse_nom_voie.replace("\r", ""), r.code_postal, r.adresse_numero) for r in got) == [
+        (100.5, 'rue "X", bis', "01000", 0), (200.0, "two\nlines", "75001", 0)]

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from valora.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: list[str] | None = None) -> DataFrame:
@@ -47,8 +46,7 @@ def block_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key:
 
 def nearest_match(left: DataFrame, right: DataFrame, left_key_cols: list[str],
                   left_block: Column, right_block: Column, distance, distance_alias: str,
-                  tie_break: list | None = None, how: str = "inner",
-                  broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 16) -> DataFrame:
+                  tie_break: list | None = None, how: str = "inner") -> DataFrame:
     """For every left key, the right row of the same block with the smallest
     distance  (J3 + J4 + W2 + X13).
 
@@ -57,64 +55,18 @@ def nearest_match(left: DataFrame, right: DataFrame, left_key_cols: list[str],
     names of either side may be used.  ``tie_break`` names columns of either
     side; the order is (distance, NULLs last), then ``tie_break``.
 
-    Two plans, both exact:
-
-    * right side proven small (bounded probe): it is broadcast as one array
-      of candidates per block, and each left row takes the minimum of its
-      block's array (``transform`` + ``array_min``) — no pair rows are
-      materialised, no shuffle; a hot block only makes its rows' arrays
-      longer.  Left rows sharing a key then keep their best row through a
-      ``row_number() = 1`` (partial WindowGroupLimit before the shuffle).
-    * otherwise both sides are shuffled on (block, salt): the left row gets a
-      salt from its key hash and the right row is copied into every salt, so
-      a hot block (a third of all addresses sharing a town article) spreads
-      over ``salt_buckets`` tasks; pairs are ranked per key.
+    An equality join on the block, which Spark broadcasts when the right side is
+    small and whose hot blocks it splits when it is not; each map task keeps
+    the best row per key (partial WindowGroupLimit) before the shuffle by key.
 
     A candidate without coordinates (NULL distance) never beats one with a
     distance (Q1).  ``how='left'`` keeps keys with no candidate (Q6; the
     reference drops them)."""
     ties = list(tie_break or [])
-    right_cols = [c for c in right.columns]
     rb = right.withColumn("__block", right_block).where(F.col("__block").isNotNull())
-    rb_small, is_small = broadcast_if_small(rb, broadcast_max_rows)
     lb = left.withColumn("__block", left_block)
-    if is_small:
-        return _nearest_by_block_arrays(lb, rb, right_cols, left_key_cols, distance, distance_alias, ties, how)
-    salted_l = lb.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(k) for k in left_key_cols]),
-                                              F.lit(salt_buckets)))
-    salted_r = rb.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    pairs = salted_l.join(salted_r, ["__block", "__salt"], how).drop("__salt")
-    pairs = pairs.withColumn(distance_alias, distance(F.col))
+    pairs = lb.join(rb, "__block", how).withColumn(distance_alias, distance(F.col))
     w = Window.partitionBy(*left_key_cols).orderBy(F.col(distance_alias).asc_nulls_last(),
                                                    *[F.col(t) for t in ties])
     return (pairs.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1)
             .drop("__rank", "__block"))
-
-
-def _nearest_by_block_arrays(lb: DataFrame, rb: DataFrame, right_cols: list[str], left_key_cols: list[str],
-                             distance, distance_alias: str, ties: list[str], how: str) -> DataFrame:
-    # one row per block holding its candidates; the probe bounded the rows
-    cands = rb.groupBy("__block").agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in right_cols]))
-                                      .alias("__cands"))
-    j = lb.join(F.broadcast(cands), "__block", "left" if how == "left" else "inner")
-    right_ties = [t for t in ties if t in right_cols]
-
-    def resolver(cand):
-        return lambda name: cand[name] if name in right_cols else F.col(f"`{name}`")
-
-    # 1) smallest distance of the block: array_min over plain doubles
-    #    (NULL distances are skipped; NULL when every candidate lacks one)
-    j = j.withColumn("__dmin", F.array_min(F.transform(F.col("__cands"), lambda c: distance(resolver(c)))))
-    # 2) among the candidates at that distance (usually one), the first in
-    #    tie-break order: array_min of (ties, payload) structs
-    at_min = F.filter(F.col("__cands"), lambda c: distance(resolver(c)).eqNullSafe(F.col("__dmin")))
-    j = j.withColumn("__best", F.array_min(F.transform(at_min, lambda c: F.struct(
-        *[c[t].alias(f"__t{i}") for i, t in enumerate(right_ties)], *[c[x].alias(x) for x in right_cols]))))
-    j = j.drop("__cands")
-    j = j.select(*[c for c in j.columns if c not in ("__best", "__dmin")],
-                 *[F.col("__best").getField(c).alias(c) for c in right_cols],
-                 F.col("__dmin").alias(distance_alias))
-    w = Window.partitionBy(*left_key_cols).orderBy(F.col(distance_alias).asc_nulls_last(),
-                                                   *[F.col(t) for t in ties])
-    return (j.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") == 1)
-            .drop("__rank", "__block"))

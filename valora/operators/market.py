@@ -12,7 +12,7 @@ from valora.operators.dedup import latest_per_key
 from valora.operators.ranking import (
     _null_safe_join, exact_quantiles, percent_rank, quantiles_from_ranks, rank_table,
 )
-from valora.operators.sizing import attach_one_row, broadcast_if_small
+from valora.operators.sizing import attach_one_row
 
 
 def latest_audit_join(sales: DataFrame, audits: DataFrame, sale_keys: list[Column],
@@ -70,15 +70,14 @@ def outlier_filter(df: DataFrame, group_cols: list[str], value_col: str, k: floa
                    lower: float | None = None, upper: float | None = None) -> DataFrame:
     """Keep rows inside their group's fences, and inside optional fixed bounds
     (e.g. surface in (0, 2000])  (D6).  Rows with a NULL value are dropped.
-    The fence table (one row per group) is broadcast when a probe proves it
-    small; otherwise it is a shuffle join that AQE can split if skewed."""
+    The fence table has one row per group; Spark broadcasts it when it is small
+    and splits a skewed shuffle join when it is not."""
     out = df.where(F.col(value_col).isNotNull())
     if lower is not None:
         out = out.where(F.col(value_col) > lower)
     if upper is not None:
         out = out.where(F.col(value_col) <= upper)
     fences = outlier_fences(out, group_cols, value_col, k).select(*group_cols, "lower_fence", "upper_fence")
-    fences, _ = broadcast_if_small(fences)
     j = _null_safe_join(out, fences, group_cols) if group_cols else attach_one_row(out, fences)
     return (j.where(F.col(value_col).between(F.col("lower_fence"), F.col("upper_fence")))
             .drop("lower_fence", "upper_fence"))
@@ -121,7 +120,6 @@ def deal_verdict(df: DataFrame, group_cols: list[str], value_col: str, low: floa
     # one rank table serves both the group median and every row's rank
     rt = rank_table(df.select(*g, F.col(value_col).cast("double").alias(value_col)), g, value_col)
     med = quantiles_from_ranks(rt, g, value_col, {"median": 0.5}, name_fmt=median_alias)
-    med, _ = broadcast_if_small(med)
     ranked = percent_rank(df, g, value_col, rank_alias, ranks=rt)
     j = _null_safe_join(ranked, med, g) if g else attach_one_row(ranked, med)
     ratio = F.when(F.col(median_alias) != 0, F.col(value_col) / F.col(median_alias))

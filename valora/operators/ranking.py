@@ -43,25 +43,19 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys`` treating NULL = NULL (rollup levels carry NULL
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` treating NULL = NULL (rollup levels carry NULL
     group keys)."""
     if not keys:
         return attach_one_row(left, right)
     r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
-    return left.join(r, cond, "inner").drop(*[f"__r_{k}" for k in keys])
-
-
-# Inputs proven to hold at most this many rows take the bounded path (value
-# buckets, or one window per group): every group is then bounded too.
-LOCAL_MAX_ROWS = 5_000_000
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
-               num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS,
-               few_groups: bool = False) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """One row per distinct ``(group..., value)`` (NULL values included, with
     weight 0) with columns ``_cnt`` (rows holding the value), ``_before``
     (non-null rows of the group with a strictly smaller value), ``_n``
@@ -69,27 +63,16 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
     NULL included, so ``sum(_rows)`` per group is COUNT(*)) and ``_nulls``
     (NULL rows of the group).
 
-    A bounded probe (``limit(local_max_rows + 1).count()``, which stops
-    reading past the bound) picks the plan: a small input uses one window per
-    group, or value buckets when the caller knows there are only a few
-    groups (``few_groups``: one window per group would leave most cores
-    idle); anything larger, where one group may hold a third of all rows,
-    uses the range-partitioned slices described above."""
+    Numbers are ranked within order-preserving value buckets, with offsets
+    from the bucket totals; other types use the range-partitioned slices
+    described above.  The plan depends on the type alone, not on a size."""
     g = list(group_cols)
     v = value_col
     weight = F.when(F.col(v).isNull(), F.lit(0)).otherwise(F.lit(1))
     agg = df.groupBy(*g, v).agg(F.sum(weight).cast("long").alias("_cnt"),
                                 F.count(F.lit(1)).alias("_rows"))
-    if local_max_rows and df.limit(local_max_rows + 1).count() <= local_max_rows:
-        gkey = [F.col(c) for c in g] if g else [F.lit(0)]
-        if few_groups and isinstance(df.schema[v].dataType, T.NumericType):
-            return _bucketed_ranks(agg, g, v)
-        w_run = (Window.partitionBy(*gkey).orderBy(F.col(v).asc_nulls_first())
-                 .rowsBetween(Window.unboundedPreceding, -1))
-        w_all = Window.partitionBy(*gkey)
-        return (agg.withColumn("_before", F.coalesce(F.sum("_cnt").over(w_run), F.lit(0)).cast("long"))
-                .withColumn("_n", F.sum("_cnt").over(w_all).cast("long"))
-                .withColumn("_nulls", F.sum(F.col("_rows") - F.col("_cnt")).over(w_all).cast("long")))
+    if isinstance(df.schema[v].dataType, T.NumericType):
+        return _bucketed_ranks(agg, g, v)
 
     parts = num_partitions or default_parallelism(df)
     # The range boundaries come from a sample, and a recomputed sample may
@@ -141,7 +124,7 @@ def value_bucket(v: Column, scale: float = 64.0) -> Column:
 
 
 def _bucketed_ranks(agg: DataFrame, g: list[str], v: str) -> DataFrame:
-    """Rank table of a proven-small input over value buckets: running counts
+    """Rank table over value buckets: running counts
     inside each (group, bucket), plus per-bucket offsets from a small table
     of bucket totals.  Buckets are a pure function of the value, so both
     consumers of the pre-aggregated frame agree without materialising it
@@ -175,23 +158,43 @@ def _interpolate(lo: Column, hi: Column, frac: Column) -> Column:
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
                     quantiles: dict[str, float] | None = None,
                     name_fmt: str = "{q}_{col}",
-                    num_partitions: int | None = None,
-                    local_max_rows: int | None = LOCAL_MAX_ROWS,
                     count_alias: str | None = None) -> DataFrame:
     """Exact continuous quantiles (``quantile_cont`` / ``MEDIAN``) of several
-    columns per group, NULLs ignored, in one set of passes.
+    columns per group, NULLs ignored, in two passes.
+
+    Pass 1 counts rows per (group, measure, value bucket), a small table after
+    partial aggregation, whose running sums tell the buckets that hold a wanted
+    rank.  Pass 2 keeps only the rows in those buckets and ranks their distinct
+    values; nothing else is shuffled.
 
     Returns one row per group with a column ``name_fmt.format(q=name, col=c)``
     per (quantile, value column); a group whose values are all NULL yields
-    NULL.  ``count_alias`` adds the group's COUNT(*) (from the same pass).
+    NULL.  ``count_alias`` adds the group's COUNT(*) (from pass 1).
     """
     quantiles = quantiles or {"median": 0.5}
     g = list(group_cols)
-    longf = df.select(*g, *[F.col(c).cast("double").alias(c) for c in value_cols])
-    longf = longf.unpivot(g or [], value_cols, "_measure", "_value") if g else \
-        longf.unpivot([], value_cols, "_measure", "_value")
-    rt = rank_table(longf, g + ["_measure"], "_value", num_partitions, local_max_rows, few_groups=not g)
-    per = quantiles_from_ranks(rt, g + ["_measure"], "_value", quantiles, name_fmt="__q_{q}", rows_alias="__rows")
+    key = [*g, "_measure"]
+    longf = df.select(*g, *[F.col(c).cast("double").alias(c) for c in value_cols]).unpivot(
+        g, value_cols, "_measure", "_value").withColumn("_b", value_bucket(F.col("_value")))
+    family = Window.partitionBy(*key)
+    totals = (longf.groupBy(*key, "_b").agg(F.count("_value").alias("_cnt"), F.count(F.lit(1)).alias("_rows"))
+              .withColumn("_n", F.sum("_cnt").over(family))
+              .withColumn("_start", F.coalesce(F.sum("_cnt").over(
+                  family.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    wanted = F.lit(False)
+    for q in quantiles.values():
+        pos = (F.col("_n") - 1) * F.lit(float(q))
+        for rank in (F.floor(pos), F.ceil(pos)):
+            wanted = wanted | ((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_cnt")))
+    held = totals.filter(wanted).select(*key, "_b", "_n", "_start")
+    inner = (_null_safe_join(longf.filter(F.col("_value").isNotNull()), held, [*key, "_b"])
+             .groupBy(*key, "_b", "_n", "_start", "_value").agg(F.count(F.lit(1)).alias("_cnt")))
+    within = (Window.partitionBy(*key, "_b").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1))
+    ranks = inner.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_cnt").over(within), F.lit(0)))
+    per = quantiles_from_ranks(ranks, key, "_value", quantiles, name_fmt="__q_{q}")
+    # every group and measure, also those without a value
+    every = totals.groupBy(*key).agg(F.sum("_rows").alias("__rows"))
+    per = _null_safe_join(every, per, key, "left")
     # back to wide: one column per (quantile, measure); tiny input
     wide = []
     for qname in quantiles:
@@ -200,9 +203,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
                         .alias(name_fmt.format(q=qname, col=c)))
     if count_alias:
         wide.append(F.max("__rows").cast("long").alias(count_alias))
-    if g:
-        return per.groupBy(*g).agg(*wide)
-    return per.agg(*wide)
+    return per.groupBy(*g).agg(*wide) if g else per.agg(*wide)
 
 
 def quantiles_from_ranks(rt: DataFrame, group_cols: list[str], value_col: str, quantiles: dict[str, float],
@@ -229,22 +230,18 @@ def quantiles_from_ranks(rt: DataFrame, group_cols: list[str], value_col: str, q
     return per.select(*group_cols, *finals, *([rows_alias] if rows_alias else []))
 
 
-def exact_median(df: DataFrame, group_cols: list[str], value_col: str, alias: str,
-                 num_partitions: int | None = None) -> DataFrame:
-    return exact_quantiles(df, group_cols, [value_col], {"median": 0.5},
-                           name_fmt=alias, num_partitions=num_partitions)
+def exact_median(df: DataFrame, group_cols: list[str], value_col: str, alias: str) -> DataFrame:
+    return exact_quantiles(df, group_cols, [value_col], {"median": 0.5}, name_fmt=alias)
 
 
 def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: str,
-                 num_partitions: int | None = None, local_max_rows: int | None = LOCAL_MAX_ROWS,
-                 ranks: DataFrame | None = None) -> DataFrame:
+                 num_partitions: int | None = None, ranks: DataFrame | None = None) -> DataFrame:
     """Add ``alias`` = PERCENT_RANK() OVER (PARTITION BY group ORDER BY value)
     without a window per group: (rows of the group below the value) / (n-1).
     NULL values rank first, as in an ascending Spark/DuckDB window.  Pass
     ``ranks`` to reuse a :func:`rank_table` already built for the frame."""
     g = list(group_cols)
-    rt = ranks if ranks is not None else rank_table(df.select(*g, value_col), g, value_col,
-                                                     num_partitions, local_max_rows, few_groups=not g)
+    rt = ranks if ranks is not None else rank_table(df.select(*g, value_col), g, value_col, num_partitions)
     nn = F.col("_nulls")
     total = F.col("_n") + nn
     before = F.when(F.col(value_col).isNull(), F.lit(0)).otherwise(F.col("_before") + nn)
@@ -253,27 +250,20 @@ def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: st
     return _null_safe_join(df, rt, g + [value_col])
 
 
-def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int | None = None,
-             local_max_rows: int | None = LOCAL_MAX_ROWS) -> DataFrame:
+def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int | None = None) -> DataFrame:
     """Add ``alias`` = ROW_NUMBER() OVER (ORDER BY order_cols), 1-based.
 
-    The input is materialised once (reliable checkpoint), so the upstream
-    plan runs once even though numbering needs two looks at the data.  A
-    copy proven (bounded probe) to hold at most ``local_max_rows`` rows is
-    numbered by one ordered window.  A larger one is range-partitioned and
-    sorted on ``order_cols`` (which must be a unique key for a repeatable
-    numbering); each row's index inside its partition comes from
+    The input is range-partitioned, sorted on ``order_cols`` (which must be a
+    unique key for a repeatable numbering) and written once (reliable
+    checkpoint); each row's index inside its partition comes from
     ``monotonically_increasing_id`` (partition id in the upper 31 bits, row
     number within the partition in the lower 33), and the partition's start
-    offset from a table of per-partition counts — one row per partition, so
+    offset from a table of per-partition counts: one row per partition, so
     broadcasting it is bounded by the partition count.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    base = stable(df)
-    if local_max_rows and base.limit(local_max_rows + 1).count() <= local_max_rows:
-        return base.withColumn(alias, F.row_number().over(Window.orderBy(*cols)).cast("long"))
     parts = num_partitions or default_parallelism(df)
-    tagged = stable(base.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    tagged = stable(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
                     .withColumn("_pid", F.spark_partition_id())
                     .withColumn("_mono", F.monotonically_increasing_id()))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
@@ -289,3 +279,10 @@ def hash_id(*cols) -> Column:
     """64-bit hash surrogate key of a natural key (stable across runs and
     partitionings; collisions become likely only past ~10^8 distinct keys)."""
     return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
+
+
+def wide_hash_id(*cols) -> Column:
+    """128-bit hash surrogate key (hexadecimal) of a natural key, for tables
+    past the reach of 64 bits; NULL differs from every text."""
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\x1f-")) for c in cols]
+    return F.md5(F.concat(*[x for p in parts for x in (p, F.lit("\x1e"))]))

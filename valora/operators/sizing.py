@@ -1,11 +1,7 @@
-"""Size-checked broadcast.
+"""Parallelism and one-row attachments.
 
-A side is broadcast only after a bounded probe shows it holds at most
-``max_rows`` rows: ``limit(max_rows + 1).count()`` stops reading as soon as the
-bound is passed, so the probe itself never scans a large table in full.
-Above the bound the caller gets the frame back unhinted and takes its
-shuffle path (AQE may still convert it at runtime if the filtered size turns
-out small).
+Broadcasts are left to Spark, which compares measured bytes with
+``spark.sql.autoBroadcastJoinThreshold`` at run time.
 """
 
 from __future__ import annotations
@@ -13,22 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for a broadcast side: a few million narrow rows is tens of MB.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(frame, broadcast?)``; the frame carries the broadcast hint
-    only when its row count is proven to be within ``max_rows``."""
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
-
-
 def default_parallelism(df: DataFrame) -> int:
     spark = df.sparkSession
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

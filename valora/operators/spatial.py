@@ -12,17 +12,20 @@ Spark 4.1 has no polygon predicates, so both joins use a grid:
   the radius meets on one cell key; pairs are then filtered exactly.
 
 The zone edges and the points of interest are dimension tables; they are
-broadcast only behind a bounded row-count probe and otherwise joined by
+broadcast by Spark when it is small and otherwise joined by
 shuffle (AQE splits a hot cell).
 """
 
 from __future__ import annotations
 
+import math
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valora.functions import haversine_m, sq_planar_distance
-from valora.operators.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from valora.functions.geo import EARTH_RADIUS_M
 
 # Geometry types a zone file may carry and the JSON shape of
 # their coordinates.
@@ -76,7 +79,7 @@ def edges_from_rings(rings: DataFrame, zone_col: str, ring_col: str) -> DataFram
 
 
 def points_in_zones(points: DataFrame, edges: DataFrame, id_cols: list[str], x: str, y: str,
-                    band: float, broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    band: float) -> DataFrame:
     """(id..., zone) for every point strictly inside a zone  (D1).
 
     Horizontal edges never cross a horizontal ray and are dropped.  A point
@@ -87,7 +90,6 @@ def points_in_zones(points: DataFrame, edges: DataFrame, id_cols: list[str], x:
     e = e.withColumn("__band", F.explode(F.sequence(
         F.floor(F.least("y1", "y2") / band).cast("long"),
         F.floor(F.greatest("y1", "y2") / band).cast("long"))))
-    e, _ = broadcast_if_small(e, broadcast_max_rows)
     # crossings are evaluated once per distinct location (rows sharing exact
     # coordinates are a location data hot spot), then joined back
     loc = (points.select(F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
@@ -118,8 +120,7 @@ def first_zone(points: DataFrame, inside: DataFrame, id_cols: list[str], zone_or
 
 def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: str,
               x: str, y: str, poi_x: str, poi_y: str, radius: float, metric: str = "planar",
-              block: list[tuple[str, str]] | None = None, max_abs_lat: float = 60.0,
-              broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS, exclude_same_id: bool = False,
+              block: list[tuple[str, str]] | None = None, exclude_same_id: bool = False,
               count_alias: str = "n_within", nearest_alias: str = "nearest_id",
               distance_alias: str = "nearest_distance") -> DataFrame:
     """For each point: how many POIs lie within ``radius`` and which is the
@@ -127,7 +128,8 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
 
     ``metric='planar'`` uses squared input units (``radius`` in the same
     units, compared squared); ``'haversine'`` takes lon/lat degrees and a
-    radius in metres.  ``block`` adds equality columns (point col, poi col)
+    radius in metres, and pairs points by cells of space around the unit
+    sphere, so latitude and the 180th meridian make no difference.  ``block`` adds equality columns (point col, poi col)
     to the cell key, e.g. a label or department.  ``exclude_same_id`` is the
     self-join mode (points and POIs are the same rows): a point does not
     count or find itself.
@@ -141,12 +143,7 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
     back to the points by location."""
     block = block or []
     bcols = [pc for pc, _ in block]
-    if metric == "haversine":
-        import math
-        cy = radius / 111_195.0
-        cx = cy / math.cos(math.radians(max_abs_lat))
-    else:
-        cx = cy = float(radius)
+    cells = _sphere_cells(radius) if metric == "haversine" else _plane_cells(radius)
     loc = [*bcols, "__qx", "__qy"]
 
     q = pois.select(F.col(poi_id).alias("__pid"), *[F.col(qc).alias(pc) for pc, qc in block],
@@ -158,16 +155,16 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
               .groupBy(*loc).agg(F.min(F.when(F.col("__r") == 1, F.col("__pid"))).alias("__id1"),
                                  F.min(F.when(F.col("__r") == 2, F.col("__pid"))).alias("__id2")))
     qloc = counts.join(first2, loc)
-    offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
-    qloc = (qloc.withColumn("__cx", F.explode(F.transform(offs, lambda o: F.floor(F.col("__qx") / cx).cast("long") + o)))
-                .withColumn("__cy", F.explode(F.transform(offs, lambda o: F.floor(F.col("__qy") / cy).cast("long") + o))))
-    qloc, _ = broadcast_if_small(qloc, broadcast_max_rows)
+    # a location meets those in its own and all touching cells
+    sides = cells(F.col("__qx"), F.col("__qy"))
+    steps = F.array(*[F.array(*[F.lit(int(o)) for o in offset]) for offset in product((-1, 0, 1), repeat=len(sides))])
+    qloc = qloc.withColumn("__cell", F.explode(F.transform(steps, lambda o: F.array(
+        *[side + o[i] for i, side in enumerate(sides)]))))
 
     ploc = (points.select(*bcols, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
             .where(F.col("__x").isNotNull() & F.col("__y").isNotNull()).distinct())
-    ploc = ploc.withColumn("__cx", F.floor(F.col("__x") / cx).cast("long")).withColumn(
-        "__cy", F.floor(F.col("__y") / cy).cast("long"))
-    j = ploc.join(qloc, ["__cx", "__cy", *bcols])
+    ploc = ploc.withColumn("__cell", F.array(*cells(F.col("__x"), F.col("__y"))))
+    j = ploc.join(qloc, ["__cell", *bcols])
     if metric == "haversine":
         d = haversine_m(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy"))
         j = j.withColumn("__d", d).where(F.col("__d") <= radius)
@@ -175,19 +172,23 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
         d = sq_planar_distance(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy"))
         j = j.withColumn("__d", d).where(F.col("__d") <= float(radius) * float(radius))
     ploc_key = [*bcols, "__x", "__y"]
-    n_loc = j.groupBy(*ploc_key).agg(F.sum("__qn").alias("__n"))
-    # two best (distance, id) candidates per point location: enough to skip
-    # the point itself in self-join mode
-    cand = j.select(*ploc_key, "__d", F.explode(F.array(
-        F.col("__id1"), F.col("__id2"))).alias("__cid")).where(F.col("__cid").isNotNull())
-    w = Window.partitionBy(*ploc_key).orderBy("__d", "__cid")
-    best2 = (cand.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= 2)
-             .groupBy(*ploc_key)
-             .agg(F.min(F.when(F.col("__r") == 1, F.struct(F.col("__d").alias("d"), F.col("__cid").alias("id"))))
-                  .alias("__c1"),
-                  F.min(F.when(F.col("__r") == 2, F.struct(F.col("__d").alias("d"), F.col("__cid").alias("id"))))
-                  .alias("__c2")))
-    res = n_loc.join(best2, ploc_key)
+    # one aggregation: the count, and the nearest location with its two smallest
+    # ids; in self-join mode the point's own row may be the nearest, and the
+    # second best is the next id there or the next location, found by the
+    # smallest distance beyond it
+    first = F.struct(F.col("__d").alias("d"), F.col("__id1").alias("id"))
+    if not exclude_same_id:
+        res = j.groupBy(*ploc_key).agg(F.sum("__qn").alias("__n"), F.min(first).alias("__c1"))
+    else:
+        cand = j.select(*ploc_key, F.explode(F.filter(F.array(
+            F.struct(F.col("__d").alias("d"), F.col("__id1").alias("id"), F.col("__qn").alias("n")),
+            F.struct(F.col("__d").alias("d"), F.col("__id2").alias("id"), F.lit(0).cast("long").alias("n"))),
+            lambda c: c["id"].isNotNull())).alias("__c"))
+        w = Window.partitionBy(*ploc_key).orderBy("__c.d", "__c.id")
+        both = F.struct(F.col("__c.d").alias("d"), F.col("__c.id").alias("id"))
+        res = (cand.withColumn("__r", F.row_number().over(w)).groupBy(*ploc_key)
+               .agg(F.sum("__c.n").alias("__n"), F.min(F.when(F.col("__r") == 1, both)).alias("__c1"),
+                    F.min(F.when(F.col("__r") == 2, both)).alias("__c2")))
 
     pts = points.withColumn("__x", F.col(x).cast("double")).withColumn("__y", F.col(y).cast("double"))
     out = pts.join(res, ploc_key, "left")
@@ -202,3 +203,18 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
            .withColumn(nearest_alias, best.getField("id"))
            .withColumn(distance_alias, best.getField("d")))
     return out.drop("__x", "__y", "__n", "__c1", "__c2")
+
+
+def _plane_cells(radius: float):
+    return lambda x, y: [F.floor(c / float(radius)).cast("long") for c in (x, y)]
+
+
+def _sphere_cells(radius_m: float):
+    """Cells of three-dimensional space around the unit sphere, their side the
+    chord of ``radius_m`` (a trifle longer, for rounding)."""
+    side = 2 * math.sin(min(radius_m / (2 * EARTH_RADIUS_M), math.pi / 2)) * (1 + 1e-9) + 1e-12
+
+    def cells(lon: Column, lat: Column) -> list[Column]:
+        a, b = F.radians(lon), F.radians(lat)
+        return [F.floor(c / side).cast("long") for c in (F.cos(b) * F.cos(a), F.cos(b) * F.sin(a), F.sin(b))]
+    return cells

@@ -41,9 +41,18 @@ class Landing:
     audits: str | None = None         # ',' CSV, all text
 
 
-def load_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: int | None = None) -> DataFrame:
-    raw = read_delimited(spark, path, sep=",", schema=schemas.SALES, partitions=partitions)
-    return clean_sales(raw, years=years)
+def load_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: int | None = None,
+               multi_line: bool = False) -> DataFrame:
+    """The wanted columns by name, whatever else the file has and in any order
+    (absent ones as NULL), cast by the declared schema; rows with a field that
+    does not cast are left out, as is a row with too many or too few fields."""
+    raw = read_delimited(spark, path, sep=",", schema=None, all_text=True, partitions=partitions, multi_line=multi_line)
+    kept, _missing = reconcile(raw, schemas.SALES.fieldNames())
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schemas.SALES.fields}
+    fine = F.lit(True)
+    for name, value in typed.items():
+        fine = fine & (F.col(name).isNull() | value.isNotNull())
+    return clean_sales(kept.where(fine).select(*(c.alias(n) for n, c in typed.items())), years=years)
 
 
 def load_audits(spark: SparkSession, path: str, spec: AuditSpec | None = None) -> tuple[DataFrame, list[str]]:
@@ -60,7 +69,7 @@ def dedup_audits(cleaned: DataFrame, spec: AuditSpec | None = None) -> DataFrame
     s = spec or AuditSpec()
     have = set(cleaned.columns)
     dates = [c for c in [s.modified, *s.dates] if c in have]
-    order = [F.desc_nulls_last(c) for c in dict.fromkeys(dates)]
+    order = [F.desc_nulls_last(c) for c in dict.fromkeys(dates)] + [F.xxhash64(*cleaned.columns)]
     return latest_per_key(cleaned, [s.key], order)
 
 

@@ -37,7 +37,7 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> list[
 def header_of(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
     """Column names of one delimited file (reads its first line only)."""
     return tuple(spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
-                 .csv(path).columns)
+                 .option("quote", '"').option("escape", '"').csv(path).columns)
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -49,7 +49,8 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
                    schema: T.StructType | None = None, header: bool = True,
                    all_text: bool = False, keep_rejects: bool = False,
-                   partitions: int | None = None, encoding: str = "UTF-8") -> DataFrame | tuple[DataFrame, DataFrame]:
+                   partitions: int | None = None, encoding: str = "UTF-8",
+                   multi_line: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """One delimited read with a declared schema  (S2, S3, S4, S6).
 
     ``schema=None`` reads every header column as STRING (the reference's
@@ -61,7 +62,8 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
     (a pruned CSV scan would skip conversion of unread columns).  With
     ``keep_rejects=False`` only the good rows are returned.  ``partitions``
     repartitions after the scan (use it for gzip input, which is one split
-    per file)."""
+    per file).  A quote inside a quoted field is doubled; ``multi_line`` reads
+    line breaks inside quotes, but such a file is one task."""
     if isinstance(paths, str):
         paths = [paths]
     if schema is None or all_text:
@@ -70,7 +72,9 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     df = (spark.read.schema(_with_corrupt(text)).option("header", header).option("sep", sep)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("encoding", encoding).option("enforceSchema", False).csv(paths))
+          .option("encoding", encoding).option("enforceSchema", False)
+          .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+          .option("columnPruning", False).csv(paths))
     if partitions:
         df = df.repartition(partitions)
     typed, cast_ok = [], []
