@@ -48,7 +48,7 @@ def test_full_build(spark, tmp):
     _w(f"{tmp}/in/dpe.csv", _audit_csv(audits))
     out = build.run(spark, build.Landing(sales=f"{tmp}/in/dvf.csv", stations=f"{tmp}/in/gares",
                                          audits=f"{tmp}/in/dpe.csv"), f"{tmp}/out")
-    assert set(out) == {"dvf", "gares", "dpe_final", "dim_adresses", "fact_dvf"}
+    assert set(out) == {"dvf", "gares", "dpe_final", "dpe_missing_columns", "dim_adresses", "fact_dvf"}
     dim = {(r.numero, r.nom_voie): r for r in spark.read.parquet(out["dim_adresses"]).collect()}
     # 'le' blocks both Le Mans and Le Havre stations: nearest wins (Q4)
     assert dim[(12, "rue Haute")].nom_gare_proche == "Le Mans"

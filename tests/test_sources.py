@@ -10,7 +10,7 @@ from valora import schemas
 from valora.sources.delimited import read_delimited, read_delimited_by_header, stringify_all
 from valora.sources.geojson import noise_zones
 from valora.sources.json_pages import (
-    STATION_RECORD, read_cursor_slices, read_points, slice_completeness, stations_table,
+    STATION_RECORD, read_cursor_slices, read_points, read_slice_pages, slice_completeness, stations_table,
 )
 from valora.sources.reconcile import reconcile
 from valora import sinks
@@ -93,7 +93,8 @@ def test_cursor_slices_and_completeness(spark, tmp):
     _write(f"{tmp}/api/region=52/year=2024/p1.json", json.dumps({"total": 3, "results": [rec], "next": None}))
     _write(f"{tmp}/api/region=53/year=2024/p0.json", json.dumps({"total": 5, "results": [rec], "next": None}))
     recs = read_cursor_slices(spark, f"{tmp}/api", schemas.AUDIT_API_TEXT)
-    comp = {(r.region, r.year): (r.n_rows, r.total, r.complete) for r in slice_completeness(recs).collect()}
+    comp = {(r.region, r.year): (r.n_rows, r.total, r.complete) for r in slice_completeness(
+        read_slice_pages(spark, f"{tmp}/api", schemas.AUDIT_API_TEXT)).collect()}
     assert comp == {("52", "2024"): (3, 3, True), ("53", "2024"): (1, 5, False)}
 
 
@@ -164,3 +165,12 @@ def test_sales_by_name_with_quotes(spark, tmp):
     got = load_sales(spark, f"{tmp}/s", multi_line=True).collect()
     assert sorted((r.valeur_fonciere, r.adresse_nom_voie.replace("\r", ""), r.code_postal, r.adresse_numero) for r in got) == [
         (100.5, 'rue "X", bis', "01000", 0), (200.0, "two\nlines", "75001", 0)]
+
+
+def test_empty_slice_is_reported(spark, tmp):
+    import os
+    os.makedirs(f"{tmp}/api/region=11/year=2024")
+    with open(f"{tmp}/api/region=11/year=2024/p0.json", "w") as f:
+        f.write('{"total": 500, "results": []}')
+    got = slice_completeness(read_slice_pages(spark, f"{tmp}/api", schemas.AUDIT_API_TEXT)).collect()
+    assert [(r.region, r.year, r.n_rows, r.total, r.complete) for r in got] == [("11", "2024", 0, 500, False)]

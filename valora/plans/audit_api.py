@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from valora import schemas
 from valora.operators.clean import AuditSpec, clean_audits
 from valora.plans.build import dedup_audits
-from valora.sources.json_pages import read_cursor_slices, slice_completeness
+from valora.sources.json_pages import read_cursor_slices, read_slice_pages, slice_completeness
 from valora.sources.reconcile import reconcile
 
 
@@ -22,12 +22,13 @@ def load(spark: SparkSession, path: str, regions=None, years=None) -> tuple[Data
     """Return ``(audits, completeness, missing_columns)``.  ``regions`` /
     ``years`` prune folders (partition filters), the landed-file form of the
     API's ``_eq`` / ``_gte`` / ``_lte`` slice parameters."""
-    recs = read_cursor_slices(spark, path, schemas.AUDIT_API_TEXT)
+    wanted = F.lit(True)
     if regions:
-        recs = recs.where(F.col("region").isin([str(r) for r in regions]))
+        wanted = wanted & F.col("region").isin([str(r) for r in regions])
     if years:
-        recs = recs.where(F.col("year").isin([str(y) for y in years]))
-    completeness = slice_completeness(recs)
+        wanted = wanted & F.col("year").isin([str(y) for y in years])
+    recs = read_cursor_slices(spark, path, schemas.AUDIT_API_TEXT).where(wanted)
+    completeness = slice_completeness(read_slice_pages(spark, path, schemas.AUDIT_API_TEXT).where(wanted))
     kept, missing = reconcile(recs, schemas.AUDIT_COLUMNS, fill_missing=False)
     kept = kept.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in kept.columns])
     spec = AuditSpec()

@@ -95,11 +95,13 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         put("gares", stations_table(spark, landing.stations))
         stations = spark.read.parquet(written["gares"])
     if landing.zones:
-        attrs, geoms, _rejected = noise_zones(spark, landing.zones)
+        attrs, geoms, rejected = noise_zones(spark, landing.zones)
+        put("zones_rejected", rejected)
         put("zones", attrs)
         put("zones_geometry", geoms)
     if landing.audits:
-        audits, _missing = load_audits(spark, landing.audits)
+        audits, missing = load_audits(spark, landing.audits)
+        put("dpe_missing_columns", spark.createDataFrame([(c,) for c in missing], "column string"))
         put("dpe_final", audits)
     if sales is not None and stations is not None:
         dim = address_dimension(unique_addresses(sales), stations)

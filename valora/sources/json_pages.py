@@ -41,24 +41,32 @@ def read_offset_pages(spark: SparkSession, path: str, record: T.StructType) -> D
     return pages.select(F.inline(F.coalesce(F.col("results"), F.array().cast(T.ArrayType(record)))))
 
 
+def read_slice_pages(spark: SparkSession, path: str, record: T.StructType,
+                     slice_cols: tuple[str, ...] = ("region", "year")) -> DataFrame:
+    """Landed pages of cursor-paged slices, one row a page, with the slice
+    columns from the folder names."""
+    schema = page_schema(record, with_total=True)
+    for c in slice_cols:
+        schema = schema.add(T.StructField(c, T.StringType()))
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
 def read_cursor_slices(spark: SparkSession, path: str, record: T.StructType,
                        slice_cols: tuple[str, ...] = ("region", "year")) -> DataFrame:
     """Records of cursor-paged slices with the slice columns from the
     folder names, plus the ``total`` announced by the slice's pages  (S8)."""
-    schema = page_schema(record, with_total=True)
-    for c in slice_cols:
-        schema = schema.add(T.StructField(c, T.StringType()))
-    pages = spark.read.schema(schema).option("multiLine", True).json(path)
+    pages = read_slice_pages(spark, path, record, slice_cols)
     return pages.select(*slice_cols, F.col("total").alias("_slice_total"),
                         F.inline(F.coalesce(F.col("results"), F.array().cast(T.ArrayType(record)))))
 
 
-def slice_completeness(records: DataFrame, slice_cols: tuple[str, ...] = ("region", "year")) -> DataFrame:
-    """Per slice: rows landed vs total announced, and whether it is complete.
-    A slice that failed to load shows up here instead of being skipped
-    silently (SURVEY Q18)."""
-    return (records.groupBy(*slice_cols)
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.max("_slice_total").alias("total"))
+def slice_completeness(pages: DataFrame, slice_cols: tuple[str, ...] = ("region", "year")) -> DataFrame:
+    """Per slice of landed pages: rows landed vs total announced, and whether
+    it is complete.  Counted from the pages, so a slice that failed to load, or
+    whose pages hold no record, shows up here (SURVEY Q18)."""
+    return (pages.groupBy(*slice_cols)
+            .agg(F.sum(F.greatest(F.coalesce(F.size("results"), F.lit(0)), F.lit(0)).cast("long")).alias("n_rows"),
+                 F.max("total").alias("total"))
             .withColumn("complete", F.col("n_rows") == F.col("total")))
 
 
