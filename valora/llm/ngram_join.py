@@ -49,7 +49,8 @@ from valora.llm.session import stored
 
 FRAGMENTS, PROBE = 32, 12
 FRAGMENT_BITS = 5
-BATCH_BYTES = 8 << 20
+#: Text combined before rows leave a task.
+BATCH_BYTES = 12 << 20
 
 
 def _set_hashes(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +100,7 @@ def _probe(n: int, miss: float):
     limit = W.U((1 << 64) * PROBE // FRAGMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.gathered(batches, 2, BATCH_BYTES):
             for row, values, nodes, size, right in _chosen(batch, n):
                 mine = right[row] & (values < limit)
                 row, key = row[mine], (values[mine] >> W.U(16)).astype(np.int64)
@@ -128,7 +129,7 @@ def _probe(n: int, miss: float):
 
 def _tokens(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.gathered(batches, 2, BATCH_BYTES):
             for row, values, nodes, _, right in _chosen(batch, n):
                 mine = right[row]
                 yield pa.RecordBatch.from_arrays([pa.array(values[mine].view(np.int64)), pa.array(nodes[row[mine]])],

@@ -77,7 +77,7 @@ def _emit(key, more, id_, at, size) -> pa.RecordBatch:
 def _anchors(window: int):
     """Per batch: an anchor's key and place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.gathered(batches, 2, BATCH_BYTES):
             ids, sigs = (batch.column(k).to_numpy() for k in (0, 1))
             for a, b, data, offs in W.slices(batch.column(2), BATCH_BYTES):
                 hashes, bounds = W.word_hashes(data, offs)
@@ -128,7 +128,7 @@ def _windows(window: int):
     """Per batch: the marked windows' keys; a window that a smaller document
     of the batch has is settled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.gathered(batches, 2, BATCH_BYTES):
             ids, sigs = (batch.column(k).to_numpy() for k in (0, 1))
             of, low, _ = _spans(batch.column(3))
             for a, b, data, offs in W.slices(batch.column(2), BATCH_BYTES):
