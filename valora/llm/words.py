@@ -89,30 +89,6 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def gathered(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in batches of as many rows as have at most
-    ``limit`` bytes of text in ``column`` (or one row), however many rows the
-    session puts in an Arrow batch; sooner where the other columns and offsets
-    take several times that."""
-    held, text = [], 0
-    for batch in batches:
-        held.append(batch)
-        text += len(buffers(batch.column(column))[0])
-        full = text >= limit
-        if not full and sum(b.nbytes for b in held) < 4 * limit:
-            continue
-        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        ends = [b for _, b, *_ in slices(whole.column(column), limit)]
-        ends = ends[:-1] if full else ends
-        for a, b in zip([0, *ends], ends):
-            yield whole.slice(a, b - a)
-        held = [whole.slice(ends[-1])] if ends else [whole]
-        held = [b for b in held if b.num_rows]
-        text = sum(len(buffers(b.column(column))[0]) for b in held)
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
 def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sums of ``values[offsets[i]:offsets[i + 1]]`` as int64."""
     out = np.zeros(len(offsets) - 1, np.int64)
