@@ -228,3 +228,15 @@ def test_first_zone_most_severe(spark):
     inside = spark.createDataFrame([(1, "C"), (1, "A"), (2, "D")], "id int, zone string")
     got = {r.id: r.zone for r in first_zone(pts, inside, ["id"], ["A", "B", "C", "D"]).collect()}
     assert got == {1: "A", 2: "D", 3: None}
+
+
+def test_geocode_fill_takes_the_point_as_a_whole(spark):
+    from valora.operators.market import geocode_fill
+    sales = spark.createDataFrame(
+        [(1, "a", 1.0, 2.0), (2, "a", 1.0, None), (3, "a", None, 2.0), (4, "a", None, None), (5, "b", 1.0, None),
+         (6, "z", None, None), (7, None, None, 2.0)], "id int, k string, lon double, lat double")
+    ref = spark.createDataFrame([("a", 8.0, 9.0), ("b", 8.0, None)], "rk string, x double, y double")
+    out = geocode_fill(sales, ref, [F.col("k")], [F.col("rk")], {"lon": "x", "lat": "y"}, [F.desc("__ref_lon")])
+    assert {r["id"]: (r["lon"], r["lat"], r["coord_source"]) for r in out.collect()} == {
+        1: (1.0, 2.0, "own"), 2: (8.0, 9.0, "reference"), 3: (8.0, 9.0, "reference"), 4: (8.0, 9.0, "reference"),
+        5: (1.0, None, None), 6: (None, None, None), 7: (None, 2.0, None)}

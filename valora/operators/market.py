@@ -39,8 +39,10 @@ def geocode_fill(sales: DataFrame, reference: DataFrame, sale_keys: list[Column]
 
     ``targets`` maps sale column -> reference column.  The reference table is
     reduced to one row per key (``ref_order`` decides which) before the left
-    join.  ``source_alias`` says where each row's values came from:
-    'own', 'reference' or NULL (still missing)."""
+    join.  The targets are one point: a sale that lacks any of them takes all of
+    them from a reference row that has all, and otherwise stays as it is.
+    ``source_alias`` says where each row's values came from: 'own', 'reference'
+    or NULL (still incomplete)."""
     names = [f"__rk{i}" for i in range(len(ref_keys))]
     ref = reference.select(*[k.alias(n) for k, n in zip(ref_keys, names)],
                            *[F.col(v).alias(f"__ref_{s}") for s, v in targets.items()],
@@ -48,12 +50,13 @@ def geocode_fill(sales: DataFrame, reference: DataFrame, sale_keys: list[Column]
     one = latest_per_key(ref, names, ref_order).select(*names, *[f"__ref_{s}" for s in targets])
     left = sales.select("*", *[k.alias(n) for k, n in zip(sale_keys, names)])
     j = left.join(one, names, "left")
-    first = list(targets)[0]
-    own = F.col(first).isNotNull()
-    got = F.col(f"__ref_{first}").isNotNull()
-    j = j.withColumn(source_alias, F.when(own, F.lit("own")).when(got, F.lit("reference")))
+    own, got = F.lit(True), F.lit(True)
     for s in targets:
-        j = j.withColumn(s, F.when(own, F.col(s)).otherwise(F.col(f"__ref_{s}")))
+        own, got = own & F.col(s).isNotNull(), got & F.col(f"__ref_{s}").isNotNull()
+    use = ~own & got
+    # all at once: a target filled first must not count as the sale's own
+    j = j.withColumns({source_alias: F.when(own, F.lit("own")).when(got, F.lit("reference")),
+                       **{s: F.when(use, F.col(f"__ref_{s}")).otherwise(F.col(s)) for s in targets}})
     return j.drop(*names, *[f"__ref_{s}" for s in targets])
 
 
