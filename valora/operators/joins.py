@@ -22,6 +22,29 @@ def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return left.join(right, keys, how)
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+                hot: tuple | None = None) -> DataFrame:
+    """Equi-join (``inner`` or ``left``) whose left rows with a NULL key or the
+    known frequent key ``hot`` (such as the fill values) are spread over all
+    shuffle partitions.  NULL keys match nothing wherever they are; right rows
+    with the ``hot`` key, few (a dimension has one), are there once per
+    shuffle partition.  One scan of each side."""
+    spread = "__spread"
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.monotonically_increasing_id()), F.lit(n))
+    absent, frequent = F.lit(False), F.lit(hot is not None)
+    for i, k in enumerate(keys):
+        absent = absent | F.col(k).isNull()
+        if hot is not None:
+            frequent = frequent & (F.col(k) == F.lit(hot[i]))
+    frequent = F.coalesce(frequent, F.lit(False))
+    zero = F.lit(0).cast("long")
+    lk = left.withColumn(spread, F.when(absent | frequent, part).otherwise(zero))
+    rk = right.withColumn(spread, F.explode(F.when(frequent, F.sequence(zero, F.lit(n - 1).cast("long")))
+                                            .otherwise(F.array(zero))))
+    return lk.join(rk, [*keys, spread], how).drop(spread)
+
+
 def normalised_key_join(left: DataFrame, right: DataFrame, left_keys: list[Column],
                         right_keys: list[Column], how: str = "inner") -> DataFrame:
     """Join on derived key columns (e.g. ``lower(street)`` both sides)  (J2).

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valora.operators.dedup import latest_per_key
+from valora.operators.joins import spread_join
 from valora.operators.ranking import (
     _null_safe_join, exact_quantiles, percent_rank, quantiles_from_ranks, rank_table,
 )
@@ -16,24 +17,22 @@ from valora.operators.sizing import attach_one_row
 
 
 def latest_audit_join(sales: DataFrame, audits: DataFrame, sale_keys: list[Column],
-                      audit_keys: list[str], audit_order: list, audit_cols: list[str]) -> DataFrame:
+                      audit_keys: list[str], audit_order: list, audit_cols: list[str],
+                      hot: tuple | None = None) -> DataFrame:
     """Each sale with the latest audit of its address (left join; sales
     without an audit keep NULLs)  (D3).  Audits are reduced to one row per
-    key first so the join cannot multiply sales."""
+    key first so the join cannot multiply sales.  Sales with a NULL key, or with
+    the fill key ``hot``, are spread (see ``spread_join``)."""
+    names = [f"__ak{i}" for i in range(len(audit_keys))]
     latest = latest_per_key(audits, audit_keys, audit_order).select(
-        *[F.col(k).alias(f"__ak{i}") for i, k in enumerate(audit_keys)], *audit_cols)
-    left = sales.select("*", *[k.alias(f"__sk{i}") for i, k in enumerate(sale_keys)])
-    cond = None
-    for i in range(len(audit_keys)):
-        c = F.col(f"__sk{i}") == F.col(f"__ak{i}")
-        cond = c if cond is None else cond & c
-    out = left.join(latest, cond, "left")
-    return out.drop(*[f"__sk{i}" for i in range(len(audit_keys))],
-                    *[f"__ak{i}" for i in range(len(audit_keys))])
+        *[F.col(k).alias(n) for k, n in zip(audit_keys, names)], *audit_cols)
+    left = sales.select("*", *[k.alias(n) for k, n in zip(sale_keys, names)])
+    return spread_join(left, latest, names, "left", hot).drop(*names)
 
 
 def geocode_fill(sales: DataFrame, reference: DataFrame, sale_keys: list[Column], ref_keys: list[Column],
-                 targets: dict[str, str], ref_order: list, source_alias: str = "coord_source") -> DataFrame:
+                 targets: dict[str, str], ref_order: list, source_alias: str = "coord_source",
+                 hot: tuple | None = None) -> DataFrame:
     """Fill missing sale values (coordinates) from a reference table joined on
     a normalised key, only where the sale lacks them  (D4).
 
@@ -42,14 +41,15 @@ def geocode_fill(sales: DataFrame, reference: DataFrame, sale_keys: list[Column]
     join.  The targets are one point: a sale that lacks any of them takes all of
     them from a reference row that has all, and otherwise stays as it is.
     ``source_alias`` says where each row's values came from: 'own', 'reference'
-    or NULL (still incomplete)."""
+    or NULL (still incomplete).  Sales with a NULL key, or with the fill key
+    ``hot``, are spread (see ``spread_join``)."""
     names = [f"__rk{i}" for i in range(len(ref_keys))]
     ref = reference.select(*[k.alias(n) for k, n in zip(ref_keys, names)],
                            *[F.col(v).alias(f"__ref_{s}") for s, v in targets.items()],
                            *[c for c in reference.columns if c not in targets.values()])
     one = latest_per_key(ref, names, ref_order).select(*names, *[f"__ref_{s}" for s in targets])
     left = sales.select("*", *[k.alias(n) for k, n in zip(sale_keys, names)])
-    j = left.join(one, names, "left")
+    j = spread_join(left, one, names, "left", hot)
     own, got = F.lit(True), F.lit(True)
     for s in targets:
         own, got = own & F.col(s).isNotNull(), got & F.col(f"__ref_{s}").isNotNull()

@@ -25,7 +25,7 @@ from valora.operators.clean import AuditSpec, clean_audits, clean_sales
 from valora.operators.dedup import latest_per_key
 from valora.operators.star import address_dimension, sale_facts, unique_addresses
 from valora.sinks import write_table
-from valora.sources.delimited import read_delimited, read_delimited_by_header
+from valora.sources.delimited import read_delimited, read_delimited_by_header, typed_field
 from valora.sources.geojson import noise_zones
 from valora.sources.json_pages import stations_table
 from valora.sources.reconcile import reconcile
@@ -48,7 +48,7 @@ def load_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: i
     does not cast are left out, as is a row with too many or too few fields."""
     raw = read_delimited(spark, path, sep=",", schema=None, all_text=True, partitions=partitions, multi_line=multi_line)
     kept, _missing = reconcile(raw, schemas.SALES.fieldNames())
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schemas.SALES.fields}
+    typed = {f.name: typed_field(F.col(f.name), f.dataType) for f in schemas.SALES.fields}
     fine = F.lit(True)
     for name, value in typed.items():
         fine = fine & (F.col(name).isNull() | value.isNotNull())

@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from valora.functions import try_double
 from valora.schemas import data_type
 
 CORRUPT = "_corrupt_record"
@@ -40,6 +41,12 @@ def header_of(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
                  .option("quote", '"').option("escape", '"').csv(path).columns)
 
 
+def typed_field(c: Column, kind: T.DataType) -> Column:
+    """A text field as ``kind``, NULL where it is none; text such as ``12f`` is
+    no number here, though Spark's cast reads it as one."""
+    return try_double(c) if isinstance(kind, T.DoubleType) else c.try_cast(kind)
+
+
 def _with_corrupt(schema: T.StructType) -> T.StructType:
     if CORRUPT in schema.fieldNames():
         return schema
@@ -83,7 +90,7 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
         if isinstance(f.dataType, T.StringType):
             typed.append(c)
         else:
-            v = c.try_cast(f.dataType)
+            v = typed_field(c, f.dataType)
             typed.append(v.alias(f.name))
             cast_ok.append(c.isNull() | v.isNotNull())
     # Spark refuses a raw-file scan whose only required column is the
