@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from valora.session import checkpoint_dir
 
 BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2400
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -34,10 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read
     again: cuts the lineage, survives lost executors, and costs compressed
-    columns where ``checkpoint()`` writes whole rows."""
+    columns where ``checkpoint()`` writes whole rows.  Shuffle files of the
+    write are removed when it ends, not whenever the driver next collects
+    garbage: what follows reads the table."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_CONF, "false")
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
