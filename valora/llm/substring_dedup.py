@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valora.llm import words as W
+from valora.llm.session import stored
 
 PERIOD, COVER = 7, (1, 2, 4)
 #: Text combined before rows leave a task.
@@ -216,7 +217,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                           F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)).alias("same"))
     groups = (hashed.groupBy("same").agg(F.min("id").alias("first"), F.max("id").alias("last"))
               .filter(F.col("first") < F.col("last")))
-    copies = (hashed.join(groups, "same").filter(F.col("id") > F.col("first")).select("id", "sig").distinct())
+    copies = stored(hashed.join(groups, "same").filter(F.col("id") > F.col("first")).select("id", "sig").distinct())
 
     single = texts.join(copies, ["id", "sig"], "left_anti").select("id", "sig", "text")
     anchors = (single.sortWithinPartitions("id", "sig").mapInArrow(_anchors(window), _FOUND)
@@ -224,7 +225,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     same = Window.partitionBy("key")
     anchors = anchors.withColumns({"least": F.min("id").over(same), "most": F.max("id").over(same)})
     low = F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
-    marked = _collected(anchors, (F.col("key") < 0) | (F.col("least") < F.col("most")), low.cast("int"))
+    # written, so that the anchors' shuffle files go before the windows' come;
+    # the texts move once more for it
+    marked = stored(_collected(anchors, (F.col("key") < 0) | (F.col("least") < F.col("most")), low.cast("int")))
 
     # an anchor marks the windows it can lie in
     windows = (single.join(marked, ["id", "sig"]).select("id", "sig", "text", "spans")
