@@ -48,7 +48,8 @@ def test_full_build(spark, tmp):
     _w(f"{tmp}/in/dpe.csv", _audit_csv(audits))
     out = build.run(spark, build.Landing(sales=f"{tmp}/in/dvf.csv", stations=f"{tmp}/in/gares",
                                          audits=f"{tmp}/in/dpe.csv"), f"{tmp}/out")
-    assert set(out) == {"dvf", "gares", "dpe_final", "dpe_missing_columns", "dim_adresses", "fact_dvf"}
+    assert set(out) == {"dvf", "gares", "dpe_final", "dpe_missing_columns", "dim_adresses", "fact_dvf",
+                        "ventes", "prix", "verdicts"}
     dim = {(r.numero, r.nom_voie): r for r in spark.read.parquet(out["dim_adresses"]).collect()}
     # 'le' blocks both Le Mans and Le Havre stations: nearest wins (Q4)
     assert dim[(12, "rue Haute")].nom_gare_proche == "Le Mans"
@@ -65,6 +66,45 @@ def test_full_build(spark, tmp):
     assert ex["dedup"].collect()[0].n_removed == 1
 
 
+def test_market_tables(spark, tmp):
+    """Coordinates from addresses, zone, schools and audit of each sale; prices
+    and verdicts; what was left out."""
+    hdr = ",".join(c for c, _ in schemas.SALES_COLUMNS)
+    sales = ["2024-03-01,200000,100,12,,,rue Haute,4,Maison,Vente,0.20,48.00,72181,72000,Le Mans,72",
+             "2024-04-01,100000,100,14,,,rue Haute,4,Maison,Vente,,,72181,72000,Le Mans,72",
+             "2024-05-01,300000,100,,,,,4,Maison,Vente,,,72181,,Le Mans,72",
+             "2024-06-01,1,0,9,,,rue Basse,4,Maison,Vente,0.5,48.5,72181,72000,Le Mans,72"]
+    _w(f"{tmp}/m/dvf.csv", hdr + "\n" + "\n".join(sales) + "\n")
+    _w(f"{tmp}/m/adr/adresses-72.csv", "numero;nom_voie;code_postal;lon;lat\n14;Rue HAUTE;72000;0.21;48.01\n"
+                                       "15;Rue Haute;72000;0.3;12f\n")
+    ring = lambda a: [[[0.2 - a, 48 - a], [0.2 + a, 48 - a], [0.2 + a, 48 + a], [0.2 - a, 48 + a], [0.2 - a, 48 - a]]]
+    feature = lambda z, g: {"properties": {"ZONE": z, "NOM": z}, "geometry": g}
+    _w(f"{tmp}/m/zones.json", json.dumps({"type": "FeatureCollection", "features": [
+        feature("C", {"type": "Polygon", "coordinates": ring(0.05)}),
+        feature("A", {"type": "Polygon", "coordinates": ring(0.005)}),
+        feature("B", {"type": "Circle", "coordinates": []})]}))
+    _w(f"{tmp}/m/schools.json", json.dumps([{"identifiant": "e1", "longitude": 0.2, "latitude": 48.001},
+                                            {"identifiant": "e2", "longitude": 0.2, "latitude": 48.002},
+                                            {"identifiant": "e3", "longitude": None, "latitude": 48.0}]))
+    audits = [{"numero_dpe": "X1", "date_derniere_modification_dpe": "2024-01-01", "etiquette_dpe": "c",
+               "adresse_brut": "12 Rue Haute", "code_postal_brut": "72000"},
+              {"numero_dpe": "X2", "date_derniere_modification_dpe": "2024-06-01", "etiquette_dpe": "b",
+               "adresse_brut": "12 rue haute", "code_postal_brut": "72000"}]
+    _w(f"{tmp}/m/dpe.csv", _audit_csv(audits))
+    out = build.run(spark, build.Landing(sales=f"{tmp}/m/dvf.csv", addresses=f"{tmp}/m/adr", zones=f"{tmp}/m/zones.json",
+                                         schools=f"{tmp}/m/schools.json", audits=f"{tmp}/m/dpe.csv"), f"{tmp}/mout")
+    read = lambda t: spark.read.parquet(out[t]).collect()
+    rows = {r.adresse_numero: r for r in read("ventes")}
+    assert len(rows) == 4
+    assert (rows[12].zone_bruit, rows[12].n_ecoles, rows[12].ecole_proche, rows[12].numero_dpe) == ("A", 2, "e1", "X2")
+    assert (rows[14].longitude, rows[14].coord_source, rows[14].zone_bruit, rows[14].n_ecoles) == (0.21, "reference", "C", 0)
+    assert (rows[0].longitude, rows[0].zone_bruit, rows[0].numero_dpe, rows[0].n_ecoles) == (None, None, None, None)
+    assert {(r.nom_commune, r.type_local, r.grouping_level): r.median_price for r in read("prix")}[("Le Mans", "Maison", 0)] == 2000
+    assert sorted(r.verdict for r in read("verdicts")) == ["above", "below", "fair"]
+    assert [r.n_rejected for r in read("adresses_rejected")] == [1]
+    assert [r.n_rejected for r in read("zones_rejected")] == [1]
+
+
 def test_api_slices(spark, tmp):
     r = {"numero_dpe": "A", "date_derniere_modification_dpe": "2024-03-01", "etiquette_dpe": "d",
          "conso_5_usages_ep": "10", "code_region_ban": "52"}

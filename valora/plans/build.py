@@ -8,6 +8,11 @@ Landed inputs -> cleaned tables written under ``out_dir``:
 * ``zones``: noise-zone attributes; geometries kept for exposure  (C15)
 * ``dpe_final``: audits, keep-list, imputation, latest version  (S4+S5+C6+C7)
 * ``dim_adresses`` / ``fact_dvf``: star schema  (C10-C12)
+* ``ventes``: sales with coordinates filled from addresses, and the noise zone,
+  schools and audit of each, as far as these are landed  (D1-D4)
+* ``prix`` / ``verdicts``: prices by place and kind, sales against them  (D6-D8)
+* ``adresses_rejected``, ``zones_rejected``, ``dpe_missing_columns``: what was
+  left out
 
 Every step is a lazy DataFrame until its table is written; medians come
 from one aggregation joined back by broadcast, nothing is collected.
@@ -24,10 +29,11 @@ from valora import schemas
 from valora.operators.clean import AuditSpec, clean_audits, clean_sales
 from valora.operators.dedup import latest_per_key
 from valora.operators.star import address_dimension, sale_facts, unique_addresses
+from valora.plans import market_build
 from valora.sinks import write_table
 from valora.sources.delimited import read_delimited, read_delimited_by_header, typed_field
 from valora.sources.geojson import noise_zones
-from valora.sources.json_pages import stations_table
+from valora.sources.json_pages import SCHOOL_RECORD, read_points, stations_table
 from valora.sources.reconcile import reconcile
 
 
@@ -39,10 +45,11 @@ class Landing:
     stations: str | None = None       # folder of JSON pages
     zones: str | None = None          # GeoJSON file
     audits: str | None = None         # ',' CSV, all text
+    schools: str | None = None        # JSON list of records with longitude and latitude
 
 
 def load_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: int | None = None,
-               multi_line: bool = False) -> DataFrame:
+               multi_line: bool = False, fill_coordinates: bool = True) -> DataFrame:
     """The wanted columns by name, whatever else the file has and in any order
     (absent ones as NULL), cast by the declared schema; rows with a field that
     does not cast are left out, as is a row with too many or too few fields."""
@@ -52,7 +59,8 @@ def load_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: i
     fine = F.lit(True)
     for name, value in typed.items():
         fine = fine & (F.col(name).isNull() | value.isNotNull())
-    return clean_sales(kept.where(fine).select(*(c.alias(n) for n, c in typed.items())), years=years)
+    return clean_sales(kept.where(fine).select(*(c.alias(n) for n, c in typed.items())), years=years,
+                       fill_coordinates=fill_coordinates)
 
 
 def load_audits(spark: SparkSession, path: str, spec: AuditSpec | None = None) -> tuple[DataFrame, list[str]]:
@@ -83,8 +91,10 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         written[name] = path
 
     if landing.addresses:
-        put("adresses", read_delimited_by_header(spark, landing.addresses, ";", landing.address_glob,
-                                                 types=schemas.ADDRESS_TYPES))
+        good, bad = read_delimited_by_header(spark, landing.addresses, ";", landing.address_glob,
+                                             types=schemas.ADDRESS_TYPES, keep_rejects=True)
+        put("adresses", good)
+        put("adresses_rejected", bad.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rejected")))
     sales = None
     if landing.sales:
         sales = load_sales(spark, landing.sales, years)
@@ -108,6 +118,21 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         put("dim_adresses", dim)
         dim = spark.read.parquet(written["dim_adresses"])
         put("fact_dvf", sale_facts(sales, dim))
+    if landing.sales:
+        table = {name: spark.read.parquet(path) for name, path in written.items()}
+        rich = load_sales(spark, landing.sales, years, fill_coordinates=False)
+        if "adresses" in table:
+            rich = market_build.with_coordinates(rich, table["adresses"])
+        if "zones_geometry" in table:
+            rich = market_build.with_zone(rich, table["zones_geometry"])
+        if landing.schools:
+            rich = market_build.with_schools(rich, read_points(spark, landing.schools, SCHOOL_RECORD), "identifiant")
+        if "dpe_final" in table:
+            rich = market_build.with_audit(rich, table["dpe_final"])
+        put("ventes", rich)
+        rich = spark.read.parquet(written["ventes"])
+        put("prix", market_build.prices(rich))
+        put("verdicts", market_build.verdicts(rich))
     return written
 
 
@@ -126,11 +151,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--stations")
     ap.add_argument("--zones")
     ap.add_argument("--audits")
+    ap.add_argument("--schools")
     ap.add_argument("--years", default="2024,2025")
     a = ap.parse_args(argv)
     spark = get_session(app_name="valora-build")
     written = run(spark, Landing(addresses=a.addresses, sales=a.sales, stations=a.stations, zones=a.zones,
-                                 audits=a.audits), a.out, years=tuple(int(y) for y in a.years.split(",")))
+                                 audits=a.audits, schools=a.schools), a.out, years=tuple(int(y) for y in a.years.split(",")))
     for name, path in written.items():
         print(f"{name}\t{path}")
 

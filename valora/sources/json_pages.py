@@ -26,6 +26,12 @@ STATION_RECORD = T.StructType([
                                          T.StructField("lat", T.DoubleType())])),
 ])
 
+# Fields of a school record that are used.
+SCHOOL_RECORD = T.StructType([
+    T.StructField("identifiant", T.StringType()), T.StructField("nom", T.StringType()),
+    T.StructField("longitude", T.DoubleType()), T.StructField("latitude", T.DoubleType()),
+])
+
 
 def page_schema(record: T.StructType, with_total: bool = False) -> T.StructType:
     fields = [T.StructField("results", T.ArrayType(record))]
@@ -78,14 +84,11 @@ def stations_table(spark: SparkSession, path: str) -> DataFrame:
             .drop("c_geo"))
 
 
-def read_points(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                lon: str = "longitude", lat: str = "latitude", multiline: bool = True) -> DataFrame:
+def read_points(spark: SparkSession, path: str, schema: T.StructType = SCHOOL_RECORD, lon: str = "longitude",
+                lat: str = "latitude", multiline: bool = True) -> DataFrame:
     """A JSON list of records with coordinates -> rows with a point struct
     (S10, X17).  Records without both coordinates keep a NULL point."""
-    reader = spark.read.option("multiLine", multiline)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.json(path)
+    df = spark.read.schema(schema).option("multiLine", multiline).json(path)
     pt = F.when(F.col(lon).isNotNull() & F.col(lat).isNotNull(),
                 F.struct(F.col(lon).cast("double").alias("lon"), F.col(lat).cast("double").alias("lat")))
     return df.withColumn("point", pt)
