@@ -18,7 +18,7 @@ from valora.llm.mixing import mix
 from valora.llm.ngram_join import keep_one
 from valora.llm.quality import keep_quality
 from valora.llm.session import ready, stored, table
-from valora.llm.sharding import reshard
+from valora.llm.sharding import reshard_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +44,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document goes: 24 shards of near-equal bytes, from shards by
-    source."""
+    """Where each document went: files of shards by source, rewritten as 24
+    shards of near-equal bytes."""
     old = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(20))
-    placed = reshard(docs.select("doc_id", "source", "lang", "text"), old, 24)
+    placed = reshard_table(docs.select("doc_id", "source", "lang", "text"), old, 24)
     return placed.select("doc_id", "lang", "source", "size", "old_shard", "shard", "slot")
 
 

@@ -1,8 +1,10 @@
 """Mixing, sharding, packing and language identification."""
 
 import random
+from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -104,6 +106,53 @@ def test_reshard(spark, tmp):
     assert reshard(df.limit(0), F.col("old"), 6).count() == 0
 
 
+def test_rewrite_in_place(spark, tmp):
+    """An existing layout: shard 0 is untouched, 3 is emptied, 1 and 2 grow."""
+    rows = [(i, f"{i} " + "é" * (i % 90), i % 4) for i in range(400)] + [(7, None, 3)]
+    path = f"{tmp}/shards"
+    spark.createDataFrame(rows, "doc_id long, text string, shard int").write.partitionBy("shard").parquet(path)
+    sizes = [sum(len((t or "").encode()) + 8 for _, t, k in rows if k == shard) for shard in range(4)]
+    capacities = [sizes[0], sizes[1] + sizes[3] // 2, sizes[2] + sizes[3] - sizes[3] // 2]
+    before = {p.name: (p.stat().st_mtime_ns, p.read_bytes()) for p in Path(path, "shard=0").iterdir()}
+    old = spark.read.parquet(path).withColumnRenamed("shard", "old")
+    moves = {(m.old_shard, m.shard): m.rows for m in rewrite(reshard(old, F.col("old"), 3, capacities), path).collect()}
+    assert set(moves) == {(0, 0), (1, 1), (2, 2), (3, 1), (3, 2)} and sum(moves.values()) == len(rows)
+    assert {p.name: (p.stat().st_mtime_ns, p.read_bytes()) for p in Path(path, "shard=0").iterdir()} == before
+    assert sorted(p.name for p in Path(path).glob("shard=*")) == ["shard=0", "shard=1", "shard=2"]
+    got = spark.read.option("mergeSchema", True).parquet(path).select("doc_id", "text").collect()
+    assert sorted(map(str, got)) == sorted(str(Row(doc_id=i, text=t)) for i, t, _ in rows)
+
+
+@pytest.mark.parametrize("null", [False, True])
+def test_reshard_files(spark, tmp, null):
+    from valora.llm.sharding import reshard_files
+    rows = [(i, f"{i} " + "é" * (i % 90), None if null and not i % 8 else i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard int")
+    df.write.partitionBy("shard").parquet(f"{tmp}/shards")
+    sizes = [sum(len(t.encode()) + 8 for _, t, k in rows if (k or 0) == shard) for shard in range(4)]
+    capacities = [sizes[0], sizes[1] + sizes[3] // 2, sizes[2] + sizes[3] - sizes[3] // 2]
+    got = reshard_files(spark, f"{tmp}/shards", df.schema, 3, capacities).collect()
+    assert sorted((x.doc_id, x.text, x.old_shard) for x in got) == [(i, t, k or 0) for i, t, k in rows]
+    assert {(x.old_shard, x.shard) for x in got} == {(0, 0), (1, 1), (2, 2), (3, 1), (3, 2)}
+    for shard in range(3):
+        slots = sorted(x.slot for x in got if x.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert sorted(p.name for p in Path(tmp, "shards").glob("shard=*")) == ["shard=0", "shard=1", "shard=2"]
+    none = df.limit(0)
+    none.write.partitionBy("shard").parquet(f"{tmp}/none")
+    assert reshard_files(spark, f"{tmp}/none", none.schema, 3).count() == 0
+
+
+def test_sharding_query_rows_come_from_files(spark):
+    from valora.llm.queries import op7_sharding
+    out = op7_sharding(spark, "/root/testdata/sf0.001")
+    files = {f.split("/shard=")[0] for f in out.inputFiles()}
+    assert len(files) == 1 and "/shards-" in files.pop()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    true = docs.select("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("c")).collect()
+    assert sorted((x.doc_id, x.text_crc32) for x in out.collect()) == sorted(map(tuple, true))
+
+
 def test_best_fit():
     r = random.Random(8)
     for limit in (1, 7, 64, 100):

@@ -16,7 +16,7 @@ from valora.llm.ngram_join import near_classes
 from valora.llm.packing import pack
 from valora.llm.quality import with_quality
 from valora.llm.session import table
-from valora.llm.sharding import reshard
+from valora.llm.sharding import reshard_table
 from valora.llm.substring_dedup import remove_repeats
 
 #: Parameters of the queries.
@@ -62,11 +62,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    docs = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-                       _remainder("source", OLD_SHARDS).alias("old"))
-    return reshard(docs, F.col("old"), NEW_SHARDS).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", _remainder("source", OLD_SHARDS).alias("old"))
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return reshard_table(docs, F.col("old"), NEW_SHARDS).select(
+        "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 

@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read
     again: cuts the lineage, survives lost executors, and costs compressed
     columns where ``checkpoint()`` writes whole rows.  Shuffle files of the
@@ -43,7 +43,7 @@ def stored(df: DataFrame) -> DataFrame:
     before = spark.conf.get(CLEANUP_CONF, "false")
     spark.conf.set(CLEANUP_CONF, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         spark.conf.set(CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
