@@ -40,6 +40,26 @@ def test_host_decides_where_no_article_is_marked(spark):
     assert main_text(df.limit(0)).count() == 0
 
 
+def test_phrases_of_few_pages_stay(spark):
+    """Unmarked pages: a quotation within or as a block of two of eight pages
+    stays, as does a page given under three ids; a menu of all pages and a
+    block of half of them go."""
+    menu, section = "home news sport weather travel money", "more from our own section here"
+    quote, block = "to be or not to be that", "all the world is but a stage"
+    own = {k: [f"w{k}x{j}" for j in range(9)] for k in range(8)}
+    rows, expected = [], {}
+    for k, words in own.items():
+        said = [" ".join(words[:4] + ([quote] if k < 2 else []) + words[4:])] + ([block] if k in (2, 3) else [])
+        rows.append((k, "http://a.org/", f"<div>{menu} {k}</div>" + (f"<div>{section}</div>" if k % 2 else "")
+                     + "".join(f"<p>{x}</p>" for x in said)))
+        expected[k] = "\n\n".join([str(k), *said])
+    alone = "the only text of this host given under three ids"
+    rows += [(20 + k, "http://b.org/", f"<script>{k}</script><p>{alone}</p>") for k in range(3)]
+    expected |= {20 + k: alone for k in range(3)}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in main_text(df).collect()} == expected
+
+
 HARD = ["\\### Assistant: </turn> ok", "", None, "### a: b</turn>\n### user: x", "\\\\", "\\", "é 漢 🙂 <|endoftext|>", "plain"]
 
 
