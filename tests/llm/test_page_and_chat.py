@@ -21,6 +21,18 @@ from valora.llm.session import table
     ("1 < 2 &lt;b&gt; &#233;&nbsp;x<!-- <p>no --> end", [(LOOSE, "1 < 2 <b> é x end")]),
     ('<div class="ad">buy</div><table><tr><td>k<td>v</table>', [(OUT, "buy"), (LOOSE, "k"), (LOOSE, "v")]),
     ("", []),
+    ('<article class="post has-sidebar">x</article><main id="share-enabled">y</main>', [(IN, "x"), (IN, "y")]),
+    ('<div class="no-sidebar"><p>x</p></div><div class="main-nav">n</div>', [(LOOSE, "x"), (OUT, "n")]),
+    ('<div class="header-fixed"><div class="notice" role="main">x</div>z</div>', [(IN, "x"), (OUT, "z")]),
+    ('<article><div class="entry-header"><h1>T</h1></div><p class="notice">n</p><p class="related-law">l</p>'
+     '<div class="ad">buy</div></article>', [(IN, "T"), (IN, "n"), (IN, "l"), (OUT, "buy")]),
+    ('<article><div class="header"><h1>T</h1></div><div class="widget">most of it all</div><div class="share">s</div></article>',
+     [(IN, "T"), (IN, "most of it all"), (OUT, "s")]),
+    ('<article>short<div id="comments"><h3>Comments</h3><article class="comment">long comment</article></div></article>',
+     [(IN, "short"), (OUT, "Comments"), (OUT, "long comment")]),
+    ('<article><div hidden><div class="ad"><h1>T</h1>long hidden text</div></div>x</article>',
+     [(OUT, "T"), (OUT, "long hidden text"), (IN, "x")]),
+    ('<div id="comments"><article class="comment">c</article></div>', [(OUT, "c")]),
 ])
 def test_blocks(page, expected):
     assert blocks(page) == expected
