@@ -143,6 +143,17 @@ def test_decontamination(spark, docs, block_words):
     assert {x.doc_id for x in clean.collect()} == {i for i, _ in rows} - {x[0] for x in expected}
 
 
+@pytest.mark.parametrize("block_words", [2_000_000, 8])
+def test_decontamination_without_ids_and_of_short_items(spark, docs, block_words):
+    items = [(None, "p q r s t u"), (1, "A b"), (2, "b"), (3, "a c"), (4, ""), (5, None), (None, "x y z v"), (6, "a B")]
+    rows = [(1, "k a b k a b"), (2, "a k b"), (3, "p q r s t u v"), (4, None), (5, "w X y z V"), (6, "x y z"), (7, "a"), (8, "c")]
+    test = spark.createDataFrame(items, "item_id long, text string")
+    found = with_leaks(docs(rows), test, block_words=block_words, short=True)
+    got = sorted(map(str, (tuple(x) for x in found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*").collect())))
+    assert got == sorted(map(str, [(1, 1, 1, 1), (1, 6, 1, 1), (1, 2, 1, 1), (2, 2, 1, 1), (3, None, 2, 2), (5, None, 1, 1)]))
+    assert {x.doc_id for x in drop_leaks(docs(rows), test, block_words=block_words, short=True).collect()} == {4, 6, 7, 8}
+
+
 def test_empty_tables(spark, docs):
     none = docs([])
     items = spark.createDataFrame([], "item_id long, text string")

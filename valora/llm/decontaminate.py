@@ -15,9 +15,10 @@ pass over the documents a block), so what is sent is bounded whatever the size
 of the benchmark.
 
 Defined cases: words are compared with A-Z folded; an item with fewer than
-five words (or a null text) is never found; a document with fewer than five
-words, empty or null contains nothing; items or documents given twice are
-found twice.
+five words is never found, or with ``short`` where its word sequence is in a
+document (one shingle, the whole item); an item without words is never found; the id of an
+item plays no part in the search, and may be null; a document that is empty or
+null contains nothing; items or documents given twice are found twice.
 """
 
 from __future__ import annotations
@@ -46,11 +47,25 @@ def _grams(texts: pa.Array, n: int):
 class _Index:
     """Items by size class: their shingles and minimum hash values."""
 
-    def __init__(self, ids: list[int], texts: pa.Array, n: int):
-        self.ids, self.sets = np.array(ids, np.int64), [np.zeros(0, W.U)] * len(ids)
+    def __init__(self, ids: list[int | None], texts: pa.Array, n: int, short: bool = False):
+        self.ids, self.sets = ids, [np.zeros(0, W.U)] * len(ids)
         for a, b, row, values in _grams(texts, n):
             for k in range(b - a):
                 self.sets[a + k] = np.unique(values[row == k])
+        #: items too short for a shingle: by number of words, their hashes in order and the items
+        self.short = []
+        for m in range(1, n if short else 1):
+            whole, of = [np.zeros(0, W.U)], [np.zeros(0, np.int64)]
+            for a, b, data, offs in W.slices(texts):
+                hashes, bounds = W.word_hashes(data, offs, lower=True)
+                mine = np.flatnonzero(np.diff(bounds) == m)
+                if len(mine):
+                    whole.append(W.rolling(hashes, m)[bounds[mine]])
+                    of.append(mine + a)
+            whole, of = np.concatenate(whole), np.concatenate(of)
+            if len(of):
+                order = np.argsort(whole)
+                self.short.append((m, whole[order], of[order]))
         size = np.array([len(s) for s in self.sets], np.int64)
         self.classes = []
         for c in np.unique(np.floor(np.log2(size[size > 0])).astype(int)):
@@ -62,6 +77,19 @@ class _Index:
                 maybe[k, least[k] & 0xFFFF] = True
             self.classes.append((2 << c, of[order], np.take_along_axis(least, order, 1), maybe))
 
+    def short_pairs(self, m: int, whole: np.ndarray, of: np.ndarray, texts: pa.Array) -> np.ndarray:
+        """Sorted distinct (row, item) pairs of the items of ``m`` words, as row * items + item."""
+        found = [np.zeros(0, np.int64)]
+        for a, _, row, values in _grams(texts, m):
+            first, last = np.searchsorted(whole, values, "left"), np.searchsorted(whole, values, "right")
+            hit = np.flatnonzero(last > first)
+            pairs = np.unique((row[hit] + a) * len(whole) + first[hit])  # one a text and distinct sequence
+            row_of, start = np.divmod(pairs, len(whole))
+            many = np.searchsorted(whole, whole[start], "right") - start
+            which = np.repeat(start, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            found.append(np.repeat(row_of, many) * len(self.ids) + of[which])
+        return np.unique(np.concatenate(found))
+
     def candidates(self, row: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
         """Sorted distinct (row, item) pairs, as row * items + item."""
         found = [np.zeros(0, np.int64)]
@@ -105,9 +133,16 @@ def _search(index: _Index, n: int, percent: int):
                     shared = int((mine[at] == item).sum())
                     if 100 * shared >= percent * len(item):
                         counts[r] += 1
-                        out.append((int(index.ids[i]), shared, len(item)))
+                        out.append((index.ids[i], shared, len(item)))
             sizes.append(counts)
         sizes = np.concatenate(sizes or [np.zeros(0, np.int64)])
+        if index.short:
+            pairs = np.concatenate([index.short_pairs(*of, texts) for of in index.short])
+            rows, items = np.divmod(pairs, len(index.ids))
+            out += [(index.ids[i], 1, 1) for i in items]
+            every = np.concatenate([np.repeat(np.arange(len(sizes)), sizes), rows])
+            out = [out[k] for k in np.argsort(every, kind="stable")]
+            sizes = np.bincount(every, minlength=len(sizes))
         flat = pa.StructArray.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)],
                                           ["item_id", "n_shared", "n_item"])
         return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), flat).cast(_KIND)
@@ -117,17 +152,18 @@ def _search(index: _Index, n: int, percent: int):
 
 def with_leaks(df: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", n: int = 5, percent: int = 80, out: str = "leaks",
-               block_words: int = BLOCK_WORDS) -> DataFrame:
+               block_words: int = BLOCK_WORDS, short: bool = False) -> DataFrame:
     """``df`` with an array column ``out``: the items of which at least
-    ``percent`` of the shingles are in the text, with the counts."""
+    ``percent`` of the shingles are in the text, with the counts.  ``short``:
+    items below ``n`` words too, as one exact word sequence."""
     test = items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
     total = test.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
     blocks = max(1, -(-int(total) // block_words))
     text = F.col(f"`{text_col}`").cast("string")
     found = []
     for k in range(blocks):
-        block = test.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).filter("id is not null").toArrow()
-        index = _Index(block.column("id").to_pylist(), block.column("text").combine_chunks(), n)
+        block = test.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).toArrow()
+        index = _Index(block.column("id").to_pylist(), block.column("text").combine_chunks(), n, short)
         found.append(_search(index, n, percent)(text))
     return df.withColumn(out, F.concat(*found) if blocks > 1 else found[0])
 

@@ -50,7 +50,8 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = with_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = with_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"),
+                       short=True)
     return (found.select("doc_id", F.explode("leaks").alias("l"))
             .select("doc_id", "l.item_id", "l.n_shared", "l.n_item", (F.col("l.n_shared") / F.col("l.n_item")).alias("containment")))
 
