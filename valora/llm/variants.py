@@ -187,6 +187,27 @@ def _lists(frequent: dict[str, int], shared: int) -> Callable:
     return run
 
 
+def _one_edit(a: str, b: str) -> bool:
+    """Whether ``b``, not shorter than ``a``, is one edit away: behind the
+    common beginning, found by halving, the rest is the same."""
+    if a == b or len(b) - len(a) > 1:
+        return False
+    low, high = 0, len(a)
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return a[low + (len(a) == len(b)):] == b[low + 1:]
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([_one_edit(a, b) for a, b in zip(batch.column(0).to_pylist(),
+                                                                     batch.column(2).to_pylist())], pa.bool_()))
+
+
 def near_words(words: DataFrame, shared: int = SHARED) -> DataFrame:
     """Pairs ``(word, n, other, other_n)``, each once, of distinct words of
     ``words`` (word, n) at an edit distance of exactly one.  Words have at least 6 code points."""
@@ -197,8 +218,8 @@ def near_words(words: DataFrame, shared: int = SHARED) -> DataFrame:
     longer = F.col("other_size") - F.col("size")
     ordered = ((longer == 1) | ((longer == 0) & (F.col("word") < F.col("other"))))
     met = index.join(other, "key").filter(ordered).groupBy("word", "n", "other", "other_n").agg(F.count("*").alias("lists"))
-    return (met.filter((F.col("lists") >= shared) & (F.levenshtein("word", "other", 1) == 1))
-            .select("word", "n", "other", "other_n"))
+    return (met.filter(F.col("lists") >= shared).select("word", "n", "other", "other_n")
+            .mapInArrow(_verify, "word string, n long, other string, other_n long"))
 
 
 def _roots(forms: DataFrame) -> DataFrame:
