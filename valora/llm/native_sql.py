@@ -52,3 +52,33 @@ chains AS (
 SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
 FROM forms AS f JOIN (SELECT word, arg_max(root, step) AS root FROM chains GROUP BY word) AS c USING (word)
 """
+
+#: A trie node is the list of its turns; subtree sums go from each node, and
+#: from each leaf, to all its prefixes.
+PREFIX_TRIE = f"""
+WITH RECURSIVE {CRC},
+turns AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (SELECT conv_id, own, ({crc32("conv_id::VARCHAR")} % 6)::INT AS h FROM turns, crc),
+paths AS (
+  SELECT a.conv_id, list_concat(coalesce(b.own[1:a.h], []), a.own[a.h + 1:]) AS path
+  FROM hashed AS a LEFT JOIN turns AS b ON b.conv_id = a.conv_id - a.conv_id % 100),
+places AS (SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM paths),
+nodes AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CASE WHEN len(path) = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ids
+  FROM places GROUP BY ALL),
+children AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+weighed AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.node[depth].t) END AS saved
+  FROM nodes AS n LEFT JOIN children AS c ON c.node = n.node),
+sums AS (
+  SELECT node[1:d] AS node, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT node, leaf, saved, unnest(range(depth + 1)) AS d FROM weighed) GROUP BY ALL)
+SELECT w.conv_id, w.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens,
+       sha256(coalesce(w.ids, '')) AS ends_sha256
+FROM weighed AS w JOIN sums AS s ON s.node = w.node
+LEFT JOIN nodes AS p ON w.depth > 0 AND p.node = w.node[1:w.depth - 1]
+"""

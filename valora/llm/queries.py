@@ -12,13 +12,14 @@ from valora.llm.decontaminate import with_leaks
 from valora.llm.extract import main_text
 from valora.llm.langid import learn, with_language
 from valora.llm.mixing import default_domain, mix
-from valora.llm.native_sql import SPELLING_VARIANTS
+from valora.llm.native_sql import PREFIX_TRIE, SPELLING_VARIANTS
 from valora.llm.ngram_join import near_classes
 from valora.llm.packing import pack
 from valora.llm.quality import with_quality
 from valora.llm.session import table
 from valora.llm.sharding import reshard_table
 from valora.llm.substring_dedup import remove_repeats
+from valora.llm.turn_trie import trie, turn_rows, with_openings
 from valora.llm.variants import spelling_variants, word_counts
 
 #: Parameters of the queries.
@@ -95,13 +96,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("dedup.kept", 256).alias("kept_sha256"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    id_ = F.col("id")
+    turns = with_openings(turn_rows(table(spark, sf_dir, "conversations")), id_ - id_ % 100, id_ % 100 == 0,
+                          _remainder("id", 6), most=5)
+    return trie(turns)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = word_counts(table(spark, sf_dir, "documents"), min_length=6, min_count=5, noise=199)
     return spelling_variants(words, ratio=5)
 
 
 #: Queries that SQL can express over whole tables.
-SQL = {"op13_spelling_variants": SPELLING_VARIANTS}
+SQL = {"op12_conversation_trie": PREFIX_TRIE, "op13_spelling_variants": SPELLING_VARIANTS}
 
 #: name -> (query, DuckDB SQL or None).  Where there is no whole-table SQL form
 #: in DuckDB, tests/llm compares the query with a brute-force version.
@@ -109,5 +117,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     f.__name__: (f, SQL.get(f.__name__)) for f in (
         op1_quality_rules, op2_html_extraction, op3_chat_formatting, op4_benchmark_decontamination,
         op5_ngram_jaccard_join, op6_source_mixing, op7_sharding, op8_token_packing, op9_language_id,
-        op10_substring_dedup, op13_spelling_variants)
+        op10_substring_dedup, op12_conversation_trie, op13_spelling_variants)
 }
