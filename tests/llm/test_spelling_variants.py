@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from valora.llm.variants import (
-    END, LEAST_GRAM, START, decompose, gram_dictionary, near_words, spelling_variants, word_counts)
+    END, LEAST_GRAM, SHARED, START, decompose, gram_dictionary, near_words, spelling_variants, word_counts)
 from valora.llm.variants import RUN, _pieces
 from tests.llm.brute import FOLD
 
@@ -74,7 +74,7 @@ def test_an_edit_affects_no_more_grams_than_the_bound(spark):
     assert frequent
     for word in words:
         grams, bound = decompose(word, frequent)
-        assert len(grams) == len(word) + 3 - LEAST_GRAM and len(grams) - bound >= 2
+        assert len(grams) == len(word) + 3 - LEAST_GRAM and len(grams) - bound >= SHARED
         mine = Counter((START + word + END)[a:b] for a, b in grams)
         for at in range(len(word) + 1):
             for edit in ("b", "zz"[:1]):

@@ -3,25 +3,25 @@ code point, found through an index of grams of variable length.
 
 * ``word_counts``: runs of letters of whole texts, counted in the tasks before
   they are shuffled.
-* Gram dictionary: a gram of 2 to 5 code points is extended as long as it is
-  frequent (more than 1 in ``DICTIONARY`` of all gram places), so a common gram
-  gives way to longer, rarer ones.  The frequent grams, at most ``4 *
-  DICTIONARY`` short strings whatever the number of words, are the dictionary
-  every task gets.
+* Gram dictionary: a gram of two code points is extended to a third where it
+  is frequent (more than 1 in ``DICTIONARY`` of all gram places), so a common
+  gram gives way to longer, rarer ones.  The frequent grams, fewer than
+  ``DICTIONARY`` short strings of each length whatever the number of words, are the dictionary every task gets.
 * Decomposition: a word, with a mark before and after it, has one gram at each
-  place: the shortest that is not frequent.  Which one depends on its own code
+  place: the shortest that is not frequent, or the longest.  Which one depends on its own code
   points alone, so an edit affects exactly the grams that cover its place.  A
   word's *affected-gram bound* is the largest number of its grams that cover
-  one place, at most 5 of ``length + 1``.
-* List merging: two words one edit apart share all but the affected grams, and
-  what is left or right of the edit along with them.  In the order (rare first,
-  then by hash) the first ``shared`` unaffected grams are among each word's first
-  ``bound + shared``; only these are indexed, by the word up to the gram's end and by the
-  word from its start on.  A pair met in ``shared`` lists is verified by its
-  edit distance.
-
-Hot lists: words are distinct, and a list holds those that begin, or end, alike
-up to a gram that is among their rarest.
+  one place: at most ``MOST_GRAM`` of ``length + 1``.
+* List merging: two words one edit apart share all but the affected grams, so
+  ``SHARED`` at least, those left of the edit along with the word's beginning, those
+  right of it with its end.  In the order (rare first, then by hash) the first
+  ``SHARED`` unaffected grams are among each word's first ``bound + SHARED``; only these
+  are indexed.  A list's key has the places of a whole choice of them: the
+  beginning up to the last one left of the edit and the end from the first one
+  right of it.  Pairs that meet in a list are verified.
+
+Hot lists: words are distinct, and a list holds those that share beginning,
+end or both over ``SHARED`` of their rarest grams.
 """
 
 from __future__ import annotations
@@ -42,12 +42,15 @@ from valora.llm.session import stored
 
 #: The letters of a word.
 RUN = re.compile("[a-zÀ-ÿ]+")
-LEAST_GRAM, MOST_GRAM = 2, 5
+LEAST_GRAM, MOST_GRAM = 2, 3
+#: Grams that any two words one edit apart share: a word of 6 code points has 7,
+#: of which an edit affects ``MOST_GRAM`` at most.
+SHARED = 4
+LEAST_LENGTH = MOST_GRAM + SHARED - 1
 #: A gram at more than one in so many places is frequent.
 DICTIONARY = 20_000
-#: Lists in which a pair must meet; a word of 6 code points has 7 grams, of
-#: which one edit affects 5 at most.
-SHARED = 2
+#: Up to this length the edit distance is computed where a pair meets.
+SHORT = 64
 START, END = "\x02", "\x03"
 #: Distinct words a task holds before it passes their counts on; bytes of text it cuts at once.
 HELD, PIECE = 200_000, 1 << 22
@@ -109,7 +112,7 @@ def _counter(least: int, noise: int | None) -> Callable:
     return run
 
 
-def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 6,
+def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = LEAST_LENGTH,
                 min_count: int = 1, noise: int | None = None) -> DataFrame:
     """``(word, n)``: maximal runs of ``[A-Za-z\\u00C0-\\u00FF]`` of whole texts,
     A-Z lower-cased, with at least ``min_length`` code points and ``min_count``
@@ -164,22 +167,39 @@ def decompose(word: str, frequent: dict[str, int]) -> tuple[list[tuple[int, int]
     return grams, most
 
 
-def _lists(frequent: dict[str, int], shared: int) -> Callable:
-    """The index entries of each word: of its first grams, the word up to the
-    end and the word from the start, as hashes."""
+def list_keys(word: str, frequent: dict[str, int], rank: dict[str, tuple[int, int]], shared: int = SHARED) -> set[int]:
+    """The lists a word is in.  An edit has ``k`` of the first ``shared``
+    unaffected grams on its left and the others on its right, so the ``k``-th
+    indexed gram at least ends, and the last but ``shared - k - 1`` at most begins, what is kept."""
+    s = START + word + END
+    grams, bound = decompose(word, frequent)
+    ordered = sorted((rank.get(s[a:b]) or (0, xxhash.xxh3_64_intdigest(s[a:b])), a, b) for a, b in grams)
+    first = sorted((a, b) for _, a, b in ordered[:bound + shared])
+    keys, m = set(), len(first)
+    for i, (a, b) in enumerate(first):
+        if i >= shared - 1:
+            keys.add(xxhash.xxh3_64_intdigest(s[:b], 1))
+        if i <= m - shared:
+            keys.add(xxhash.xxh3_64_intdigest(s[a:], 2))
+        left = xxhash.xxh3_64(s[:b], 3)
+        for j in range(i + 1, m):
+            if first[j][0] >= b and i + 1 + m - j >= shared:
+                both = left.copy()
+                both.update(START + s[first[j][0]:])
+                keys.add(both.intdigest())
+    return keys
+
+
+def _lists(frequent: dict[str, int]) -> Callable:
     rank = {g: (n, xxhash.xxh3_64_intdigest(g)) for g, n in frequent.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, of = [], []
             for row, word in enumerate(batch.column(0).to_pylist()):
-                s = START + word + END
-                grams, bound = decompose(word, frequent)
-                ordered = sorted((rank.get(g) or (0, xxhash.xxh3_64_intdigest(g)), a, b)
-                                 for a, b in grams for g in (s[a:b],))
-                for _, a, b in ordered[:bound + shared]:
-                    keys += (xxhash.xxh3_64_intdigest(s[:b], 1), xxhash.xxh3_64_intdigest(s[a:], 2))
-                    of += (row, row)
+                mine = list_keys(word, frequent, rank)
+                keys += mine
+                of += [row] * len(mine)
             take = pa.array(of, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.array(keys, np.uint64).view(np.int64)), *(batch.column(k).take(take) for k in (0, 1, 2))],
@@ -208,18 +228,20 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                                      batch.column(2).to_pylist())], pa.bool_()))
 
 
-def near_words(words: DataFrame, shared: int = SHARED) -> DataFrame:
+def near_words(words: DataFrame) -> DataFrame:
     """Pairs ``(word, n, other, other_n)``, each once, of distinct words of
-    ``words`` (word, n) at an edit distance of exactly one.  Words have at least 6 code points."""
+    ``words`` (word, n) at an edit distance of exactly one.  Words have at least
+    6 code points."""
     frequent = gram_dictionary(words)
-    index = words.select("word", "n", F.length("word").alias("size")).mapInArrow(
-        _lists(frequent, shared), "key long, word string, n long, size int")
+    index = (words.select("word", "n", F.length("word").alias("size"))
+             .mapInArrow(_lists(frequent), "key long, word string, n long, size int").repartition("key"))
     other = index.select("key", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("size").alias("other_size"))
     longer = F.col("other_size") - F.col("size")
     ordered = ((longer == 1) | ((longer == 0) & (F.col("word") < F.col("other"))))
-    met = index.join(other, "key").filter(ordered).groupBy("word", "n", "other", "other_n").agg(F.count("*").alias("lists"))
-    return (met.filter(F.col("lists") >= shared).select("word", "n", "other", "other_n")
-            .mapInArrow(_verify, "word string, n long, other string, other_n long"))
+    # Spark's edit distance takes quadratic time; pairs of long words go on to ``_verify``
+    near = F.when(F.col("size") <= SHORT, F.levenshtein("word", "other", 1) == 1).otherwise(True)
+    met = index.join(other, "key").filter(ordered).filter(near).select("word", "n", "other", "other_n").distinct()
+    return met.mapInArrow(_verify, "word string, n long, other string, other_n long")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
