@@ -21,6 +21,7 @@ from valora.llm.sharding import reshard_table
 from valora.llm.substring_dedup import remove_repeats
 from valora.llm.turn_trie import trie, turn_rows, with_openings
 from valora.llm.variants import spelling_variants, word_counts
+from valora.llm.vector_tree import nearest
 
 #: Parameters of the queries.
 MIX = {"weights": {("d0",): 2.0, ("d1",): 1.0, ("d2",): 1.0, ("d3",): 1.0}, "share": 0.5, "max_epochs": 2, "seed": 7}
@@ -96,6 +97,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("dedup.kept", 256).alias("kept_sha256"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     id_ = F.col("id")
     turns = with_openings(turn_rows(table(spark, sf_dir, "conversations")), id_ - id_ % 100, id_ % 100 == 0,
@@ -117,5 +122,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     f.__name__: (f, SQL.get(f.__name__)) for f in (
         op1_quality_rules, op2_html_extraction, op3_chat_formatting, op4_benchmark_decontamination,
         op5_ngram_jaccard_join, op6_source_mixing, op7_sharding, op8_token_packing, op9_language_id,
-        op10_substring_dedup, op12_conversation_trie, op13_spelling_variants)
+        op10_substring_dedup, op11_nearest_neighbours, op12_conversation_trie, op13_spelling_variants)
 }
