@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valora.functions import NOT_PROVIDED, first_word_key, haversine_m, lower_key, sq_planar_distance
-from valora.operators.joins import nearest_match, normalised_key_join, prefix_columns, spread_join
+from valora.functions import NOT_PROVIDED, first_word_key, haversine_m, lower_key
+from valora.operators.joins import normalised_key_join, prefix_columns, spread_join
+from valora.operators.nearest import nearest_site
 from valora.operators.ranking import dense_id, hash_id
 
 ADDRESS_KEY = ["numero", "nom_voie", "code_postal"]
@@ -45,11 +46,10 @@ def address_dimension(addresses: DataFrame, stations: DataFrame, how: str = "inn
     reference's squared degrees (SURVEY Q5)."""
     st = stations.select(F.col("libelle").alias("nom_gare_proche"), F.col("commune").alias("__s_commune"),
                          F.col("longitude").alias("__s_lon"), F.col("latitude").alias("__s_lat"))
-    best = nearest_match(
+    best = nearest_site(
         addresses, st, ADDRESS_KEY,
         left_block=first_word_key(F.col("nom_commune")), right_block=first_word_key(F.col("__s_commune")),
-        distance=lambda c: sq_planar_distance(c("lon"), c("lat"), c("__s_lon"), c("__s_lat")),
-        distance_alias="distance_gare_degres", tie_break=["nom_gare_proche", "__s_lon", "__s_lat",
+        left_xy=("lon", "lat"), right_xy=("__s_lon", "__s_lat"), distance_alias="distance_gare_degres", tie_break=["nom_gare_proche", "__s_lon", "__s_lat",
                                                           "lon", "lat", "nom_commune", "code_insee"],
         how=how)
     cols = ["numero", "nom_voie", "code_postal", "nom_commune", "lon", "lat", "code_insee",

@@ -25,7 +25,8 @@ from valora.functions import (
 )
 from valora.operators.clean import AuditSpec, clean_audits, clean_sales, fill_numeric, fill_text, impute_median
 from valora.operators.dedup import dedup_counts, group_transactions, latest_per_key
-from valora.operators.joins import block_fanout, key_join, nearest_match, normalised_key_join, prefix_columns
+from valora.operators.joins import block_fanout, key_join, normalised_key_join, prefix_columns
+from valora.operators.nearest import nearest_site
 from valora.operators.market import (
     deal_verdict, geocode_fill, latest_audit_join, outlier_fences, outlier_filter, price_statistics,
 )
@@ -684,9 +685,8 @@ def q_nearest_match(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("s_blk"),
                                            (F.col("s_acctbal") / 1000.0).alias("s_lon"),
                                            (F.col("s_suppkey") / 10.0).alias("s_lat"))
-    best = nearest_match(a, s, ["p_partkey"], F.col("blk"), F.col("s_blk"),
-                         lambda c: sq_planar_distance(c("lon"), c("lat"), c("s_lon"), c("s_lat")),
-                         "distance", tie_break=["s_suppkey"])
+    best = nearest_site(a, s, ["p_partkey"], F.col("blk"), F.col("s_blk"), ("lon", "lat"), ("s_lon", "s_lat"),
+                        "distance", tie_break=["s_suppkey"])
     return best.select("p_partkey", "s_suppkey", "s_name", "distance")
 
 
