@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from valora.operators.nearest import LEAF, nearest_site, site_tree
+from valora.operators.cells import LEAF, site_tree
+from valora.operators.nearest import nearest_site
 from valora.operators.skew import frequent_keys, skew_join
 
 
@@ -78,7 +79,7 @@ def test_leaves_are_small_and_hold_each_site_once(spark):
     rnd = random.Random(9)
     pts = {(rnd.gauss(0, 1e-3) if k % 3 else rnd.uniform(-50, 50), rnd.gauss(0, 1e-3)) for k in range(2000)}
     sites = spark.createDataFrame([("k", x, y) for x, y in pts], "block string, sx double, sy double")
-    nodes, leaves = site_tree(sites)
+    nodes, leaves = site_tree(sites, ["sx", "sy"])
     held = leaves.groupBy("node").count().collect()
     assert sum(r["count"] for r in held) == len(pts) and max(r["count"] for r in held) <= LEAF
     assert nodes.where("leaf").count() == len(held)
@@ -121,3 +122,33 @@ def test_skew_join_null_safe(spark):
     R = spark.createDataFrame([(None, 10), ("a", 20)], "g string, v int")
     got = skew_join(L, R, ["g"], "left", null_safe=True, parts=8).collect()
     assert len(got) == 53 and {(r.id, r.v) for r in got} == {(1, 10), (2, 20), (3, None), (9, 10)}
+
+
+@pytest.mark.parametrize("metric, itself", [("planar", False), ("planar", True), ("haversine", False), ("haversine", True)])
+def test_proximity_in_a_dense_town(spark, metric, itself):
+    """A third of all points of interest within the radius of each other, another
+    part on one spot, the rest far apart."""
+    from valora.functions import haversine_m
+    from valora.operators.spatial import proximity
+
+    rnd = random.Random(8)
+    pois = [(j, "a", 2 + rnd.gauss(0, 2e-3), 48 + rnd.gauss(0, 2e-3)) for j in range(250)]
+    pois += [(250 + j, "a", 2.001, 48.001) for j in range(150)] + [(400 + j, "b", 2.0, 48.0) for j in range(3)]
+    pois += [(500 + j, "ab"[j % 2], rnd.uniform(1.9, 2.1), rnd.uniform(47.9, 48.1)) for j in range(300)]
+    pois += [(900, "a", None, 48.0), (901, None, 2.0, 48.0)]
+    pts = pois if itself else [(i, b, x, y) for i, b, x, y in pois[::3]] + [(2000, "a", 2.5, 48.0), (2001, "c", 2.0, 48.0)]
+    radius = 0.004 if metric == "planar" else 400.0
+    P = spark.createDataFrame(pts, "id int, b string, x double, y double")
+    Q = spark.createDataFrame(pois, "pid int, pb string, px double, py double")
+    got = {r.id: (r.n_within, r.nearest_id, r.nearest_distance) for r in proximity(
+        P, Q, ["id"], "pid", "x", "y", "px", "py", radius, metric, [("b", "pb")], itself).collect()}
+    d = (haversine_m(F.col("x"), F.col("y"), F.col("px"), F.col("py")) if metric == "haversine" else
+         (F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py")))
+    pairs = P.join(Q, P.b == Q.pb).withColumn("d", d).where(F.col("d") <= (radius if metric == "haversine" else radius * radius))
+    want = {i: (0, None, None) for i, *_ in pts}
+    near = {}
+    for r in pairs.select("id", "pid", "d").collect():
+        if not (itself and r.id == r.pid):
+            near.setdefault(r.id, []).append((r.d, r.pid))
+    want |= {i: (len(v), min(v)[1], min(v)[0]) for i, v in near.items()}
+    assert got == want

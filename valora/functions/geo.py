@@ -25,7 +25,8 @@ def haversine_m(lon1, lat1, lon2, lat2) -> Column:
     dphi = p2 - p1
     dlmb = F.radians(lon2) - F.radians(lon1)
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    # not ``least``, which passes over NULL: no coordinate, no distance
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.when(a > 1.0, F.lit(1.0)).otherwise(a)))
 
 
 def point(lon, lat) -> Column:

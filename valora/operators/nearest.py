@@ -1,17 +1,13 @@
 """Nearest site of the same block, without comparing all of them  (J4, W2, C11).
 
-The located sites of a block form a tree of square cells, each split in 4 x 4
-while it holds more than ``LEAF`` sites, so cells are small where sites are
-dense.  A node knows the box its sites lie in and one of them.  All
-locations go down together, level by level: a node's sites are no nearer than
-its box and one is as near as the node's site, so a location drops the nodes whose box is farther
-than the nearest site it knows (never one that ties).  Only the sites of the
-leaves that remain are measured.
+Locations go down the tree of a block's sites (``cells``): a node's sites are
+no nearer than its box and one is as near as the site the node knows, so a
+location drops the nodes whose box is farther than the nearest site it knows
+(never one that ties).  Only the sites of the leaves that remain are measured.
 
 Work is done once per distinct location; a site on top of others of its block
-counts once, the first by the tie-break.  The upper nodes, which all
-locations of a block pass, are there once per part of the locations; the
-frequent leaves and locations are found by a sketch (``skew_join``).
+counts once, the first by the tie-break.  Frequent leaves and locations are
+found by a sketch (``skew_join``).
 """
 
 from __future__ import annotations
@@ -20,82 +16,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valora.functions import sq_planar_distance
+from valora.operators.cells import descend, nearest_of_box, one_of_box, site_tree
 from valora.operators.ranking import stable
 from valora.operators.skew import skew_join
 
-#: Sites of a cell that is not split further; levels of the tree below its root.
-LEAF, DEPTH = 8, 13
-#: Nodes of so many upper levels are met by parts of a block's locations.
-UPPER = 3
-
 
 def _located(x: str, y: str) -> Column:
     return F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
 
 
-def _node_id(level) -> Column:
-    return F.xxhash64("block", level, "cx", "cy")
-
-
-def _levels(sites: DataFrame) -> DataFrame:
-    """Each site once per level, with the cell it lies in there.  Cells of one
-    level nest in those above: a cell is the deepest one's number without its last bits."""
-    extent = sites.groupBy("block").agg(F.min("sx").alias("x0"), F.min("sy").alias("y0"),
-                                        F.greatest(F.max("sx") - F.min("sx"), F.max("sy") - F.min("sy")).alias("span"))
-    most = 1 << (2 * DEPTH)
-    deep = lambda c, zero: F.when(F.col("span") > 0, F.least(
-        F.floor((F.col(c) - F.col(zero)) / F.col("span") * most), F.lit(most - 1))).otherwise(0).cast("long")
-    placed = sites.join(extent, "block").withColumns({"dx": deep("sx", "x0"), "dy": deep("sy", "y0")})
-    up = 2 * (DEPTH - F.col("level"))
-    return (placed.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(DEPTH))))
-            .withColumns({"cx": F.call_function("shiftright", F.col("dx"), up), "cy": F.call_function("shiftright", F.col("dy"), up)})
-            .drop("x0", "y0", "span", "dx", "dy"))
-
-
-def site_tree(sites: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes of the trees of ``sites`` (block, sx, sy, ...), and the sites with the
-    ``node`` of their leaf."""
-    spread = _levels(sites)
-    counts = spread.groupBy("block", "level", "cx", "cy").agg(
-        F.count(F.lit(1)).alias("n"), F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"),
-        F.max("sy").alias("y1"), F.min(F.struct(F.col("sx"), F.col("sy"))).alias("one"))
-    counts = counts.select("*", _node_id("level").alias("node"), ((F.col("n") <= LEAF) | (F.col("level") == DEPTH)).alias("leaf"),
-                           F.xxhash64("block", F.col("level") - 1, F.shiftright("cx", 2), F.shiftright("cy", 2)).alias("above"))
-    parents = counts.where(~F.col("leaf")).select(F.col("node").alias("above"), F.lit(True).alias("split"))
-    nodes = stable(counts.join(parents, "above", "left").where(F.col("split") | (F.col("level") == 0)).drop("split", "cx", "cy", "n"))
-    leaves = nodes.where("leaf").select("block", "node")
-    return nodes, spread.withColumn("node", _node_id("level")).drop("level", "cx", "cy").join(leaves, ["block", "node"])
-
-
-def _gap(c: Column, low: Column, high: Column) -> Column:
-    return F.greatest(low - c, c - high, F.lit(0.0))
-
-
-def _descend(places: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(block, x, y, node)``: the leaves that can hold a place's nearest site."""
-    parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x, y = F.col("x"), F.col("y")
-    near = (_gap(x, F.col("x0"), F.col("x1")), _gap(y, F.col("y0"), F.col("y1")))
-    lower = near[0] * near[0] + near[1] * near[1]
-    upper = sq_planar_distance(x, y, F.col("one.sx"), F.col("one.sy"))
-    depth = nodes.agg(F.max("level")).first()[0]
-    at = places.withColumns({"node": F.xxhash64("block", F.lit(-1), F.lit(0).cast("long"), F.lit(0).cast("long")),
-                             "leaf": F.lit(False), "upper": F.lit(float("inf")), "lower": F.lit(0.0)})
-    for level in range(-1, -1 if depth is None else depth):
-        copies = parts if level < UPPER else 1
-        below = (nodes.where(F.col("level") == level + 1)
-                 .select("block", F.col("above").alias("meet"), F.col("node").alias("kid"), F.col("leaf").alias("last"), "x0", "x1", "y0", "y1", "one")
-                 .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))))
-        # a leaf meets nothing, wherever its row is
-        at = (at.withColumns({"meet": F.when(F.col("leaf"), F.xxhash64("x", "y", "node")).otherwise(F.col("node")),
-                              "part": F.pmod(F.xxhash64("x", "y"), F.lit(copies)).cast("int")})
-              .join(below, ["block", "meet", "part"], "left").where(F.col("leaf") | F.col("kid").isNotNull())
-              .select("block", "x", "y", F.coalesce("kid", "node").alias("node"), F.coalesce("last", "leaf").alias("leaf"),
-                      F.when(F.col("kid").isNull(), F.col("upper")).otherwise(upper).alias("upper"),
-                      F.when(F.col("kid").isNull(), F.col("lower")).otherwise(lower).alias("lower")))
-        known = F.min("upper").over(Window.partitionBy("block", "x", "y"))
-        at = at.withColumn("known", known).where(F.col("lower") <= F.col("known")).drop("known")
-    return at.where("leaf").select("block", "x", "y", "node")
+def _candidates(places: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The leaves that can hold a place's nearest site."""
+    at = ["x", "y"]
+    known = F.min("upper").over(Window.partitionBy("block", *at))
+    return descend(places, nodes, at, at, {"upper": F.lit(float("inf")), "lower": F.lit(0.0)},
+                   {"upper": one_of_box(at, ["sx", "sy"]), "lower": nearest_of_box(at)},
+                   lambda now: now.withColumn("known", known).where(F.col("lower") <= F.col("known")).drop("known")
+                   ).select("block", *at, "node")
 
 
 def nearest_site(left: DataFrame, right: DataFrame, left_key_cols: list[str], left_block: Column, right_block: Column,
@@ -118,11 +55,11 @@ def nearest_site(left: DataFrame, right: DataFrame, left_key_cols: list[str], le
     sites = sites.where(F.col("block").isNotNull())
     first = F.min("site").alias("site")
     known = sites.where(_located("sx", "sy")).groupBy("block", "sx", "sy").agg(first)
-    nodes, leaves = site_tree(known)
+    nodes, leaves = site_tree(known, ["sx", "sy"])
     rows = left.withColumns({"__block": left_block, "__x": F.col(left_xy[0]).cast("double"), "__y": F.col(left_xy[1]).cast("double")})
     places = (rows.where(F.col("__block").isNotNull() & _located("__x", "__y"))
               .select(F.col("__block").alias("block"), F.col("__x").alias("x"), F.col("__y").alias("y")).distinct())
-    found = skew_join(stable(_descend(places, nodes)), leaves, ["block", "node"])
+    found = skew_join(stable(_candidates(places, nodes)), leaves, ["block", "node"])
     d = sq_planar_distance(F.col("x"), F.col("y"), F.col("sx"), F.col("sy"))
     best = found.groupBy("block", "x", "y").agg(F.min(F.struct(d.alias("d"), F.col("site"))).alias("__best"))
     best = best.select(F.col("block").alias("__block"), F.col("x").alias("__x"), F.col("y").alias("__y"), "__best")

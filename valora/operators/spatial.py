@@ -7,25 +7,27 @@ Spark 4.1 has no polygon predicates, so both joins use a grid:
   meets only the edges of its own band (equi-join on band), and the
   even-odd rule counts edge crossings of a ray towards +x.  Holes and
   multi-part zones fall out of the parity rule.
-* proximity: points of interest are copied into the 3x3 block of cells
-  around their own cell (cell side >= radius), so every pair closer than
-  the radius meets on one cell key; pairs are then filtered exactly.
+* proximity: points of interest form a tree of cells, small where they are
+  dense; cells wholly within the radius of a point are counted without
+  pairing, only those on its rim are entered.
 
-The zone edges and the points of interest are dimension tables; they are
-broadcast by Spark when it is small and otherwise joined by
-shuffle (AQE splits a hot cell).
+The zone edges are a dimension table, broadcast by Spark when it is small and
+otherwise joined by shuffle (AQE splits a hot band).
 """
 
 from __future__ import annotations
 
 import math
-from itertools import product
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from valora.functions import haversine_m, sq_planar_distance
 from valora.functions.geo import EARTH_RADIUS_M
+from valora.operators.cells import descend, farthest_of_box, nearest_of_box, one_of_box, site_tree
+from valora.operators.ranking import stable
+from valora.operators.skew import skew_join
 
 # Geometry types a zone file may carry and the JSON shape of
 # their coordinates.
@@ -128,9 +130,9 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
 
     ``metric='planar'`` uses squared input units (``radius`` in the same
     units, compared squared); ``'haversine'`` takes lon/lat degrees and a
-    radius in metres, and pairs points by cells of space around the unit
-    sphere, so latitude and the 180th meridian make no difference.  ``block`` adds equality columns (point col, poi col)
-    to the cell key, e.g. a label or department.  ``exclude_same_id`` is the
+    radius in metres, and looks in space around the unit
+    sphere, so latitude and the 180th meridian make no difference.  ``block`` adds equality columns (point col, poi col),
+    e.g. a label or department.  ``exclude_same_id`` is the
     self-join mode (points and POIs are the same rows): a point does not
     count or find itself.
 
@@ -143,7 +145,6 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
     back to the points by location."""
     block = block or []
     bcols = [pc for pc, _ in block]
-    cells = _sphere_cells(radius) if metric == "haversine" else _plane_cells(radius)
     loc = [*bcols, "__qx", "__qy"]
 
     q = pois.select(F.col(poi_id).alias("__pid"), *[F.col(qc).alias(pc) for pc, qc in block],
@@ -155,43 +156,31 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
               .groupBy(*loc).agg(F.min(F.when(F.col("__r") == 1, F.col("__pid"))).alias("__id1"),
                                  F.min(F.when(F.col("__r") == 2, F.col("__pid"))).alias("__id2")))
     qloc = counts.join(first2, loc)
-    # a location meets those in its own and all touching cells
-    sides = cells(F.col("__qx"), F.col("__qy"))
-    steps = F.array(*[F.array(*[F.lit(int(o)) for o in offset]) for offset in product((-1, 0, 1), repeat=len(sides))])
-    qloc = qloc.withColumn("__cell", F.explode(F.transform(steps, lambda o: F.array(
-        *[side + o[i] for i, side in enumerate(sides)]))))
-
     ploc = (points.select(*bcols, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
             .where(F.col("__x").isNotNull() & F.col("__y").isNotNull()).distinct())
-    ploc = ploc.withColumn("__cell", F.array(*cells(F.col("__x"), F.col("__y"))))
-    j = ploc.join(qloc, ["__cell", *bcols])
-    if metric == "haversine":
-        d = haversine_m(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy"))
-        j = j.withColumn("__d", d).where(F.col("__d") <= radius)
-    else:
-        d = sq_planar_distance(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy"))
-        j = j.withColumn("__d", d).where(F.col("__d") <= float(radius) * float(radius))
+    j = _within(ploc, qloc, bcols, radius, metric, 2 if exclude_same_id else 1)
     ploc_key = [*bcols, "__x", "__y"]
     # one aggregation: the count, and the nearest location with its two smallest
     # ids; in self-join mode the point's own row may be the nearest, and the
     # second best is the next id there or the next location, found by the
     # smallest distance beyond it
     first = F.struct(F.col("__d").alias("d"), F.col("__id1").alias("id"))
+    near = F.col("__d").isNotNull()
     if not exclude_same_id:
-        res = j.groupBy(*ploc_key).agg(F.sum("__qn").alias("__n"), F.min(first).alias("__c1"))
+        res = j.groupBy(*ploc_key).agg(F.sum("__qn").alias("__n"), F.min(F.when(near, first)).alias("__c1"))
     else:
         cand = j.select(*ploc_key, F.explode(F.filter(F.array(
             F.struct(F.col("__d").alias("d"), F.col("__id1").alias("id"), F.col("__qn").alias("n")),
             F.struct(F.col("__d").alias("d"), F.col("__id2").alias("id"), F.lit(0).cast("long").alias("n"))),
-            lambda c: c["id"].isNotNull())).alias("__c"))
-        w = Window.partitionBy(*ploc_key).orderBy("__c.d", "__c.id")
+            lambda c: c["id"].isNotNull() | (c["n"] > 0))).alias("__c"))
+        w = Window.partitionBy(*ploc_key).orderBy(F.asc_nulls_last("__c.d"), "__c.id")
         both = F.struct(F.col("__c.d").alias("d"), F.col("__c.id").alias("id"))
         res = (cand.withColumn("__r", F.row_number().over(w)).groupBy(*ploc_key)
-               .agg(F.sum("__c.n").alias("__n"), F.min(F.when(F.col("__r") == 1, both)).alias("__c1"),
-                    F.min(F.when(F.col("__r") == 2, both)).alias("__c2")))
+               .agg(F.sum("__c.n").alias("__n"),
+                    *[F.min(F.when((F.col("__r") == k) & F.col("__c.d").isNotNull(), both)).alias(f"__c{k}") for k in (1, 2)]))
 
     pts = points.withColumn("__x", F.col(x).cast("double")).withColumn("__y", F.col(y).cast("double"))
-    out = pts.join(res, ploc_key, "left")
+    out = skew_join(pts, res, ploc_key, "left")
     if exclude_same_id:
         own = F.col(point_id[0])
         best = F.when(F.col("__c1.id") == own, F.col("__c2")).otherwise(F.col("__c1"))
@@ -205,16 +194,70 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
     return out.drop("__x", "__y", "__n", "__c1", "__c2")
 
 
-def _plane_cells(radius: float):
-    return lambda x, y: [F.floor(c / float(radius)).cast("long") for c in (x, y)]
-
-
-def _sphere_cells(radius_m: float):
-    """Cells of three-dimensional space around the unit sphere, their side the
-    chord of ``radius_m`` (a trifle longer, for rounding)."""
-    side = 2 * math.sin(min(radius_m / (2 * EARTH_RADIUS_M), math.pi / 2)) * (1 + 1e-9) + 1e-12
-
-    def cells(lon: Column, lat: Column) -> list[Column]:
-        a, b = F.radians(lon), F.radians(lat)
-        return [F.floor(c / side).cast("long") for c in (F.cos(b) * F.cos(a), F.cos(b) * F.sin(a), F.sin(b))]
-    return cells
+#: Relative width of the rim in which a box counts neither as inside nor as outside.
+RIM = 1e-9
+
+
+def _axes(metric: str, lon: Column, lat: Column) -> list[Column]:
+    """Coordinates in which nearness is straight: the plane's, or those of space around
+    the unit sphere, so that neither a pole nor the 180th meridian makes a difference."""
+    if metric != "haversine":
+        return [lon, lat]
+    a, b = F.radians(lon), F.radians(lat)
+    return [F.cos(b) * F.cos(a), F.cos(b) * F.sin(a), F.sin(b)]
+
+
+def _within(places: DataFrame, sites: DataFrame, block: list[str], radius: float, metric: str, wanted: int) -> DataFrame:
+    """Rows of ``places`` with sites within ``radius``: each that can be among the ``wanted`` nearest
+    with its distance ``__d``, and rows without a distance for what is counted in whole cells (``__qn``).
+
+    Cells wholly inside the radius are counted without looking at their sites, and
+    entered only as long as they can hold one of the nearest; cells outside are dropped; those on
+    the rim are entered."""
+    n = 3 if metric == "haversine" else 2
+    straight = 2 * math.sin(min(radius / (2 * EARTH_RADIUS_M), math.pi / 2)) if metric == "haversine" else float(radius)
+    reach = straight * straight
+    slack = RIM * reach + (4e-15 * straight if metric == "haversine" else 0.0)
+    at, axes = [f"__a{i}" for i in range(n)], [f"__s{i}" for i in range(n)]
+    key = F.struct(*[F.col(c) for c in block]) if block else F.lit(0)
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in block], F.lit(True))
+    sites = sites.where(present).withColumns({"block": key, **dict(zip(axes, _axes(metric, F.col("__qx"), F.col("__qy"))))})
+    places = places.where(present).withColumns({"block": key, **dict(zip(at, _axes(metric, F.col("__x"), F.col("__y"))))})
+    nodes, leaves = site_tree(sites.drop(*block), axes, F.col("__qn"))
+
+    one = one_of_box(at, axes)
+    far = farthest_of_box(at)
+    computed = {"lower": nearest_of_box(at), "far": far, "held": F.col("kid_held"),
+                "uppers": F.array(one, F.when(F.col("kid_held") > 1, far).otherwise(F.lit(float("inf"))))}
+    same = ["block", "__x", "__y"]
+    uppers = F.sort_array(F.flatten(F.collect_list("uppers").over(Window.partitionBy(*same))))
+    known = F.coalesce(F.try_element_at(uppers, F.lit(wanted)), F.lit(float("inf")))
+
+    def decide(now: DataFrame) -> DataFrame:
+        now = now.withColumn("known", known)
+        inside = F.col("counted") | (F.col("far") <= reach - slack)
+        near = F.col("lower") <= F.col("known") + slack
+        on_rim = ~inside & (F.col("lower") <= reach + slack)
+        whole = F.struct(F.lit(True).alias("done"), F.lit(True).alias("counted"), F.col("held").alias("held"))
+        go_on = F.struct(F.lit(False).alias("done"), inside.alias("counted"), F.col("held").alias("held"))
+        return (now.withColumn("next", F.explode(F.array_compact(F.array(
+            F.when(F.col("done") | (inside & ~F.col("counted")), whole), F.when(~F.col("done") & ((inside & near) | on_rim), go_on)))))
+            .select(*same, *at, "node", F.when(F.col("next.done"), True).otherwise(F.col("leaf")).alias("leaf"), "next.held", "lower", "far",
+                    F.when(F.col("next.done"), F.array().cast("array<double>")).otherwise(F.col("uppers")).alias("uppers"),
+                    "next.done", "next.counted"))
+
+    start = {"held": F.lit(0).cast("long"), "lower": F.lit(0.0), "far": F.lit(float("inf")),
+             "uppers": F.array().cast("array<double>"), "done": F.lit(False), "counted": F.lit(False)}
+    reached = stable(descend(places.select(*same, *at), nodes, ["__x", "__y"], at, start, computed, decide)
+                     .select(*same, "node", "held", "done", "counted"))
+    whole = reached.where("done").groupBy(*same).agg(F.sum("held").alias("__qn")).withColumn("counted", F.lit(False))
+    measured = skew_join(reached.where("NOT done").select(*same, "node", "counted"), leaves, ["block", "node"])
+    found = (measured.select(*same, "counted", "__qn", "__id1", "__id2", "__qx", "__qy")
+             .unionByName(whole, allowMissingColumns=True))
+    if metric == "haversine":
+        d, most = haversine_m(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy")), float(radius)
+    else:
+        d, most = sq_planar_distance(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy")), reach
+    return (found.withColumn("__d", d).where(F.col("__d").isNull() | (F.col("__d") <= most))
+            .withColumn("__qn", F.when(F.col("counted"), F.lit(0)).otherwise(F.col("__qn")))
+            .select(*[F.col("block")[c].alias(c) for c in block], "__x", "__y", "__qn", "__id1", "__id2", "__d"))
