@@ -9,30 +9,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from valora.operators.dedup import latest_per_key
-from valora.operators.joins import spread_join
 from valora.operators.ranking import (
-    _null_safe_join, exact_quantiles, percent_rank, quantiles_from_ranks, rank_table,
+    exact_quantiles, percent_rank, quantiles_from_ranks, rank_table,
 )
 from valora.operators.sizing import attach_one_row
+from valora.operators.skew import skew_join
 
 
 def latest_audit_join(sales: DataFrame, audits: DataFrame, sale_keys: list[Column],
-                      audit_keys: list[str], audit_order: list, audit_cols: list[str],
-                      hot: tuple | None = None) -> DataFrame:
+                      audit_keys: list[str], audit_order: list, audit_cols: list[str]) -> DataFrame:
     """Each sale with the latest audit of its address (left join; sales
     without an audit keep NULLs)  (D3).  Audits are reduced to one row per
     key first so the join cannot multiply sales.  Sales with a NULL key, or with
-    the fill key ``hot``, are spread (see ``spread_join``)."""
+    one that very many share, are spread (see ``skew_join``)."""
     names = [f"__ak{i}" for i in range(len(audit_keys))]
     latest = latest_per_key(audits, audit_keys, audit_order).select(
         *[F.col(k).alias(n) for k, n in zip(audit_keys, names)], *audit_cols)
     left = sales.select("*", *[k.alias(n) for k, n in zip(sale_keys, names)])
-    return spread_join(left, latest, names, "left", hot).drop(*names)
+    return skew_join(left, latest, names, "left").drop(*names)
 
 
 def geocode_fill(sales: DataFrame, reference: DataFrame, sale_keys: list[Column], ref_keys: list[Column],
-                 targets: dict[str, str], ref_order: list, source_alias: str = "coord_source",
-                 hot: tuple | None = None) -> DataFrame:
+                 targets: dict[str, str], ref_order: list, source_alias: str = "coord_source") -> DataFrame:
     """Fill missing sale values (coordinates) from a reference table joined on
     a normalised key, only where the sale lacks them  (D4).
 
@@ -41,15 +39,15 @@ def geocode_fill(sales: DataFrame, reference: DataFrame, sale_keys: list[Column]
     join.  The targets are one point: a sale that lacks any of them takes all of
     them from a reference row that has all, and otherwise stays as it is.
     ``source_alias`` says where each row's values came from: 'own', 'reference'
-    or NULL (still incomplete).  Sales with a NULL key, or with the fill key
-    ``hot``, are spread (see ``spread_join``)."""
+    or NULL (still incomplete).  Sales with a NULL key, or with one that very many
+    share, are spread (see ``skew_join``)."""
     names = [f"__rk{i}" for i in range(len(ref_keys))]
     ref = reference.select(*[k.alias(n) for k, n in zip(ref_keys, names)],
                            *[F.col(v).alias(f"__ref_{s}") for s, v in targets.items()],
                            *[c for c in reference.columns if c not in targets.values()])
     one = latest_per_key(ref, names, ref_order).select(*names, *[f"__ref_{s}" for s in targets])
     left = sales.select("*", *[k.alias(n) for k, n in zip(sale_keys, names)])
-    j = spread_join(left, one, names, "left", hot)
+    j = skew_join(left, one, names, "left")
     own, got = F.lit(True), F.lit(True)
     for s in targets:
         own, got = own & F.col(s).isNotNull(), got & F.col(f"__ref_{s}").isNotNull()
@@ -73,15 +71,15 @@ def outlier_filter(df: DataFrame, group_cols: list[str], value_col: str, k: floa
                    lower: float | None = None, upper: float | None = None) -> DataFrame:
     """Keep rows inside their group's fences, and inside optional fixed bounds
     (e.g. surface in (0, 2000])  (D6).  Rows with a NULL value are dropped.
-    The fence table has one row per group; Spark broadcasts it when it is small
-    and splits a skewed shuffle join when it is not."""
+    The fence table has one row per group; rows of a group that holds very many
+    are spread (see ``skew_join``)."""
     out = df.where(F.col(value_col).isNotNull())
     if lower is not None:
         out = out.where(F.col(value_col) > lower)
     if upper is not None:
         out = out.where(F.col(value_col) <= upper)
     fences = outlier_fences(out, group_cols, value_col, k).select(*group_cols, "lower_fence", "upper_fence")
-    j = _null_safe_join(out, fences, group_cols) if group_cols else attach_one_row(out, fences)
+    j = skew_join(out, fences, group_cols, null_safe=True) if group_cols else attach_one_row(out, fences)
     return (j.where(F.col(value_col).between(F.col("lower_fence"), F.col("upper_fence")))
             .drop("lower_fence", "upper_fence"))
 
@@ -124,7 +122,7 @@ def deal_verdict(df: DataFrame, group_cols: list[str], value_col: str, low: floa
     rt = rank_table(df.select(*g, F.col(value_col).cast("double").alias(value_col)), g, value_col)
     med = quantiles_from_ranks(rt, g, value_col, {"median": 0.5}, name_fmt=median_alias)
     ranked = percent_rank(df, g, value_col, rank_alias, ranks=rt)
-    j = _null_safe_join(ranked, med, g) if g else attach_one_row(ranked, med)
+    j = skew_join(ranked, med, g, null_safe=True) if g else attach_one_row(ranked, med)
     ratio = F.when(F.col(median_alias) != 0, F.col(value_col) / F.col(median_alias))
     return (j.withColumn(ratio_alias, ratio)
             .withColumn(label_alias, F.when(F.col(ratio_alias) < low, F.lit("below"))

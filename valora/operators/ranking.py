@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from valora.functions.numeric import fused_multiply_add
 from valora.operators.sizing import attach_one_row, default_parallelism
+from valora.operators.skew import skew_join
 from valora.session import checkpoint_dir
 
 
@@ -247,7 +248,7 @@ def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: st
     before = F.when(F.col(value_col).isNull(), F.lit(0)).otherwise(F.col("_before") + nn)
     rt = rt.select(*g, value_col,
                    F.when(total <= 1, F.lit(0.0)).otherwise(before / (total - 1)).alias(alias))
-    return _null_safe_join(df, rt, g + [value_col])
+    return skew_join(df, rt, g + [value_col], null_safe=True)
 
 
 def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int | None = None) -> DataFrame:

@@ -44,7 +44,10 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in left.columns])
     lk = left.withColumn("__hash", key).join(hot, "__hash", "left").withColumn("__part", F.pmod(
         spread, F.when(absent, F.lit(n)).otherwise(F.coalesce("__parts", F.lit(1)))).cast("int")).drop("__hash", "__parts")
-    rk = (right.withColumn("__hash", key).join(hot, "__hash", "left")
+    # the right keys as the left side's types, so that equal keys have equal hashes
+    kinds = {f.name: f.dataType for f in left.schema.fields}
+    rkey = F.xxhash64(*[F.col(f"`{k}`").try_cast(kinds[k]) for k in keys])
+    rk = (right.withColumn("__hash", rkey).join(hot, "__hash", "left")
           .withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__hash", "__parts"))
     if not null_safe:
         return lk.join(rk, [*keys, "__part"], how).drop("__part")

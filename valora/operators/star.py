@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valora.functions import NOT_PROVIDED, first_word_key, haversine_m, lower_key
-from valora.operators.joins import normalised_key_join, prefix_columns, spread_join
+from valora.operators.joins import normalised_key_join, prefix_columns
 from valora.operators.nearest import nearest_site
 from valora.operators.ranking import dense_id, hash_id
+from valora.operators.skew import skew_join
 
 ADDRESS_KEY = ["numero", "nom_voie", "code_postal"]
 SALE_KEY = ["adresse_numero", "adresse_nom_voie", "code_postal"]
@@ -70,11 +71,12 @@ def sale_facts(sales: DataFrame, dim: DataFrame, how: str = "inner",
     the dimension id, then a surrogate ``id_mutation``  (C12 = J1 + J5 + W3).
     ``how='inner'`` drops sales whose address has no dimension row, as the
     reference does; ``'left'`` keeps them with a NULL id.  Sales without an
-    address share the fill key; they and NULL keys are spread."""
+    address share the fill key; they, those of any other key that very many
+    share, and NULL keys are spread."""
     names = [f"__d_{k}" for k in ADDRESS_KEY]
     d = dim.select("id_adresse", *[F.col(k).alias(n) for k, n in zip(ADDRESS_KEY, names)])
     keyed = sales.withColumns(dict(zip(names, (F.col(c) for c in SALE_KEY))))
-    j = spread_join(keyed, d, names, how, FILL_KEY).drop(*names)
+    j = skew_join(keyed, d, names, how).drop(*names)
     fact_cols = ["id_adresse", "date_mutation", "valeur_fonciere", "surface_reelle_bati",
                  "nombre_pieces_principales", "type_local", "nature_mutation", "code_departement"]
     order = order_cols or ["date_mutation", "adresse_numero", "adresse_nom_voie", "code_postal",

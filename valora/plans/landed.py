@@ -18,6 +18,7 @@ from valora.functions import expired, point, try_double
 from valora.operators.joins import spread_join
 from valora.operators.ranking import wide_hash_id
 from valora.operators.sizing import attach_one_row
+from valora.operators.skew import skew_join
 from valora.operators.star import sales_address_view
 from valora.plans.build import load_sales
 from valora.plans.catalog import QUERIES, _landing, query, table
@@ -112,9 +113,14 @@ def q_stringify_rows(spark, d):
 # ----------------------------------------------------------------- JSON pages
 
 def _pages(records, key: str, record, size: int = 100, *slices):
-    """Records as pages of ``size`` keys: one row a page."""
-    return (records.groupBy(*slices, F.floor(F.col(key) / size).alias("__page"))
-            .agg(F.collect_list(record).alias("results")).drop("__page"))
+    """Records as pages, one row a page: of ``size`` consecutive keys, or, with
+    slices, as many pages as a slice of its number of rows needs."""
+    page = F.floor(F.col(key) / size)
+    if slices:
+        pages = records.groupBy(*slices).agg(F.ceil(F.count(F.lit(1)) / size).alias("__pages"))
+        records = records.join(pages, list(slices))
+        page = F.pmod(F.xxhash64(key), F.col("__pages"))
+    return records.groupBy(*slices, page.alias("__page")).agg(F.collect_list(record).alias("results")).drop("__page")
 
 
 @query("station_pages", """
@@ -334,6 +340,23 @@ def q_fill_key_join(spark, d):
         "l_orderkey", "l_linenumber", "numero", "voie", "id_adresse")
 
 
+@query("frequent_key_join", """
+WITH s AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN (SELECT MAX(l_partkey) FROM lineitem)
+                  WHEN l_orderkey % 7 = 1 THEN NULL ELSE l_partkey END AS place FROM lineitem),
+a AS (SELECT place, COUNT(*) AS n_sales, MIN(l_orderkey) AS first_sale FROM s GROUP BY place)
+SELECT l_orderkey, l_linenumber, s.place, n_sales, first_sale FROM s LEFT JOIN a ON s.place = a.place
+""")
+def q_frequent_key_join(spark, d):
+    """A third of all rows has one key, which the join finds out."""
+    li = table(spark, d, "lineitem")
+    top = li.agg(F.max("l_partkey").alias("__top"))
+    s = attach_one_row(li.select("l_orderkey", "l_linenumber", "l_partkey"), top).select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, F.col("__top"))
+        .when(F.col("l_orderkey") % 7 != 1, F.col("l_partkey")).alias("place"))
+    a = s.groupBy("place").agg(F.count(F.lit(1)).alias("n_sales"), F.min("l_orderkey").alias("first_sale"))
+    return skew_join(s, a, ["place"], "left").select("l_orderkey", "l_linenumber", "place", "n_sales", "first_sale")
+
+
 @query("wide_hash_ids", """
 SELECT COUNT(*) AS n_addresses, COUNT(*) AS n_ids
 FROM (SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem)

@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valora.functions import lower_key
-from valora.operators.joins import spread_join
 from valora.operators.market import deal_verdict, geocode_fill, latest_audit_join, outlier_filter, price_statistics
+from valora.operators.skew import skew_join
 from valora.operators.spatial import first_zone, points_in_zones, proximity, zone_edges
-from valora.operators.star import FILL_KEY
 
 # Noise zones from the most to the least exposed.
 ZONE_ORDER = ["A", "B", "C", "D"]
@@ -23,8 +22,6 @@ ZONE_BAND = 0.01
 #: Radius (metres) within which schools are counted.
 SCHOOL_RADIUS_M = 1000.0
 PLACE = ["longitude", "latitude"]
-#: Audit key of a sale without an address: number, street and postcode filled.
-NO_ADDRESS = (f"{FILL_KEY[0]} {FILL_KEY[1]}".lower(), FILL_KEY[2])
 
 
 def with_coordinates(sales: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -33,8 +30,7 @@ def with_coordinates(sales: DataFrame, addresses: DataFrame) -> DataFrame:
     return geocode_fill(
         sales, addresses, [F.col("adresse_numero"), lower_key(F.col("adresse_nom_voie")), F.col("code_postal")],
         [F.col("numero"), lower_key(F.col("nom_voie")), F.col("code_postal")],
-        {"longitude": "lon", "latitude": "lat"}, [F.asc_nulls_last("__ref_longitude"), F.asc_nulls_last("__ref_latitude")],
-        hot=(FILL_KEY[0], FILL_KEY[1].lower(), FILL_KEY[2]))
+        {"longitude": "lon", "latitude": "lat"}, [F.asc_nulls_last("__ref_longitude"), F.asc_nulls_last("__ref_latitude")])
 
 
 def _places(sales: DataFrame) -> DataFrame:
@@ -45,7 +41,7 @@ def with_zone(sales: DataFrame, zones: DataFrame, zone_col: str = "ZONE") -> Dat
     """``zone_bruit``: the most exposed noise zone of the sale's place  (D1)."""
     places = _places(sales)
     inside = points_in_zones(places, zone_edges(zones, zone_col), PLACE, *PLACE, band=ZONE_BAND)
-    return spread_join(sales, first_zone(places, inside, PLACE, ZONE_ORDER, "zone_bruit"), PLACE, "left")
+    return skew_join(sales, first_zone(places, inside, PLACE, ZONE_ORDER, "zone_bruit"), PLACE, "left")
 
 
 def with_schools(sales: DataFrame, schools: DataFrame, school_id: str) -> DataFrame:
@@ -53,7 +49,7 @@ def with_schools(sales: DataFrame, schools: DataFrame, school_id: str) -> DataFr
     near = proximity(_places(sales), schools, PLACE, school_id, *PLACE, "longitude", "latitude", SCHOOL_RADIUS_M,
                      "haversine", count_alias="n_ecoles", nearest_alias="ecole_proche",
                      distance_alias="distance_ecole_m")
-    return spread_join(sales, near, PLACE, "left")
+    return skew_join(sales, near, PLACE, "left")
 
 
 def with_audit(sales: DataFrame, audits: DataFrame) -> DataFrame:
@@ -67,7 +63,7 @@ def with_audit(sales: DataFrame, audits: DataFrame) -> DataFrame:
         [lower_key(F.concat_ws(" ", F.col("adresse_numero").cast("string"), F.col("adresse_nom_voie"))),
          F.col("code_postal")], ["__street", "__post"],
         [F.desc_nulls_last("date_derniere_modification_dpe"), F.desc("numero_dpe")],
-        ["numero_dpe", "etiquette_dpe", "etiquette_ges"], hot=NO_ADDRESS)
+        ["numero_dpe", "etiquette_dpe", "etiquette_ges"])
 
 
 def unit_prices(sales: DataFrame) -> DataFrame:
