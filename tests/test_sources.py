@@ -120,7 +120,7 @@ def test_geojson_zones_validity(spark, tmp):
     from valora.operators.spatial import points_in_zones, zone_edges
     pts = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 1.5), (3, 5.6, 5.2), (4, 3.0, 3.5), (5, 9.0, 9.0)],
                                 "id int, x double, y double")
-    inside = points_in_zones(pts, zone_edges(geoms, "NOM"), ["id"], "x", "y", band=0.5)
+    inside = points_in_zones(pts, zone_edges(geoms, "NOM"), ["id"], "x", "y")
     got = sorted((r.id, r.zone) for r in inside.collect())
     assert got == [(1, "hole"), (1, "m"), (1, "p"), (2, "m"), (3, "m"), (4, "hole")]
 

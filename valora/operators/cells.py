@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from valora.operators.ranking import stable
 
 #: Sites of a cell that is not split further; levels of the tree below its root.
-LEAF, DEPTH = 8, 13
+LEAF, DEPTH = 32, 13
 #: Nodes of so many upper levels are met by parts of a block's locations.
 UPPER = 3
 

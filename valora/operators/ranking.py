@@ -24,6 +24,7 @@ All steps are JVM-side DataFrame operators; nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,11 +38,15 @@ from valora.session import checkpoint_dir
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once with a reliable checkpoint so every later
-    consumer sees the same rows and partition ids, and an executor loss does
-    not recompute it differently."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as Parquet in the shared checkpoint folder and read
+    again: every later consumer sees the same rows, an executor loss does not
+    recompute them differently, and the lineage ends.  ``checkpoint()`` would
+    compute ``df`` twice, once to count and once to write.  Folders are named by application, so what
+    one leaves can be removed when it has ended."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

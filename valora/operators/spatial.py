@@ -3,16 +3,16 @@ proximity to stations / schools, G1 geometry validity).
 
 Spark 4.1 has no polygon predicates, so both joins use a grid:
 
-* point-in-polygon: polygon edges are cut into horizontal bands; a point
-  meets only the edges of its own band (equi-join on band), and the
-  even-odd rule counts edge crossings of a ray towards +x.  Holes and
+* point-in-polygon: every zone is covered by square cells of a size that fits
+  it; points meet cells by an equality join, and only in cells with an edge
+  the even-odd rule counts the edges a ray towards +x crosses.  Holes and
   multi-part zones fall out of the parity rule.
 * proximity: points of interest form a tree of cells, small where they are
   dense; cells wholly within the radius of a point are counted without
   pairing, only those on its rim are entered.
 
-The zone edges are a dimension table, broadcast by Spark when it is small and
-otherwise joined by shuffle (AQE splits a hot band).
+Both keep work away from places where very many points lie: there cells are
+inside a zone or a radius as a whole.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from valora.functions import haversine_m, sq_planar_distance
 from valora.functions.geo import EARTH_RADIUS_M
 from valora.operators.cells import descend, farthest_of_box, nearest_of_box, one_of_box, site_tree
 from valora.operators.ranking import stable
+from valora.operators.sizing import attach_one_row
 from valora.operators.skew import skew_join
 
 # Geometry types a zone file may carry and the JSON shape of
@@ -80,33 +81,73 @@ def edges_from_rings(rings: DataFrame, zone_col: str, ring_col: str) -> DataFram
                     F.col("e.b")[0].alias("x2"), F.col("e.b")[1].alias("y2"))
 
 
-def points_in_zones(points: DataFrame, edges: DataFrame, id_cols: list[str], x: str, y: str,
-                    band: float) -> DataFrame:
+#: A zone's box is about so many cells wide or high, whichever is longer.
+ACROSS = 16
+
+
+def zone_cover(edges: DataFrame, zone_col: str = "zone") -> tuple[DataFrame, DataFrame]:
+    """``(zone, level, cx, cy, inside)``: the cells of each zone that hold a part of it, and
+    its edges by row of cells.  A cell with no edge lies wholly inside or outside, which its
+    centre tells; the outside ones are left out, those with an edge have ``inside`` false.
+
+    Cells are squares of 2**level units, their level by the size of the
+    zone's box: at most ``(ACROSS + 2)**2`` cells a zone, large or small."""
+    e = edges.select(F.col(zone_col).alias("zone"), "x1", "y1", "x2", "y2").where(
+        reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in ("x1", "y1", "x2", "y2")]))
+    ends = lambda f, g, c: g(f(f"{c}1"), f(f"{c}2"))
+    box = e.groupBy("zone").agg(ends(F.min, F.least, "x").alias("bx0"), ends(F.max, F.greatest, "x").alias("bx1"),
+                                ends(F.min, F.least, "y").alias("by0"), ends(F.max, F.greatest, "y").alias("by1"))
+    extent = F.greatest(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0"))
+    box = box.withColumn("level", F.when(extent > 0, F.ceil(F.log2(extent / ACROSS))).otherwise(-40).cast("int"))
+    side = F.pow(F.lit(2.0), F.col("level"))
+    at = lambda c: F.floor(c / side).cast("long")
+    cells = (box.withColumn("cx", F.explode(F.sequence(at(F.col("bx0")), at(F.col("bx1")))))
+             .withColumn("cy", F.explode(F.sequence(at(F.col("by0")), at(F.col("by1"))))).select("zone", "level", "cx", "cy"))
+    rows = e.join(box.select("zone", "level"), "zone").withColumn("cy", F.explode(F.sequence(
+        at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))))
+    rim = (rows.withColumn("cx", F.explode(F.sequence(at(F.least("x1", "x2")), at(F.greatest("x1", "x2")))))
+           .select("zone", "cx", "cy").distinct().withColumn("rim", F.lit(True)))
+    rows = rows.where(F.col("y1") != F.col("y2"))
+    cells = cells.join(rim, ["zone", "cx", "cy"], "left")
+    plain = cells.where(F.col("rim").isNull()).join(rows.drop("level"), ["zone", "cy"])
+    middle = [(F.col(c) + 0.5) * side for c in ("cx", "cy")]
+    inside = (plain.where(_crosses(*middle)).groupBy("zone", "level", "cx", "cy").agg(F.count(F.lit(1)).alias("k"))
+              .where(F.col("k") % 2 == 1).select("zone", "level", "cx", "cy", F.lit(True).alias("inside")))
+    on_rim = cells.where("rim").select("zone", "level", "cx", "cy", F.lit(False).alias("inside"))
+    return inside.unionByName(on_rim), rows
+
+
+def _crosses(px: Column, py: Column) -> Column:
+    """Whether a ray from the point towards +x crosses the edge of the row."""
+    spans = (F.col("y1") > py) != (F.col("y2") > py)
+    return spans & (px < (F.col("x2") - F.col("x1")) * (py - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+
+
+def points_in_zones(points: DataFrame, edges: DataFrame, id_cols: list[str], x: str, y: str) -> DataFrame:
     """(id..., zone) for every point strictly inside a zone  (D1).
 
-    Horizontal edges never cross a horizontal ray and are dropped.  A point
-    on a band boundary belongs to the band ``floor(y / band)``; an edge is
-    listed in every band its y-range touches, so the point finds every edge
-    that could cross its ray."""
-    e = edges.where(F.col("y1") != F.col("y2"))
-    e = e.withColumn("__band", F.explode(F.sequence(
-        F.floor(F.least("y1", "y2") / band).cast("long"),
-        F.floor(F.greatest("y1", "y2") / band).cast("long"))))
-    # crossings are evaluated once per distinct location (rows sharing exact
-    # coordinates are a location data hot spot), then joined back
-    loc = (points.select(F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
-           .where(F.col("__px").isNotNull() & F.col("__py").isNotNull()).distinct()
-           .withColumn("__band", F.floor(F.col("__py") / band).cast("long")))
-    j = loc.join(e, "__band")
-    spans = (F.col("y1") > F.col("__py")) != (F.col("y2") > F.col("__py"))
-    x_cross = (F.col("x2") - F.col("x1")) * (F.col("__py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
-    crosses = spans & (F.col("__px") < x_cross)
-    # pairs of one location are produced in one task (broadcast side), so
-    # the partial aggregate folds them before the shuffle
-    inside = (j.where(crosses).groupBy("__px", "__py", "zone").agg(F.count(F.lit(1)).alias("__k"))
-              .where(F.col("__k") % 2 == 1).drop("__k"))
-    p = points.select(*id_cols, F.col(x).cast("double").alias("__px"), F.col(y).cast("double").alias("__py"))
-    return p.join(inside, ["__px", "__py"]).select(*id_cols, "zone")
+    Points meet the cells that cover the zones (``zone_cover``): in a cell that
+    lies wholly inside a zone nothing more is looked at; in one with an edge
+    the point's ray meets the zone's edges of the same row of cells, of which it crosses
+    an odd number if it is inside.  Every distinct location is
+    looked up once; cells and zones where very many locations lie are found by a sketch and spread.
+    Points without coordinates are in no zone."""
+    cover, rows = zone_cover(edges)
+    cover, rows = stable(cover), stable(rows)
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    loc = (points.select(px.alias("__px"), py.alias("__py"))
+           .where(F.col("__px").isNotNull() & F.col("__py").isNotNull() & ~F.isnan("__px") & ~F.isnan("__py")).distinct())
+    levels = cover.agg(F.collect_set("level").alias("__levels"))  # one for each power of two among the zones' sizes
+    side = F.pow(F.lit(2.0), F.col("level"))
+    loc = (attach_one_row(loc, levels).withColumn("level", F.explode("__levels")).drop("__levels")
+           .withColumns({c: F.floor(F.col(p) / side).cast("long") for c, p in (("cx", "__px"), ("cy", "__py"))}))
+    met = stable(skew_join(loc, cover, ["level", "cx", "cy"]).select("__px", "__py", "zone", "cy", "inside"))
+    cast = skew_join(met.where(~F.col("inside")).drop("inside"), rows.select("zone", "cy", "x1", "y1", "x2", "y2"), ["zone", "cy"])
+    odd = (cast.where(_crosses(F.col("__px"), F.col("__py"))).groupBy("__px", "__py", "zone").agg(F.count(F.lit(1)).alias("__k"))
+           .where(F.col("__k") % 2 == 1).drop("__k"))
+    found = met.where("inside").select("__px", "__py", "zone").unionByName(odd)
+    p = points.select(*id_cols, px.alias("__px"), py.alias("__py"))
+    return skew_join(p, found, ["__px", "__py"]).select(*id_cols, "zone")
 
 
 def first_zone(points: DataFrame, inside: DataFrame, id_cols: list[str], zone_order: list[str],
@@ -230,8 +271,12 @@ def _within(places: DataFrame, sites: DataFrame, block: list[str], radius: float
     computed = {"lower": nearest_of_box(at), "far": far, "held": F.col("kid_held"),
                 "uppers": F.array(one, F.when(F.col("kid_held") > 1, far).otherwise(F.lit(float("inf"))))}
     same = ["block", "__x", "__y"]
-    uppers = F.sort_array(F.flatten(F.collect_list("uppers").over(Window.partitionBy(*same))))
-    known = F.coalesce(F.try_element_at(uppers, F.lit(wanted)), F.lit(float("inf")))
+    of = Window.partitionBy(*same)
+    if wanted == 1:
+        known = F.min(F.try_element_at("uppers", F.lit(1))).over(of)
+    else:
+        known = F.try_element_at(F.sort_array(F.flatten(F.collect_list("uppers").over(of))), F.lit(wanted))
+    known = F.coalesce(known, F.lit(float("inf")))
 
     def decide(now: DataFrame) -> DataFrame:
         now = now.withColumn("known", known)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from valora.functions import NOT_PROVIDED, first_word_key, haversine_m, lower_key
 from valora.operators.joins import normalised_key_join, prefix_columns
 from valora.operators.nearest import nearest_site
-from valora.operators.ranking import dense_id, hash_id
+from valora.operators.ranking import dense_id, hash_id, stable
 from valora.operators.skew import skew_join
 
 ADDRESS_KEY = ["numero", "nom_voie", "code_postal"]
@@ -48,7 +48,7 @@ def address_dimension(addresses: DataFrame, stations: DataFrame, how: str = "inn
     st = stations.select(F.col("libelle").alias("nom_gare_proche"), F.col("commune").alias("__s_commune"),
                          F.col("longitude").alias("__s_lon"), F.col("latitude").alias("__s_lat"))
     best = nearest_site(
-        addresses, st, ADDRESS_KEY,
+        stable(addresses), st, ADDRESS_KEY,
         left_block=first_word_key(F.col("nom_commune")), right_block=first_word_key(F.col("__s_commune")),
         left_xy=("lon", "lat"), right_xy=("__s_lon", "__s_lat"), distance_alias="distance_gare_degres", tie_break=["nom_gare_proche", "__s_lon", "__s_lat",
                                                           "lon", "lat", "nom_commune", "code_insee"],

@@ -820,7 +820,49 @@ def q_point_in_zone(spark, d):
     emb = table(spark, d, "embeddings").select(
         "vec_id", F.col("embedding")[0].cast("double").alias("px"), F.col("embedding")[1].cast("double").alias("py"))
     edges = zone_edges(_zones_frame(spark), "zone")
-    return points_in_zones(emb, edges, ["vec_id"], "px", "py", band=0.05)
+    return points_in_zones(emb, edges, ["vec_id"], "px", "py")
+
+
+# Zones of all sizes from supplier: diamonds, and squares with a square hole.
+# A third of the customers live in one town on the rim of several zones.
+_ZONE_SQL = """
+WITH p AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 5 + (c_custkey % 1000) * 0.00001::DOUBLE
+                                  ELSE (c_custkey * 0.7531::DOUBLE) % 10 END AS px,
+                  CASE WHEN c_custkey % 3 = 0 THEN 5 + (c_custkey % 777) * 0.00001::DOUBLE
+                       ELSE (c_custkey * 0.377::DOUBLE) % 10 END AS py FROM customer),
+z AS (SELECT s_suppkey AS zone, s_suppkey % 2 = 0 AS diamond, (s_suppkey * 0.613::DOUBLE) % 10 AS x,
+             (s_suppkey * 0.291::DOUBLE) % 10 AS y, 0.01::DOUBLE * (1 + s_suppkey % 9 * (s_suppkey % 50)) AS r FROM supplier),
+corners AS (
+  SELECT zone, CASE WHEN diamond THEN [[[x - r, y], [x, y - r], [x + r, y], [x, y + r], [x - r, y]]]
+    ELSE [[[x - r, y - r], [x + r, y - r], [x + r, y + r], [x - r, y + r], [x - r, y - r]],
+          [[x - r / 2, y - r / 2], [x + r / 2, y - r / 2], [x + r / 2, y + r / 2], [x - r / 2, y + r / 2], [x - r / 2, y - r / 2]]]
+    END AS rings FROM z),
+ring AS (SELECT zone, unnest(rings) AS c FROM corners),
+e AS (SELECT zone, c[i][1] AS x1, c[i][2] AS y1, c[i + 1][1] AS x2, c[i + 1][2] AS y2
+      FROM (SELECT zone, c, unnest(range(1, len(c))) AS i FROM ring))
+SELECT c_custkey, zone FROM p JOIN e ON (e.y1 > p.py) != (e.y2 > p.py)
+  AND p.px < (e.x2 - e.x1) * (p.py - e.y1) / (e.y2 - e.y1) + e.x1
+GROUP BY c_custkey, zone HAVING COUNT(*) % 2 = 1
+"""
+
+
+@query("points_in_many_zones", _ZONE_SQL)
+def q_points_in_many_zones(spark, d):
+    k = F.col("c_custkey")
+    town = lambda n: 5 + (k % n) * F.lit(0.00001)
+    p = table(spark, d, "customer").select(
+        "c_custkey", F.when(k % 3 == 0, town(1000)).otherwise(k * F.lit(0.7531) % 10).alias("px"),
+        F.when(k % 3 == 0, town(777)).otherwise(k * F.lit(0.377) % 10).alias("py"))
+    n = F.col("zone")
+    z = table(spark, d, "supplier").select(F.col("s_suppkey").alias("zone")).select(
+        "zone", (n * F.lit(0.613) % 10).alias("x"), (n * F.lit(0.291) % 10).alias("y"),
+        (F.lit(0.01) * (1 + n % 9 * (n % 50))).alias("r"))
+    ring = lambda r, corners: F.array(*[F.array(F.col("x") + a * r, F.col("y") + b * r) for a, b in corners])
+    square = [(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)]
+    shape = F.when(n % 2 == 0, F.array(ring(F.col("r"), [(-1, 0), (0, -1), (1, 0), (0, 1), (-1, 0)]))).otherwise(
+        F.array(ring(F.col("r"), square), ring(F.col("r") / 2, square)))
+    zones = z.select("zone", F.struct(F.lit("Polygon").alias("type"), F.to_json(shape).alias("coordinates")).alias("geometry"))
+    return points_in_zones(p, zone_edges(zones, "zone"), ["c_custkey"], "px", "py")
 
 
 @query("proximity_join", """

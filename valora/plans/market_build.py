@@ -17,8 +17,6 @@ from valora.operators.spatial import first_zone, points_in_zones, proximity, zon
 
 # Noise zones from the most to the least exposed.
 ZONE_ORDER = ["A", "B", "C", "D"]
-#: Height of the bands (degrees) by which places meet zone edges.
-ZONE_BAND = 0.01
 #: Radius (metres) within which schools are counted.
 SCHOOL_RADIUS_M = 1000.0
 PLACE = ["longitude", "latitude"]
@@ -40,7 +38,7 @@ def _places(sales: DataFrame) -> DataFrame:
 def with_zone(sales: DataFrame, zones: DataFrame, zone_col: str = "ZONE") -> DataFrame:
     """``zone_bruit``: the most exposed noise zone of the sale's place  (D1)."""
     places = _places(sales)
-    inside = points_in_zones(places, zone_edges(zones, zone_col), PLACE, *PLACE, band=ZONE_BAND)
+    inside = points_in_zones(places, zone_edges(zones, zone_col), PLACE, *PLACE)
     return skew_join(sales, first_zone(places, inside, PLACE, ZONE_ORDER, "zone_bruit"), PLACE, "left")
 
 
