@@ -88,3 +88,24 @@ def test_value_bucket_is_order_preserving(spark):
     bs = [r.b for r in rows]
     assert all(a <= b for a, b in zip(bs, bs[1:]))
     assert len(set(bs)) > 1000
+
+
+def test_values_that_lie_close_together_are_no_single_task(spark):
+    """All values in one value bucket, a third of them equal: exact medians, and
+    the ranking of distinct values spread over tasks."""
+    from valora.operators import ranking
+
+    rnd = random.Random(12)
+    values = [1000.0 if k % 3 == 0 else 1000 + rnd.random() * 0.01 for k in range(6000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.select(ranking.value_bucket(F.col("v")).alias("b")).distinct().count() == 1
+    got = ranking.exact_quantiles(df, [], ["v"], {"q1": 0.25, "median": 0.5, "top": 1.0}, "{q}").collect()[0]
+    s = sorted(values)
+    pos = 0.25 * (len(s) - 1)
+    assert got.median == (s[2999] + s[3000]) / 2 and got.top == s[-1]
+    assert abs(got.q1 - (s[int(pos)] + (pos - int(pos)) * (s[int(pos) + 1] - s[int(pos)]))) < 1e-9
+    agg = df.groupBy("v").agg(F.count(F.lit(1)).alias("_cnt"), F.count(F.lit(1)).alias("_rows"))
+    tagged = agg.repartitionByRange(8, "v").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tagged) == 8 and max(r["count"] for r in tagged) < 1500
+    ranks = {r.v: r._before for r in ranking.rank_table(df, [], "v").collect()}
+    assert all(ranks[v] == sum(x < v for x in values) for v in rnd.sample(values, 40))

@@ -29,7 +29,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from valora.functions.numeric import fused_multiply_add
 from valora.operators.sizing import attach_one_row, default_parallelism
@@ -69,18 +68,18 @@ def rank_table(df: DataFrame, group_cols: list[str], value_col: str,
     NULL included, so ``sum(_rows)`` per group is COUNT(*)) and ``_nulls``
     (NULL rows of the group).
 
-    Numbers are ranked within order-preserving value buckets, with offsets
-    from the bucket totals; other types use the range-partitioned slices
-    described above.  The plan depends on the type alone, not on a size."""
+    A slice is a range of the distinct (group, value) pairs by sampled
+    splitters, so neither a hot group nor values that lie close together are one task."""
     g = list(group_cols)
     v = value_col
     weight = F.when(F.col(v).isNull(), F.lit(0)).otherwise(F.lit(1))
     agg = df.groupBy(*g, v).agg(F.sum(weight).cast("long").alias("_cnt"),
                                 F.count(F.lit(1)).alias("_rows"))
-    if isinstance(df.schema[v].dataType, T.NumericType):
-        return _bucketed_ranks(agg, g, v)
+    return _range_ranks(agg, g, v, num_partitions or default_parallelism(df))
 
-    parts = num_partitions or default_parallelism(df)
+
+def _range_ranks(agg: DataFrame, g: list[str], v: str, parts: int) -> DataFrame:
+    """``rank_table`` of distinct ``(group..., value)`` with ``_cnt`` and ``_rows``."""
     # The range boundaries come from a sample, and a recomputed sample may
     # differ; the tagged slices are therefore written once (reliable
     # checkpoint in the cluster's checkpoint folder) and both consumers below
@@ -129,31 +128,6 @@ def value_bucket(v: Column, scale: float = 64.0) -> Column:
             .otherwise(-mag - 1)).cast("long")
 
 
-def _bucketed_ranks(agg: DataFrame, g: list[str], v: str) -> DataFrame:
-    """Rank table over value buckets: running counts
-    inside each (group, bucket), plus per-bucket offsets from a small table
-    of bucket totals.  Buckets are a pure function of the value, so both
-    consumers of the pre-aggregated frame agree without materialising it
-    (the identical aggregation exchange is reused by AQE), and the work is
-    spread over buckets rather than one task per group."""
-    gkey = [F.col(c) for c in g] if g else [F.lit(0)]
-    agg = agg.withColumn("_b", value_bucket(F.col(v)))
-    w_loc = (Window.partitionBy(*g, "_b").orderBy(F.col(v).asc_nulls_first())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    local = agg.withColumn("_local", F.coalesce(F.sum("_cnt").over(w_loc), F.lit(0)).cast("long"))
-    btot = agg.groupBy(*g, "_b").agg(F.sum("_cnt").alias("_bt"),
-                                     F.sum(F.col("_rows") - F.col("_cnt")).alias("_bn"))
-    w_all = Window.partitionBy(*gkey)
-    boff = (btot.withColumn("_offset", F.coalesce(F.sum("_bt").over(
-                Window.partitionBy(*gkey).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_n", F.sum("_bt").over(w_all).cast("long"))
-            .withColumn("_nulls", F.sum("_bn").over(w_all).cast("long"))
-            .drop("_bt", "_bn"))
-    out = _null_safe_join(local, boff, [*g, "_b"])
-    return (out.withColumn("_before", (F.col("_offset") + F.col("_local")).cast("long"))
-            .drop("_offset", "_local", "_b"))
-
-
 def _interpolate(lo: Column, hi: Column, frac: Column) -> Column:
     # (1 - f) * lo + f * hi with the multiply-add fused, which is how the
     # reference engine's compiled continuous quantile rounds; results agree
@@ -171,7 +145,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
     Pass 1 counts rows per (group, measure, value bucket), a small table after
     partial aggregation, whose running sums tell the buckets that hold a wanted
     rank.  Pass 2 keeps only the rows in those buckets and ranks their distinct
-    values; nothing else is shuffled.
+    values over range partitions by sampled splitters; nothing else is shuffled.
 
     Returns one row per group with a column ``name_fmt.format(q=name, col=c)``
     per (quantile, value column); a group whose values are all NULL yields
@@ -193,10 +167,12 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_cols: list[str],
         for rank in (F.floor(pos), F.ceil(pos)):
             wanted = wanted | ((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_cnt")))
     held = totals.filter(wanted).select(*key, "_b", "_n", "_start")
-    inner = (_null_safe_join(longf.filter(F.col("_value").isNotNull()), held, [*key, "_b"])
-             .groupBy(*key, "_b", "_n", "_start", "_value").agg(F.count(F.lit(1)).alias("_cnt")))
-    within = (Window.partitionBy(*key, "_b").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1))
-    ranks = inner.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_cnt").over(within), F.lit(0)))
+    inner = (_null_safe_join(longf.filter(F.col("_value").isNotNull()), held.select(*key, "_b"), [*key, "_b"])
+             .groupBy(*key, "_b", "_value").agg(F.count(F.lit(1)).alias("_cnt"), F.count(F.lit(1)).alias("_rows")))
+    # a bucket may hold nearly all rows, where values lie close together: its
+    # distinct values are ranked over range partitions, not in one task
+    within = _range_ranks(inner, [*key, "_b"], "_value", default_parallelism(df)).drop("_n", "_nulls", "_rows")
+    ranks = _null_safe_join(within, held, [*key, "_b"]).withColumn("_before", F.col("_start") + F.col("_before"))
     per = quantiles_from_ranks(ranks, key, "_value", quantiles, name_fmt="__q_{q}")
     # every group and measure, also those without a value
     every = totals.groupBy(*key).agg(F.sum("_rows").alias("__rows"))
