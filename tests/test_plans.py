@@ -48,7 +48,7 @@ def test_full_build(spark, tmp):
     _w(f"{tmp}/in/dpe.csv", _audit_csv(audits))
     out = build.run(spark, build.Landing(sales=f"{tmp}/in/dvf.csv", stations=f"{tmp}/in/gares",
                                          audits=f"{tmp}/in/dpe.csv"), f"{tmp}/out")
-    assert set(out) == {"dvf", "gares", "dpe_final", "dpe_missing_columns", "dim_adresses", "fact_dvf",
+    assert set(out) == {"dvf", "dvf_rejected", "dvf_missing_columns", "gares", "dpe_final", "dpe_missing_columns", "dim_adresses", "fact_dvf",
                         "ventes", "prix", "verdicts"}
     dim = {(r.numero, r.nom_voie): r for r in spark.read.parquet(out["dim_adresses"]).collect()}
     # 'le' blocks both Le Mans and Le Havre stations: nearest wins (Q4)
@@ -74,6 +74,8 @@ def test_market_tables(spark, tmp):
              "2024-04-01,100000,100,14,,,rue Haute,4,Maison,Vente,,,72181,72000,Le Mans,72",
              "2024-05-01,300000,100,,,,,4,Maison,Vente,,,72181,,Le Mans,72",
              "2024-06-01,1,0,9,,,rue Basse,4,Maison,Vente,0.5,48.5,72181,72000,Le Mans,72"]
+    sales += sales[:1] * 2                       # the first sale has three parcels
+    sales += ["2024-06-01,12f,0,9,,,rue Basse,4,Maison,Vente,0.5,48.5,72181,72000,Le Mans,72", "2024-06-01,1"]
     _w(f"{tmp}/m/dvf.csv", hdr + "\n" + "\n".join(sales) + "\n")
     _w(f"{tmp}/m/adr/adresses-72.csv", "numero;nom_voie;code_postal;lon;lat\n14;Rue HAUTE;72000;0.21;48.01\n"
                                        "15;Rue Haute;72000;0.3;12f\n")
@@ -87,16 +89,26 @@ def test_market_tables(spark, tmp):
                                             {"identifiant": "e2", "longitude": 0.2, "latitude": 48.002},
                                             {"identifiant": "e3", "longitude": None, "latitude": 48.0}]))
     audits = [{"numero_dpe": "X1", "date_derniere_modification_dpe": "2024-01-01", "etiquette_dpe": "c",
-               "adresse_brut": "12 Rue Haute", "code_postal_brut": "72000"},
+               "adresse_brut": "12 Rue Haute", "code_insee_ban": "72181"},
               {"numero_dpe": "X2", "date_derniere_modification_dpe": "2024-06-01", "etiquette_dpe": "b",
-               "adresse_brut": "12 rue haute", "code_postal_brut": "72000"}]
+               "adresse_brut": "12, r. Hâute 72000 LE MANS", "code_insee_ban": "72181"},
+              {"numero_dpe": "X3", "date_derniere_modification_dpe": "2024-07-01", "etiquette_dpe": "d",
+               "adresse_brut": "12 rue haute", "code_insee_ban": "44184"},
+              {"numero_dpe": "X4", "date_derniere_modification_dpe": "2024-07-01", "etiquette_dpe": "e",
+               "adresse_brut": "14 Rue Hautte", "code_insee_ban": "72181"}]
+    st = [{"code_uic": "g1", "libelle": "Le Mans", "commune": "Ailleurs", "departemen": "72", "c_geo": {"lon": 0.19, "lat": 47.99}}]
+    _w(f"{tmp}/m/gares/p0.json", json.dumps({"results": st}))
     _w(f"{tmp}/m/dpe.csv", _audit_csv(audits))
     out = build.run(spark, build.Landing(sales=f"{tmp}/m/dvf.csv", addresses=f"{tmp}/m/adr", zones=f"{tmp}/m/zones.json",
-                                         schools=f"{tmp}/m/schools.json", audits=f"{tmp}/m/dpe.csv"), f"{tmp}/mout")
+                                         schools=f"{tmp}/m/schools.json", stations=f"{tmp}/m/gares", audits=f"{tmp}/m/dpe.csv"), f"{tmp}/mout")
     read = lambda t: spark.read.parquet(out[t]).collect()
     rows = {r.adresse_numero: r for r in read("ventes")}
     assert len(rows) == 4
     assert (rows[12].zone_bruit, rows[12].n_ecoles, rows[12].ecole_proche, rows[12].numero_dpe) == ("A", 2, "e1", "X2")
+    assert (rows[12].n_parcels, rows[12].dpe_match, rows[14].n_parcels, rows[14].dpe_match, rows[14].numero_dpe) == (
+        3, "exact", 1, "similar", "X4")
+    assert (rows[12].n_gares, rows[12].gare_proche, rows[0].n_gares) == (1, "g1", None) and 1000 < rows[12].distance_gare_m < 2000
+    assert [r.n_rejected for r in read("dvf_rejected")] == [2] and len(read("dvf")) == 6
     assert (rows[14].longitude, rows[14].coord_source, rows[14].zone_bruit, rows[14].n_ecoles) == (0.21, "reference", "C", 0)
     assert (rows[0].longitude, rows[0].zone_bruit, rows[0].numero_dpe, rows[0].n_ecoles) == (None, None, None, None)
     assert {(r.nom_commune, r.type_local, r.grouping_level): r.median_price for r in read("prix")}[("Le Mans", "Maison", 0)] == 2000

@@ -8,11 +8,11 @@ Landed inputs -> cleaned tables written under ``out_dir``:
 * ``zones``: noise-zone attributes; geometries kept for exposure  (C15)
 * ``dpe_final``: audits, keep-list, imputation, latest version  (S4+S5+C6+C7)
 * ``dim_adresses`` / ``fact_dvf``: star schema  (C10-C12)
-* ``ventes``: sales with coordinates filled from addresses, and the noise zone,
-  schools and audit of each, as far as these are landed  (D1-D4)
+* ``ventes``: one row a sale (D5) with coordinates filled from addresses, and the
+  noise zone, stations, schools and audit of each, as far as these are landed  (D1-D4)
 * ``prix`` / ``verdicts``: prices by place and kind, sales against them  (D6-D8)
-* ``adresses_rejected``, ``zones_rejected``, ``dpe_missing_columns``: what was
-  left out
+* ``adresses_rejected``, ``dvf_rejected``, ``zones_rejected``, ``dvf_missing_columns``,
+  ``dpe_missing_columns``: what was left out
 
 Every step is a lazy DataFrame until its table is written; medians come
 from one aggregation joined back by broadcast, nothing is collected.
@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from valora import schemas
-from valora.operators.clean import AuditSpec, clean_audits, clean_sales
-from valora.operators.dedup import latest_per_key
+from valora.functions import year_in
+from valora.operators.clean import AuditSpec, clean_audits, clean_sales, fill_numeric
+from valora.operators.dedup import group_transactions, latest_per_key
+from valora.operators.ranking import stable
 from valora.operators.star import address_dimension, sale_facts, unique_addresses
 from valora.plans import market_build
 from valora.sinks import write_table
@@ -37,6 +39,9 @@ from valora.sources.json_pages import SCHOOL_RECORD, read_points, stations_table
 from valora.sources.reconcile import reconcile
 
 
+COORDINATES = ["longitude", "latitude"]
+
+
 @dataclass
 class Landing:
     addresses: str | None = None      # folder of ';' CSV files (any headers)
@@ -48,19 +53,34 @@ class Landing:
     schools: str | None = None        # JSON list of records with longitude and latitude
 
 
-def load_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: int | None = None,
-               multi_line: bool = False, fill_coordinates: bool = True) -> DataFrame:
+def parse_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: int | None = None,
+                multi_line: bool = False) -> tuple[DataFrame, list[str]]:
     """The wanted columns by name, whatever else the file has and in any order
-    (absent ones as NULL), cast by the declared schema; rows with a field that
-    does not cast are left out, as is a row with too many or too few fields."""
-    raw = read_delimited(spark, path, sep=",", schema=None, all_text=True, partitions=partitions, multi_line=multi_line)
-    kept, _missing = reconcile(raw, schemas.SALES.fieldNames())
+    (absent ones as NULL, and reported), cast by the declared schema, and ``__good``: false for rows
+    with a field that does not cast, or too many or too few fields.  Good rows of other years or
+    without a price are left out here, so what is kept of a national file is small."""
+    raw = read_delimited(spark, path, sep=",", schema=None, all_text=True, partitions=partitions, multi_line=multi_line,
+                         flag="__good")
+    kept, missing = reconcile(raw, [*schemas.SALES.fieldNames(), "__good"])
     typed = {f.name: typed_field(F.col(f.name), f.dataType) for f in schemas.SALES.fields}
-    fine = F.lit(True)
+    fine = F.col("__good")
     for name, value in typed.items():
         fine = fine & (F.col(name).isNull() | value.isNotNull())
-    return clean_sales(kept.where(fine).select(*(c.alias(n) for n, c in typed.items())), years=years,
-                       fill_coordinates=fill_coordinates)
+    rows = kept.select(*(c.alias(n) for n, c in typed.items()), fine.alias("__good"))
+    wanted = year_in(rows, "date_mutation", years) & F.col("valeur_fonciere").isNotNull()
+    return rows.where(~F.col("__good") | wanted), missing
+
+
+def good_sales(parsed: DataFrame, years=(2024, 2025)) -> DataFrame:
+    """The good rows of ``parse_sales``, filled (C1); missing coordinates stay NULL."""
+    return clean_sales(parsed.where("__good").drop("__good"), years=years, fill_coordinates=False)
+
+
+def load_sales(spark: SparkSession, path: str, years=(2024, 2025), partitions: int | None = None,
+               multi_line: bool = False, fill_coordinates: bool = True) -> DataFrame:
+    """Sales from a file, missing coordinates filled with 0 as the reference does."""
+    sales = good_sales(parse_sales(spark, path, years, partitions, multi_line)[0], years)
+    return fill_numeric(sales, COORDINATES, 0) if fill_coordinates else sales
 
 
 def load_audits(spark: SparkSession, path: str, spec: AuditSpec | None = None) -> tuple[DataFrame, list[str]]:
@@ -97,8 +117,13 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         put("adresses_rejected", bad.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rejected")))
     sales = None
     if landing.sales:
-        sales = load_sales(spark, landing.sales, years)
-        put("dvf", sales)
+        # the file is read once; what follows reads the parsed table
+        flagged, missing = parse_sales(spark, landing.sales, years)
+        flagged = stable(flagged)
+        put("dvf_rejected", flagged.agg(F.count_if(~F.col("__good")).alias("n_rejected")))
+        parsed = good_sales(flagged, years)
+        put("dvf_missing_columns", spark.createDataFrame([(c,) for c in missing], "column string"))
+        put("dvf", fill_numeric(parsed, COORDINATES, 0))
         sales = spark.read.parquet(written["dvf"])
     stations = None
     if landing.stations:
@@ -120,15 +145,24 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         put("fact_dvf", sale_facts(sales, dim))
     if landing.sales:
         table = {name: spark.read.parquet(path) for name, path in written.items()}
-        rich = load_sales(spark, landing.sales, years, fill_coordinates=False)
+        # one row a sale: its parcels are rows that agree in every column kept.
+        # Each step reads its sales several times (places, frequent keys), so it starts from a written table
+        steps = [lambda rich: group_transactions(rich, parsed.columns)]
         if "adresses" in table:
-            rich = market_build.with_coordinates(rich, table["adresses"])
+            steps.append(lambda rich: market_build.with_coordinates(rich, table["adresses"]))
         if "zones_geometry" in table:
-            rich = market_build.with_zone(rich, table["zones_geometry"])
+            steps.append(lambda rich: market_build.with_zone(rich, table["zones_geometry"]))
+        if "gares" in table:
+            steps.append(lambda rich: market_build.with_stations(rich, table["gares"]))
         if landing.schools:
-            rich = market_build.with_schools(rich, read_points(spark, landing.schools, SCHOOL_RECORD), "identifiant")
+            schools = read_points(spark, landing.schools, SCHOOL_RECORD)
+            steps.append(lambda rich: market_build.with_schools(rich, schools, "identifiant"))
         if "dpe_final" in table:
-            rich = market_build.with_audit(rich, table["dpe_final"])
+            steps.append(lambda rich: market_build.with_audit(rich, table["dpe_final"]))
+        rich = parsed
+        for step in steps[:-1]:
+            rich = stable(step(rich))
+        rich = steps[-1](rich)
         put("ventes", rich)
         rich = spark.read.parquet(written["ventes"])
         put("prix", market_build.prices(rich))

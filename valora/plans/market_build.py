@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valora.functions import lower_key
-from valora.operators.market import deal_verdict, geocode_fill, latest_audit_join, outlier_filter, price_statistics
+from valora.functions import NOT_PROVIDED, lower_key
+from valora.functions.address import parse_address, street_key, suffix_key
+from valora.operators.address import match_addresses
+from valora.operators.market import deal_verdict, geocode_fill, outlier_filter, price_statistics
 from valora.operators.skew import skew_join
 from valora.operators.spatial import first_zone, points_in_zones, proximity, zone_edges
 
@@ -19,6 +21,8 @@ from valora.operators.spatial import first_zone, points_in_zones, proximity, zon
 ZONE_ORDER = ["A", "B", "C", "D"]
 #: Radius (metres) within which schools are counted.
 SCHOOL_RADIUS_M = 1000.0
+#: Radius (metres) within which stations are counted.
+STATION_RADIUS_M = 10_000.0
 PLACE = ["longitude", "latitude"]
 
 
@@ -50,18 +54,27 @@ def with_schools(sales: DataFrame, schools: DataFrame, school_id: str) -> DataFr
     return skew_join(sales, near, PLACE, "left")
 
 
+def with_stations(sales: DataFrame, stations: DataFrame) -> DataFrame:
+    """Stations within reach, the nearest of them and its distance  (D2), whatever
+    town they are listed under."""
+    near = proximity(_places(sales), stations, PLACE, "code_uic", *PLACE, "longitude", "latitude", STATION_RADIUS_M,
+                     "haversine", count_alias="n_gares", nearest_alias="gare_proche", distance_alias="distance_gare_m")
+    return skew_join(sales, near, PLACE, "left")
+
+
 def with_audit(sales: DataFrame, audits: DataFrame) -> DataFrame:
-    """Latest audit whose raw address is the sale's number and street, in the
-    same postcode  (D3)."""
-    keyed = audits.select(
-        lower_key(F.trim(F.col("adresse_brut"))).alias("__street"), F.col("code_postal_brut").alias("__post"),
-        "numero_dpe", "date_derniere_modification_dpe", "etiquette_dpe", "etiquette_ges")
-    return latest_audit_join(
-        sales, keyed,
-        [lower_key(F.concat_ws(" ", F.col("adresse_numero").cast("string"), F.col("adresse_nom_voie"))),
-         F.col("code_postal")], ["__street", "__post"],
+    """Latest audit at the sale's address in its commune  (D3): by the
+    normalised number, suffix and street, or else the most similar street at that number."""
+    provided = lambda c: F.when(F.col(c) != NOT_PROVIDED, F.col(c))
+    raw = parse_address(F.col("adresse_brut"))
+    return match_addresses(
+        sales, audits.select("*", raw.alias("__raw")),
+        {"commune": F.col("code_commune"), "number": F.col("adresse_numero"), "suffix": suffix_key(provided("adresse_suffixe")),
+         "street": street_key(provided("adresse_nom_voie"))},
+        {"commune": F.nullif(F.col("code_insee_ban"), F.lit(NOT_PROVIDED)), "number": F.col("__raw.number"),
+         "suffix": F.col("__raw.suffix"), "street": F.col("__raw.street")},
         [F.desc_nulls_last("date_derniere_modification_dpe"), F.desc("numero_dpe")],
-        ["numero_dpe", "etiquette_dpe", "etiquette_ges"])
+        ["numero_dpe", "etiquette_dpe", "etiquette_ges"], how_alias="dpe_match")
 
 
 def unit_prices(sales: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
                    schema: T.StructType | None = None, header: bool = True,
                    all_text: bool = False, keep_rejects: bool = False,
                    partitions: int | None = None, encoding: str = "UTF-8",
-                   multi_line: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+                   multi_line: bool = False, flag: str | None = None) -> DataFrame | tuple[DataFrame, DataFrame]:
     """One delimited read with a declared schema  (S2, S3, S4, S6).
 
     ``schema=None`` reads every header column as STRING (the reference's
@@ -69,7 +69,8 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
     (a pruned CSV scan would skip conversion of unread columns).  With
     ``keep_rejects=False`` only the good rows are returned.  ``partitions``
     repartitions after the scan (use it for gzip input, which is one split
-    per file).  A quote inside a quoted field is doubled; ``multi_line`` reads
+    per file).  ``flag`` names a column that says of every row whether it is good, and
+    none is left out: rejects can then be counted on the way.  A quote inside a quoted field is doubled; ``multi_line`` reads
     line breaks inside quotes, but such a file is one task."""
     if isinstance(paths, str):
         paths = [paths]
@@ -98,6 +99,8 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
     # always-true test on the first field keeps one real column in the scan.
     cast_ok.append(F.hash(F.col(f"`{schema.fields[0].name}`")).bitwiseOR(F.lit(1)) != F.lit(0))
     ok = reduce(lambda a, b: a & b, cast_ok) & F.col(CORRUPT).isNull()
+    if flag:
+        return df.select(*typed, ok.alias(flag))
     flagged = df.withColumn("__ok", ok)
     good = flagged.where(F.col("__ok")).select(*typed)
     if not keep_rejects:
