@@ -49,6 +49,15 @@ def test_quality_counts(docs, rows):
     assert got == {i: brute.quality(t) for i, t in rows}
 
 
+def test_quality_verdicts_know_no_size(docs):
+    """A salad of 30 words goes and prose stays, whatever their length."""
+    r = random.Random(4)
+    sizes = [500, 1999, 2000, 2001, 4000, 50_000]
+    salad = [(n, " ".join(f"w{r.randrange(30)}" for _ in range(n))) for n in sizes]
+    prose = [(n + 1, " ".join(f"w{int(30 * r.paretovariate(0.9))}" for _ in range(n))) for n in sizes]
+    assert {x.doc_id for x in keep_quality(docs(salad + prose)).collect()} == {i for i, _ in prose}
+
+
 def test_quality_verdicts(docs):
     r = random.Random(3)
     prose = lambda n: " ".join(f"w{r.randrange(3000)}" for _ in range(n))
@@ -160,3 +169,14 @@ def test_empty_tables(spark, docs):
     assert with_quality(none).count() == 0 and remove_repeats(none).count() == 0
     assert near_classes(none).count() == 0 and with_leaks(none, items).count() == 0
     assert drop_leaks(docs(HARD), items).count() == len(HARD)
+
+
+def test_keep_one_with_clashing_names(spark):
+    """Columns may have the names that ``keep_one`` uses inside."""
+    text = "one two three four five six seven"
+    rows = [(3, text, 7, 1, "k", 2), (2, text, 8, 1, "k", 2), (2, text, 8, 1, "k", 2), (None, text, 9, 1, "k", 2), (5, None, 0, 1, "k", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __n int, __class_id int, __kept_id string, component_id long")
+    kept = keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((x.doc_id or 0, x["__n"]) for x in kept.collect()) == [(0, 9), (2, 8), (5, 0)]
+    assert keep_one(df.limit(0)).collect() == []

@@ -34,13 +34,15 @@ class Rules:
     inside n-grams found twice; the largest share of lines, and of text
     characters, in lines equal to an earlier one; the most symbols a word;
     the largest share of words that repeat the word before them.
-    Short n-grams recur in any long text, so lengths below 5 count only
-    in texts of at most ``short_words`` words."""
+    Short n-grams recur the more often the longer a text is, so for lengths
+    below 5 the limit rises with the number of words, without a step: it
+    leaves ``1 - limit`` of a short text uncovered, and ``1 / sqrt(1 + (n_words /
+    long_words)^2)`` of that in one of ``n_words``."""
     min_words: int = 10
     max_repeat_words: float = 0.20
     coverage: dict[int, float] = field(
         default_factory=lambda: {2: 0.60, 3: 0.60, 4: 0.55, 5: 0.30, 6: 0.28, 8: 0.26, 10: 0.25})
-    short_words: int = 2000
+    long_words: int = 2000
     max_dup_lines: float = 0.45
     max_dup_line_chars: float = 0.30
     max_symbols: float = 0.10
@@ -119,8 +121,8 @@ def _measure(data: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, n
     bad = (n_words < rules.min_words) | (out["n_repeat_words"] > rules.max_repeat_words * n_words + 1e-9)
     out["base_failed"] = bad
     for n, most in rules.coverage.items():
-        over = out[f"rep_chars_{n}"] > most * word_chars
-        bad = bad | (over & (n_words <= rules.short_words) if n < 5 else over)
+        free = (1 - most) / np.sqrt(1 + (n_words / rules.long_words) ** 2) if n < 5 else 1 - most
+        bad = bad | (word_chars - out[f"rep_chars_{n}"] < free * word_chars - 1e-9)
     bad = bad | (dup_lines > rules.max_dup_lines * n_lines) | (dup_chars > rules.max_dup_line_chars * out["n_chars"])
     bad = bad | (out["echo_words"] > rules.max_echo_words * n_words)
     out["kept"] = ~(bad | (out["n_symbols"] > rules.max_symbols * n_words))
