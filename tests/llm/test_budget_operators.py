@@ -172,7 +172,8 @@ def test_best_fit():
 
 
 def test_pack_is_lossless(spark, docs):
-    rows = [(1, None), (2, ""), (3, "a short text"), (4, "long " * 3000), (5, "é漢🙂 <|endoftext|>\n\n"), (6, " "), (7, "x" * 900)]
+    rows = [(1, None), (2, ""), (3, "a short text"), (4, "long " * 3000), (5, "é漢🙂 <|endoftext|>\n\n"), (6, " "), (7, "x" * 900),
+            (8, " " * 2_000_000), (9, "\n\t" * 600_000)]
     packed = pack(docs(rows), row_tokens=128, group_tokens=1000)
     for x in packed.collect():
         assert len(x.ids) == 256 and x.cu_seqlens[0] == 0 and x.cu_seqlens[-1] == x.n_tokens <= 128

@@ -2,10 +2,11 @@
 rendering and back."""
 
 import hashlib
+import random
 
 import pytest
 
-from valora.llm import chat
+from valora.llm import chat, tokens
 from valora.llm.extract import IN, LOOSE, OUT, blocks, main_text
 from valora.llm.session import table
 
@@ -110,3 +111,19 @@ def test_all_pages_of_a_table(spark):
     pages = table(spark, "/root/testdata/sf0.001", "pages")
     out = main_text(pages)
     assert out.count() == pages.count() and out.filter("text = ''").count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 1_500_000, "\t " * 700_000, "é" * 400_000])
+def test_a_long_run_is_read_back(spark, text):
+    df = spark.createDataFrame([(1, 0, "user", "go on"), (1, 1, "assistant", text)],
+                               "conv_id long, turn long, role string, text string")
+    row = chat.digests(chat.format_chats(df)).first()
+    assert row.loss_chars == len(text) and row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_pieces_have_the_ids_of_the_whole():
+    code, r = tokens.encoder(tokens.vocabulary()), random.Random(8)
+    parts = ["word", "é", "12", " ", "  ", "\n", "\r\n", "\t", ", ", "it's", " x", "_", "漢", "🙂"]
+    text = "".join(r.choice(parts) for _ in range(60_000))
+    assert len(text) > 3 * tokens.PIECE_CHARS and tokens.encode(code, text) == code.encode_ordinary(text)
+    assert "".join(tokens.pieces(text)) == text and max(map(len, tokens.pieces(text))) <= tokens.PIECE_CHARS

@@ -53,7 +53,7 @@ def _encoder(data):
     @F.arrow_udf("role array<int>, body array<int>")
     def encode(roles: pa.Array, texts: pa.Array) -> pa.Array:
         code = tokens.encoder(data.value)
-        rows = [{"role": code.encode_ordinary(escape(r or "", True)), "body": code.encode_ordinary(escape(t or ""))}
+        rows = [{"role": tokens.encode(code, escape(r or "", True)), "body": tokens.encode(code, escape(t or ""))}
                 for r, t in zip(roles.to_pylist(), texts.to_pylist(), strict=True)]
         return pa.array(rows, pa.struct([("role", pa.list_(pa.int32())), ("body", pa.list_(pa.int32()))]))
     return encode

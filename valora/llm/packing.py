@@ -118,7 +118,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_toke
         for batch in batches:
             for id_, text in zip(batch.column(0), batch.column(1), strict=True):
                 id_ = id_.as_py()
-                ids = np.array(code.encode_ordinary(text.as_py() or "") + [end], kind)
+                ids = np.array(tokens.encode(code, text.as_py() or "") + [end], kind)
                 for k, at in enumerate(range(0, len(ids), row_tokens)):
                     pieces.append((id_, k, ids[at:at + row_tokens]))
                 held += len(ids)
