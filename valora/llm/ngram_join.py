@@ -252,12 +252,16 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each class the row with the smallest id (of rows that share this id,
-    the one with the smallest hash of all columns); rows with a null id stay."""
-    key = "__class_id"
-    classes = near_classes(df, id_col, text_col).filter(F.col(id_col) == F.col("component_id"))
-    keep = classes.select(F.col(id_col).alias(key)).distinct()
+    the one with the smallest hash of all columns); rows with a null id stay.
+    Columns of ``df`` may have any names."""
+    key, number, kept_id = "__class_id", "__n", "__kept_id"
+    while {key, number, kept_id} & set(df.columns):
+        key, number, kept_id = key + "_", number + "_", kept_id + "_"
+    slim = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    keep = (near_classes(slim).filter(F.col("doc_id") == F.col("component_id"))
+            .select(F.col("doc_id").alias(kept_id)).distinct())
     keyed = df.withColumn(key, F.col(f"`{id_col}`").cast("long"))
     order = Window.partitionBy(key).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)))
-    kept = (keyed.filter(F.col(key).isNotNull()).join(keep, key)
-            .withColumn("__n", F.row_number().over(order)).filter("__n = 1").drop("__n"))
+    kept = (keyed.filter(F.col(key).isNotNull()).join(keep, F.col(key) == F.col(kept_id), "left_semi")
+            .withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).drop(number))
     return kept.unionByName(keyed.filter(F.col(key).isNull())).drop(key)
