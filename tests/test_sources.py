@@ -174,3 +174,64 @@ def test_empty_slice_is_reported(spark, tmp):
         f.write('{"total": 500, "results": []}')
     got = slice_completeness(read_slice_pages(spark, f"{tmp}/api", schemas.AUDIT_API_TEXT)).collect()
     assert [(r.region, r.year, r.n_rows, r.total, r.complete) for r in got] == [("11", "2024", 0, 500, False)]
+
+
+def _random_records(seed, count):
+    import random
+    r = random.Random(seed)
+    cells = ["", "plain", "a,b", 'say ""x""', "two\nlines", "é\n\n,\n漢", "\n", "x" * 300, "12"]
+    return [[str(k), r.choice(cells), r.choice(cells).replace('""', '"')] for k in range(count)]
+
+
+def _quoted_line(row):
+    return ",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\n') else c for c in row)
+
+
+def test_line_breaks_in_quotes_over_many_splits(spark, tmp):
+    """Against the plain parser, with splits far smaller than the records; one
+    file holds most rows."""
+    import csv
+    files = {"a": _random_records(1, 600), "b": _random_records(2, 9), "c": []}
+    for name, rows in files.items():
+        _write(f"{tmp}/q/{name}.csv", "".join(_quoted_line(x) + "\n" for x in [["k", "u", "v"], *rows]))
+    expected = []
+    for name in files:
+        with open(f"{tmp}/q/{name}.csv", newline="") as f:
+            expected += [tuple(x or None for x in row) for row in list(csv.reader(f))[1:]]
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("97", "4000", "100000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            df = read_delimited(spark, f"{tmp}/q", multi_line=True, schema=schemas_text("k", "u", "v"))
+            assert sorted(map(tuple, df.collect()), key=repr) == sorted(expected, key=repr), size
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def schemas_text(*names):
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def test_quote_that_never_closes(spark, tmp):
+    """Lines beyond the bound are records of their own; none is lost."""
+    from valora.sources.quoted import read_records
+    _write(f"{tmp}/o/a.csv", 'k,v\n1,x\n2,"open\n' + "".join(f"{k},y\n" for k in range(3, 40)))
+    got = [r.value for r in read_records(spark, f"{tmp}/o", max_lines=5).collect()]
+    assert sorted(got) == sorted(["k,v", "1,x", '2,"open\n' + "\n".join(f"{k},y" for k in range(3, 8))]
+                                 + [f"{k},y" for k in range(8, 40)])
+
+
+def test_rejects_and_header_of_quoted_files(spark, tmp):
+    import pytest
+    _write(f"{tmp}/r/a.csv", 'k,v\r\n1,"x\r\ny"\r\n\r\n2\r\n3,"a","b\nc"\r\n"4",z\r\n')
+    good, bad = read_delimited(spark, f"{tmp}/r", multi_line=True, schema=schemas_text("k", "v"), keep_rejects=True)
+    assert sorted(map(tuple, good.collect())) == [("1", "x\r\ny"), ("4", "z")] or sorted(
+        map(tuple, good.collect())) == [("1", "x\ny"), ("4", "z")]
+    assert sorted((r.k, r.raw_line) for r in bad.collect()) == [("2", "2"), ("3", '3,"a","b\nc"')]
+    assert all(r.source_file.endswith("a.csv") for r in bad.collect())
+    assert good.count() == 2 and bad.count() == 2
+    with pytest.raises(Exception, match="other names"):
+        read_delimited(spark, f"{tmp}/r", multi_line=True, schema=schemas_text("k", "w")).collect()

@@ -367,3 +367,28 @@ def q_wide_hash_ids(spark, d):
     ids = table(spark, d, "lineitem").select(*key).distinct().withColumn("id", wide_hash_id(*key))
     return ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("n_addresses"), F.count(F.lit(1)).alias("n_ids"))
+
+
+@query("quoted_line_breaks", """
+SELECT o_orderkey, o_custkey,
+       CASE o_orderkey % 3 WHEN 0 THEN o_orderpriority || chr(10) || 'of "' || o_orderstatus || '", again'
+            WHEN 1 THEN chr(10) || chr(10) || o_orderpriority ELSE o_orderpriority END AS note,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'extra field' ELSE 'good' END AS row_kind
+FROM orders
+""")
+def q_quoted_line_breaks(spark, d):
+    """Whole orders as delimited records whose notes hold line breaks, quotes
+    and separators, some with a field too many, read in splits."""
+    root = _landing(spark, "quoted-lines")
+    k = F.col("o_orderkey") % 3
+    note = (F.when(k == 0, F.concat("o_orderpriority", F.lit('\nof ""'), "o_orderstatus", F.lit('"", again')))
+            .when(k == 1, F.concat(F.lit("\n\n"), "o_orderpriority")).otherwise(F.col("o_orderpriority")))
+    record = F.concat_ws(",", _text("o_orderkey"), _text("o_custkey"), F.concat(F.lit('"'), note, F.lit('"')),
+                         F.when(F.col("o_orderkey") % 11 == 0, "extra"))
+    table(spark, d, "orders").select(record.alias("value")).write.text(root)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                           T.StructField("note", T.StringType())])
+    good, bad = read_delimited(spark, root, schema=schema, header=False, keep_rejects=True, multi_line=True)
+    return good.withColumn("row_kind", F.lit("good")).unionByName(bad.select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), "note",
+        F.lit("extra field").alias("row_kind")))

@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 
 from valora.functions import try_double
 from valora.schemas import data_type
+from valora.sources.quoted import read_records
 
 CORRUPT = "_corrupt_record"
+SOURCE = "_source_file"
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> list[str]:
@@ -53,6 +55,24 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
+def _parsed_records(records: DataFrame, text: T.StructType, sep: str, header: bool) -> DataFrame:
+    """Whole records as text columns, with the record itself where it does not
+    parse, and its file.  A header that has other names is an error, as it is
+    to Spark's reader."""
+    schema = ", ".join(f"`{f.name}` string" for f in _with_corrupt(text))
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+               "columnPruning": "false", "maxCharsPerColumn": "-1"}
+    rows = records.select("first", F.col("file").alias(SOURCE), F.from_csv(
+        F.regexp_replace("value", "^\ufeff", "") if header else F.col("value"), schema, options).alias("row"))
+    if header:
+        names = F.lower(F.concat_ws(sep, *(F.col("row").getField(f.name) for f in text)))
+        same = names == F.lit(sep.join(text.fieldNames()).lower())
+        other = F.raise_error(F.concat(F.lit("the header has other names than the schema: "), F.col(SOURCE)))
+        rows = rows.filter(F.when(F.col("first"), F.when(same, F.lit(False)).otherwise(other.cast("boolean")))
+                           .otherwise(F.lit(True)))
+    return rows.select("row.*", SOURCE)
+
+
 def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
                    schema: T.StructType | None = None, header: bool = True,
                    all_text: bool = False, keep_rejects: bool = False,
@@ -71,18 +91,22 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
     repartitions after the scan (use it for gzip input, which is one split
     per file).  ``flag`` names a column that says of every row whether it is good, and
     none is left out: rejects can then be counted on the way.  A quote inside a quoted field is doubled; ``multi_line`` reads
-    line breaks inside quotes, but such a file is one task."""
+    line breaks inside quotes: UTF-8 files in splits (``sources.quoted``), any other encoding one task a file."""
     if isinstance(paths, str):
         paths = [paths]
     if schema is None or all_text:
         names = schema.fieldNames() if schema is not None else list(header_of(spark, paths[0], sep))
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    df = (spark.read.schema(_with_corrupt(text)).option("header", header).option("sep", sep)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("encoding", encoding).option("enforceSchema", False)
-          .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-          .option("columnPruning", False).csv(paths))
+    source = F.input_file_name()
+    if multi_line and encoding.upper() in ("UTF-8", "UTF8"):
+        df, source = _parsed_records(read_records(spark, paths), text, sep, header), F.col(SOURCE)
+    else:
+        df = (spark.read.schema(_with_corrupt(text)).option("header", header).option("sep", sep)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("encoding", encoding).option("enforceSchema", False)
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+              .option("columnPruning", False).csv(paths))
     if partitions:
         df = df.repartition(partitions)
     typed, cast_ok = [], []
@@ -109,7 +133,7 @@ def read_delimited(spark: SparkSession, paths: str | list[str], sep: str = ",",
                .select(*[F.col(f"`{f.name}`") for f in schema.fields],
                        F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(F.col(f"`{f.name}`"), F.lit(""))
                                                                     for f in schema.fields])).alias("raw_line"),
-                       F.input_file_name().alias("source_file")))
+                       source.alias("source_file")))
     return good, rejects
 
 
