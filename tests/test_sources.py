@@ -200,7 +200,7 @@ def test_line_breaks_in_quotes_over_many_splits(spark, tmp):
             expected += [tuple(x or None for x in row) for row in list(csv.reader(f))[1:]]
     keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
-        for size in ("97", "4000", "100000000"):
+        for size in ("300", "9000", "100000000"):
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             spark.conf.set("spark.sql.files.openCostInBytes", "1")
             df = read_delimited(spark, f"{tmp}/q", multi_line=True, schema=schemas_text("k", "u", "v"))
@@ -235,3 +235,45 @@ def test_rejects_and_header_of_quoted_files(spark, tmp):
     assert good.count() == 2 and bad.count() == 2
     with pytest.raises(Exception, match="other names"):
         read_delimited(spark, f"{tmp}/r", multi_line=True, schema=schemas_text("k", "w")).collect()
+
+
+def _features(count):
+    import random
+    r = random.Random(5)
+    names = ["plain", 'a "quoted" } name', "back\\slash\\", "{open", "}{", "é漢 }", "", "[,]"]
+    out = []
+    for k in range(count):
+        ring = [[r.randint(0, 9), r.randint(0, 9)] for _ in range(r.choice([4, 4, 4, 200]))]
+        out.append({"type": "Feature", "properties": {"ZONE": str(k), "NOM": r.choice(names), "more": {"a": {"b": [{}, "}"]}}},
+                    "geometry": r.choice([None, {"type": "Polygon", "coordinates": [ring]}])})
+    return out
+
+
+def test_geojson_over_many_splits(spark, tmp):
+    """One-line, indented and empty collections with braces and quotes in names,
+    in splits smaller than a feature, against the plain parser."""
+    from pyspark.sql import types as T
+    from valora.sources.geojson import read_features
+    from valora.sources.json_split import read_objects
+    crs = {"type": "name", "properties": {"name": "urn:x"}, "geometry": {"type": "Polygon"}}
+    one, two = _features(120), _features(20)
+    _write(f"{tmp}/g/a.json", json.dumps({"type": "FeatureCollection", "na{me": "x}", "crs": crs, "features": one}))
+    _write(f"{tmp}/g/b.json", json.dumps({"features": two, "type": "FeatureCollection", "crs": crs}, indent=2, ensure_ascii=False) + "\n")
+    _write(f"{tmp}/g/c.json", '{"type": "FeatureCollection", "features": []}')
+    _write(f"{tmp}/l/a.json", json.dumps([{"n": f["properties"]} for f in one]) + "\n")
+    expected = sorted((f["properties"]["ZONE"], f["properties"]["NOM"], f["geometry"] and json.dumps(f["geometry"]["coordinates"]))
+                      for f in one + two)
+    fields = T.StructType([T.StructField("ZONE", T.StringType()), T.StructField("NOM", T.StringType())])
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("700", "9000", "100000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = read_features(spark, f"{tmp}/g", fields).collect()
+            assert sorted(((r.ZONE, r.NOM, r.geometry and json.dumps(json.loads(r.geometry.coordinates))) for r in got),
+                          key=repr) == sorted(expected, key=repr), size
+            listed = [json.loads(r.value) for r in read_objects(spark, f"{tmp}/l", 1).collect()]
+            assert sorted(map(repr, listed)) == sorted(repr({"n": f["properties"]}) for f in one), size
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

@@ -13,19 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valora.operators.spatial import geometry_is_valid
+from valora.sources.json_split import read_objects
 
 GEOMETRY = T.StructType([T.StructField("type", T.StringType()),
                          T.StructField("coordinates", T.StringType())])
 
 
 def read_features(spark: SparkSession, path: str, properties: T.StructType) -> DataFrame:
-    """One row per feature: the declared properties plus ``geometry``."""
+    """One row per feature: the declared properties plus ``geometry``.  The file
+    is read in splits; a feature that is no valid JSON has neither."""
     feature = T.StructType([T.StructField("properties", properties), T.StructField("geometry", GEOMETRY)])
-    fc = T.StructType([T.StructField("type", T.StringType()),
-                       T.StructField("features", T.ArrayType(feature))])
-    raw = spark.read.schema(fc).option("multiLine", True).json(path)
-    return raw.select(F.inline(F.coalesce(F.col("features"), F.array().cast(T.ArrayType(feature))))).select(
-        "properties.*", "geometry")
+    parsed = read_objects(spark, path, 2).select(F.from_json("value", feature).alias("feature"))
+    return parsed.select("feature.properties.*", "feature.geometry")
 
 
 # Fixed value: the attribute fields of a noise-zone feature.

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from valora.sources.json_split import read_objects
+
 # Fixed value: fields the station pages carry (the reference's API field choice).
 STATION_RECORD = T.StructType([
     T.StructField("code_uic", T.StringType()),
@@ -87,8 +89,13 @@ def stations_table(spark: SparkSession, path: str) -> DataFrame:
 def read_points(spark: SparkSession, path: str, schema: T.StructType = SCHOOL_RECORD, lon: str = "longitude",
                 lat: str = "latitude", multiline: bool = True) -> DataFrame:
     """A JSON list of records with coordinates -> rows with a point struct
-    (S10, X17).  Records without both coordinates keep a NULL point."""
-    df = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    (S10, X17).  Records without both coordinates keep a NULL point.  The list may
+    have any line breaks, or with ``multiline=False`` is one record a line;
+    either is read in splits."""
+    if multiline:
+        df = read_objects(spark, path, 1).select(F.from_json("value", schema).alias("record")).select("record.*")
+    else:
+        df = spark.read.schema(schema).json(path)
     pt = F.when(F.col(lon).isNotNull() & F.col(lat).isNotNull(),
                 F.struct(F.col(lon).cast("double").alias("lon"), F.col(lat).cast("double").alias("lat")))
     return df.withColumn("point", pt)
