@@ -34,7 +34,7 @@ from valora.operators.star import address_dimension, sale_facts, unique_addresse
 from valora.plans import market_build
 from valora.sinks import write_table
 from valora.sources.delimited import read_delimited, read_delimited_by_header, typed_field
-from valora.sources.geojson import noise_zones
+from valora.sources.geojson import ZONE_PROPERTIES, read_features, split_zones
 from valora.sources.json_pages import SCHOOL_RECORD, read_points, stations_table
 from valora.sources.reconcile import reconcile
 
@@ -130,7 +130,8 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         put("gares", stations_table(spark, landing.stations))
         stations = spark.read.parquet(written["gares"])
     if landing.zones:
-        attrs, geoms, rejected = noise_zones(spark, landing.zones)
+        # read once, as the sales are
+        attrs, geoms, rejected = split_zones(stable(read_features(spark, landing.zones, ZONE_PROPERTIES)))
         put("zones_rejected", rejected)
         put("zones", attrs)
         put("zones_geometry", geoms)
@@ -155,7 +156,7 @@ def run(spark: SparkSession, landing: Landing, out_dir: str, years=(2024, 2025))
         if "gares" in table:
             steps.append(lambda rich: market_build.with_stations(rich, table["gares"]))
         if landing.schools:
-            schools = read_points(spark, landing.schools, SCHOOL_RECORD)
+            schools = stable(read_points(spark, landing.schools, SCHOOL_RECORD))
             steps.append(lambda rich: market_build.with_schools(rich, schools, "identifiant"))
         if "dpe_final" in table:
             steps.append(lambda rich: market_build.with_audit(rich, table["dpe_final"]))

@@ -40,7 +40,11 @@ def noise_zones(spark: SparkSession, path: str, keep_null_geometry: bool = False
     with geometry (kept for the point-in-zone join) and a one-row count of
     rejected geometries.  A NULL geometry is kept or rejected per
     ``keep_null_geometry`` — the reference's two scripts disagree (Q9)."""
-    feats = read_features(spark, path, properties)
+    return split_zones(read_features(spark, path, properties), keep_null_geometry)
+
+
+def split_zones(feats: DataFrame, keep_null_geometry: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``noise_zones`` of features that are read already."""
     valid = geometry_is_valid(F.col("geometry"))
     keep = F.coalesce(valid, F.lit(keep_null_geometry))
     kept = feats.where(keep)
