@@ -48,3 +48,18 @@ def test_no_zones_no_points(spark):
     assert points_in_zones(P, E, ["id"], "x", "y").count() == 0
     one = spark.createDataFrame([("z", 0.0, 0.0, 1.0, 0.0), ("z", 1.0, 0.0, 0.0, 1.0), ("z", 0.0, 1.0, 0.0, 0.0)], E.schema)
     assert points_in_zones(P.where("id > 5"), one, ["id"], "x", "y").count() == 0
+
+
+def test_only_frequent_keys_are_broadcast(spark):
+    """Edges and cells are many rows in small files, so none of them is held by the driver."""
+    E = spark.createDataFrame([(z, *e) for z in range(40) for e in star(random.Random(z), 0.1 * z, 0.0, 2.0, 4 + 30 * (z % 2))],
+                              "zone int, x1 double, y1 double, x2 double, y2 double")
+    P = spark.range(200).selectExpr("id", "id * 0.03D - 3 AS x", "(id % 7) * 0.1D AS y")
+    out = points_in_zones(P.union(P), E, ["id"], "x", "y")
+    rows = out.collect()
+    lines = out._jdf.queryExecution().executedPlan().toString().split("\n")
+    deep = [len(line) - len(line.lstrip(" :+-|*()0123456789")) for line in lines]
+    for k in (k for k, line in enumerate(lines) if "BroadcastExchange" in line):
+        below = next((j for j in range(k + 1, len(lines)) if deep[j] <= deep[k]), len(lines))
+        assert any("approx_top_k" in line for line in lines[k:below]), "\n".join(lines[k:below])
+    assert len(rows) == 2 * len(set(rows)) > 0

@@ -30,11 +30,13 @@ def frequent_keys(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", null_safe: bool = False,
-              parts: int | None = None) -> DataFrame:
+              parts: int | None = None, merge: bool = False) -> DataFrame:
     """``left`` joined to ``right`` (``inner`` or ``left``) on ``keys``, the left
     side's frequent keys dealt to several tasks.  ``null_safe``: NULL keys meet NULL keys;
     otherwise rows with one meet nothing and are spread.  ``parts``: shares the left side
-    is seen as, the shuffle partitions by default."""
+    is seen as, the shuffle partitions by default.  ``merge``: neither side is broadcast, however
+    small the files it is read from (Spark goes by their compressed size, and coordinates and cells
+    compress so well that a table of a few MB may take a GB of the driver's memory)."""
     n = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = [f"__k{i}" for i in range(len(keys))]
     absent = F.lit(False) if null_safe else reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
@@ -49,6 +51,8 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     rkey = F.xxhash64(*[F.col(f"`{k}`").try_cast(kinds[k]) for k in keys])
     rk = (right.withColumn("__hash", rkey).join(hot, "__hash", "left")
           .withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__hash", "__parts"))
+    if merge:
+        rk = rk.hint("merge")
     if not null_safe:
         return lk.join(rk, [*keys, "__part"], how).drop("__part")
     rk = rk.withColumnsRenamed(dict(zip(keys, names))).withColumnRenamed("__part", "__rpart")

@@ -27,7 +27,7 @@ from valora.functions import haversine_m, sq_planar_distance
 from valora.functions.geo import EARTH_RADIUS_M
 from valora.operators.cells import descend, farthest_of_box, nearest_of_box, one_of_box, site_tree
 from valora.operators.ranking import stable
-from valora.operators.sizing import attach_one_row
+from valora.operators.sizing import attach_one_row, default_parallelism
 from valora.operators.skew import skew_join
 
 # Geometry types a zone file may carry and the JSON shape of
@@ -83,6 +83,8 @@ def edges_from_rings(rings: DataFrame, zone_col: str, ring_col: str) -> DataFram
 
 #: A zone's box is about so many cells wide or high, whichever is longer.
 ACROSS = 16
+#: Edges of a zone in a row of cells that its cells have with them.
+INLINE = 4
 
 
 def zone_cover(edges: DataFrame, zone_col: str = "zone") -> tuple[DataFrame, DataFrame]:
@@ -91,25 +93,30 @@ def zone_cover(edges: DataFrame, zone_col: str = "zone") -> tuple[DataFrame, Dat
     centre tells; the outside ones are left out, those with an edge have ``inside`` false.
 
     Cells are squares of 2**level units, their level by the size of the
-    zone's box: at most ``(ACROSS + 2)**2`` cells a zone, large or small."""
+    zone's box: at most ``(ACROSS + 2)**2`` cells a zone, large or small.  A zone's few numbers become
+    hundreds of rows, so zones are dealt out before, and no side of a join is broadcast by the size
+    Spark expects of it."""
+    parts = default_parallelism(edges)
     e = edges.select(F.col(zone_col).alias("zone"), "x1", "y1", "x2", "y2").where(
         reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in ("x1", "y1", "x2", "y2")]))
+    e = stable(e.repartition(parts))
     ends = lambda f, g, c: g(f(f"{c}1"), f(f"{c}2"))
     box = e.groupBy("zone").agg(ends(F.min, F.least, "x").alias("bx0"), ends(F.max, F.greatest, "x").alias("bx1"),
                                 ends(F.min, F.least, "y").alias("by0"), ends(F.max, F.greatest, "y").alias("by1"))
     extent = F.greatest(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0"))
     box = box.withColumn("level", F.when(extent > 0, F.ceil(F.log2(extent / ACROSS))).otherwise(-40).cast("int"))
+    box = stable(box.repartition(parts, "zone"))
     side = F.pow(F.lit(2.0), F.col("level"))
     at = lambda c: F.floor(c / side).cast("long")
     cells = (box.withColumn("cx", F.explode(F.sequence(at(F.col("bx0")), at(F.col("bx1")))))
              .withColumn("cy", F.explode(F.sequence(at(F.col("by0")), at(F.col("by1"))))).select("zone", "level", "cx", "cy"))
-    rows = e.join(box.select("zone", "level"), "zone").withColumn("cy", F.explode(F.sequence(
+    rows = e.join(box.select("zone", "level").hint("merge"), "zone").withColumn("cy", F.explode(F.sequence(
         at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))))
     rim = (rows.withColumn("cx", F.explode(F.sequence(at(F.least("x1", "x2")), at(F.greatest("x1", "x2")))))
            .select("zone", "cx", "cy").distinct().withColumn("rim", F.lit(True)))
     rows = rows.where(F.col("y1") != F.col("y2"))
-    cells = cells.join(rim, ["zone", "cx", "cy"], "left")
-    plain = cells.where(F.col("rim").isNull()).join(rows.drop("level"), ["zone", "cy"])
+    cells = cells.join(rim.hint("merge"), ["zone", "cx", "cy"], "left")
+    plain = cells.where(F.col("rim").isNull()).join(rows.drop("level").hint("merge"), ["zone", "cy"])
     middle = [(F.col(c) + 0.5) * side for c in ("cx", "cy")]
     inside = (plain.where(_crosses(*middle)).groupBy("zone", "level", "cx", "cy").agg(F.count(F.lit(1)).alias("k"))
               .where(F.col("k") % 2 == 1).select("zone", "level", "cx", "cy", F.lit(True).alias("inside")))
@@ -117,10 +124,10 @@ def zone_cover(edges: DataFrame, zone_col: str = "zone") -> tuple[DataFrame, Dat
     return inside.unionByName(on_rim), rows
 
 
-def _crosses(px: Column, py: Column) -> Column:
-    """Whether a ray from the point towards +x crosses the edge of the row."""
-    spans = (F.col("y1") > py) != (F.col("y2") > py)
-    return spans & (px < (F.col("x2") - F.col("x1")) * (py - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+def _crosses(px: Column, py: Column, of: str = "") -> Column:
+    """Whether a ray from the point towards +x crosses the edge in the columns x1 to y2, with ``of`` at the end of their names."""
+    x1, y1, x2, y2 = [F.col(f"{c}{of}") for c in ("x1", "y1", "x2", "y2")]
+    return ((y1 > py) != (y2 > py)) & (px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
 
 
 def points_in_zones(points: DataFrame, edges: DataFrame, id_cols: list[str], x: str, y: str) -> DataFrame:
@@ -129,25 +136,45 @@ def points_in_zones(points: DataFrame, edges: DataFrame, id_cols: list[str], x:
     Points meet the cells that cover the zones (``zone_cover``): in a cell that
     lies wholly inside a zone nothing more is looked at; in one with an edge
     the point's ray meets the zone's edges of the same row of cells, of which it crosses
-    an odd number if it is inside.  Every distinct location is
-    looked up once; cells and zones where very many locations lie are found by a sketch and spread.
-    Points without coordinates are in no zone."""
+    an odd number if it is inside.  Where such a row has at most ``INLINE`` edges, they are
+    there with the cell, so its points are decided where they meet it and no pair of a point and a
+    zone moves again.  In longer rows every distinct location is cast against the edges once.  Cells
+    and zones where very many points lie are found by a sketch and spread; nothing is broadcast by the
+    size of its file, which says little about its rows.  Points without coordinates are in no zone."""
     cover, rows = zone_cover(edges)
-    cover, rows = stable(cover), stable(rows)
+    rows = stable(rows)
+    ends = ["x1", "y1", "x2", "y2"]
+    short = (rows.groupBy("zone", "cy").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= INLINE)
+             .select("zone", "cy", F.lit(True).alias("short")))
+    rows = rows.join(short.hint("merge"), ["zone", "cy"], "left")
+    lists = rows.where("short").groupBy("zone", "cy").agg(F.collect_list(F.struct(*ends)).alias("edges"))
+    # as plain columns: an array's elements make the join's code too long to be compiled
+    beside = [f"{c}_{i}" for i in range(INLINE) for c in ends]
+    lists = lists.select("zone", "cy", F.lit(True).alias("short"), *[
+        F.get("edges", F.lit(i)).getField(c).alias(f"{c}_{i}") for i in range(INLINE) for c in ends])
+    cover = stable(cover.where("inside").unionByName(cover.where("NOT inside").join(lists.hint("merge"), ["zone", "cy"], "left"),
+                                                     allowMissingColumns=True))
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    loc = (points.select(px.alias("__px"), py.alias("__py"))
-           .where(F.col("__px").isNotNull() & F.col("__py").isNotNull() & ~F.isnan("__px") & ~F.isnan("__py")).distinct())
+    p = (points.select(*id_cols, px.alias("__px"), py.alias("__py"))
+         .where(F.col("__px").isNotNull() & F.col("__py").isNotNull() & ~F.isnan("__px") & ~F.isnan("__py")))
     levels = cover.agg(F.collect_set("level").alias("__levels"))  # one for each power of two among the zones' sizes
     side = F.pow(F.lit(2.0), F.col("level"))
-    loc = (attach_one_row(loc, levels).withColumn("level", F.explode("__levels")).drop("__levels")
-           .withColumns({c: F.floor(F.col(p) / side).cast("long") for c, p in (("cx", "__px"), ("cy", "__py"))}))
-    met = stable(skew_join(loc, cover, ["level", "cx", "cy"]).select("__px", "__py", "zone", "cy", "inside"))
-    cast = skew_join(met.where(~F.col("inside")).drop("inside"), rows.select("zone", "cy", "x1", "y1", "x2", "y2"), ["zone", "cy"])
+
+    def celled(loc: DataFrame) -> DataFrame:
+        return (attach_one_row(loc, levels).withColumn("level", F.explode("__levels")).drop("__levels")
+                .withColumns({c: F.floor(F.col(q) / side).cast("long") for c, q in (("cx", "__px"), ("cy", "__py"))}))
+
+    cell = ["level", "cx", "cy"]
+    crossed = reduce(lambda a, b: a + b, [F.when(_crosses(F.col("__px"), F.col("__py"), f"_{i}"), 1).otherwise(0)
+                                          for i in range(INLINE)])
+    here = skew_join(celled(p), cover.where("inside OR short").drop("short"), cell, merge=True)
+    here = here.where(F.col("inside") | (crossed % 2 == 1)).select(*id_cols, "zone")
+    long_cells = cover.where("NOT inside AND short IS NULL").drop("inside", "short", *beside)
+    met = stable(skew_join(celled(p.select("__px", "__py").distinct()), long_cells, cell, merge=True).select("__px", "__py", "zone", "cy"))
+    cast = skew_join(met, rows.where("short IS NULL").select("zone", "cy", *ends), ["zone", "cy"], merge=True)
     odd = (cast.where(_crosses(F.col("__px"), F.col("__py"))).groupBy("__px", "__py", "zone").agg(F.count(F.lit(1)).alias("__k"))
            .where(F.col("__k") % 2 == 1).drop("__k"))
-    found = met.where("inside").select("__px", "__py", "zone").unionByName(odd)
-    p = points.select(*id_cols, px.alias("__px"), py.alias("__py"))
-    return skew_join(p, found, ["__px", "__py"]).select(*id_cols, "zone")
+    return here.unionByName(skew_join(p, odd, ["__px", "__py"], merge=True).select(*id_cols, "zone"))
 
 
 def first_zone(points: DataFrame, inside: DataFrame, id_cols: list[str], zone_order: list[str],
