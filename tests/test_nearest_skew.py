@@ -152,3 +152,29 @@ def test_proximity_in_a_dense_town(spark, metric, itself):
             near.setdefault(r.id, []).append((r.d, r.pid))
     want |= {i: (len(v), min(v)[1], min(v)[0]) for i, v in near.items()}
     assert got == want
+
+
+def test_a_descent_is_cut_into_pieces(spark):
+    """Places are few rows before and many after, so their number of tasks is not left to their bytes."""
+    from valora.operators.cells import PIECES
+    from valora.operators.spatial import proximity
+
+    P = spark.range(500).selectExpr("id", "id * 0.7531D % 10 AS x", "id * 0.377D % 10 AS y")
+    out = proximity(P, P, ["id"], "id", "x", "y", "x", "y", 1.0, exclude_same_id=True)
+    plans = []
+
+    def plan(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stable(df)
+
+    import valora.operators.spatial as spatial
+    stable, spatial.stable = spatial.stable, plan
+    try:
+        again = proximity(P, P, ["id"], "id", "x", "y", "x", "y", 1.0, exclude_same_id=True)
+    finally:
+        spatial.stable = stable
+    n = int(spark.conf.get("spark.sql.shuffle.partitions")) * PIECES
+    above = plans[-1].split("REPARTITION_BY_NUM")[0]
+    assert "hashpartitioning(piece" in above and f", {n})" in above
+    assert "Exchange hashpartitioning(__x" not in above and "Exchange hashpartitioning(block" not in above
+    assert sorted(out.collect()) == sorted(again.collect())

@@ -24,6 +24,9 @@ from valora.operators.ranking import stable
 LEAF, DEPTH = 32, 13
 #: Nodes of so many upper levels are met by parts of a block's locations.
 UPPER = 3
+#: Pieces of locations per shuffle partition.  A location becomes many rows on its way down, which a task
+#: keeps sorted, so tasks are cut by what the locations will be, not by what they are.
+PIECES = 8
 
 
 def _plus(cols: list[Column]) -> Column:
@@ -97,11 +100,12 @@ def descend(places: DataFrame, nodes: DataFrame, own: list[str], at: list[str],
     ``carried`` columns start with the given values; at each level a row meets
     the nodes below its own, ``computed`` gives the columns' values from a node's (its sum of
     weights is ``kid_held``; other columns stay), and ``decide`` drops or changes rows.  Rows that are at a
-    ``leaf`` meet nothing and are only passed to ``decide``."""
+    ``leaf`` meet nothing and are only passed to ``decide``.  Windows over a place partition by ``piece`` too,
+    the whole number by which places are dealt out (Spark deals doubles anew for a window), and ``decide`` keeps it."""
     parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     depth = nodes.agg(F.max("level")).first()[0]
-    kept = list(dict.fromkeys(["block", *own, *at]))
-    now = places.withColumns({"node": root_of(len(at)), "leaf": F.lit(False), **carried})
+    kept = list(dict.fromkeys(["piece", "block", *own, *at]))
+    now = places.withColumn("piece", F.xxhash64("block", *own)).repartition(parts * PIECES, "piece").withColumns({"node": root_of(len(at)), "leaf": F.lit(False), **carried})
     box = [f"{name}{i}" for i in range(len(at)) for name in ("low", "high")]
     for level in range(-1, -1 if depth is None else depth):
         copies = parts if level < UPPER else 1

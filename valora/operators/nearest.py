@@ -28,7 +28,7 @@ def _located(x: str, y: str) -> Column:
 def _candidates(places: DataFrame, nodes: DataFrame) -> DataFrame:
     """The leaves that can hold a place's nearest site."""
     at = ["x", "y"]
-    known = F.min("upper").over(Window.partitionBy("block", *at))
+    known = F.min("upper").over(Window.partitionBy("piece", "block", *at))
     return descend(places, nodes, at, at, {"upper": F.lit(float("inf")), "lower": F.lit(0.0)},
                    {"upper": one_of_box(at, ["sx", "sy"]), "lower": nearest_of_box(at)},
                    lambda now: now.withColumn("known", known).where(F.col("lower") <= F.col("known")).drop("known")

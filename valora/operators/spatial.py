@@ -226,26 +226,20 @@ def proximity(points: DataFrame, pois: DataFrame, point_id: list[str], poi_id: s
     qloc = counts.join(first2, loc)
     ploc = (points.select(*bcols, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y"))
             .where(F.col("__x").isNotNull() & F.col("__y").isNotNull()).distinct())
-    j = _within(ploc, qloc, bcols, radius, metric, 2 if exclude_same_id else 1)
+    counted, near = _within(ploc, qloc, bcols, radius, metric, 2 if exclude_same_id else 1)
     ploc_key = [*bcols, "__x", "__y"]
-    # one aggregation: the count, and the nearest location with its two smallest
-    # ids; in self-join mode the point's own row may be the nearest, and the
-    # second best is the next id there or the next location, found by the
-    # smallest distance beyond it
-    first = F.struct(F.col("__d").alias("d"), F.col("__id1").alias("id"))
-    near = F.col("__d").isNotNull()
+    # the nearest location with its two smallest ids; in self-join mode the point's own row may be the
+    # nearest, and the second best is the next id there or the next location
     if not exclude_same_id:
-        res = j.groupBy(*ploc_key).agg(F.sum("__qn").alias("__n"), F.min(F.when(near, first)).alias("__c1"))
+        best = near.groupBy(*ploc_key).agg(F.min(F.struct(F.col("__d").alias("d"), F.col("__id1").alias("id"))).alias("__c1"))
     else:
-        cand = j.select(*ploc_key, F.explode(F.filter(F.array(
-            F.struct(F.col("__d").alias("d"), F.col("__id1").alias("id"), F.col("__qn").alias("n")),
-            F.struct(F.col("__d").alias("d"), F.col("__id2").alias("id"), F.lit(0).cast("long").alias("n"))),
-            lambda c: c["id"].isNotNull() | (c["n"] > 0))).alias("__c"))
-        w = Window.partitionBy(*ploc_key).orderBy(F.asc_nulls_last("__c.d"), "__c.id")
-        both = F.struct(F.col("__c.d").alias("d"), F.col("__c.id").alias("id"))
-        res = (cand.withColumn("__r", F.row_number().over(w)).groupBy(*ploc_key)
-               .agg(F.sum("__c.n").alias("__n"),
-                    *[F.min(F.when((F.col("__r") == k) & F.col("__c.d").isNotNull(), both)).alias(f"__c{k}") for k in (1, 2)]))
+        one, two = [F.struct(F.col("__d").alias("d"), F.col(i).alias("id")) for i in ("__id1", "__id2")]
+        cand = near.select(*ploc_key, F.explode(F.when(F.col("__id2").isNull(), F.array(one)).otherwise(F.array(one, two))).alias("__c"))
+        w = Window.partitionBy(*ploc_key).orderBy("__c")
+        best = (cand.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= 2).groupBy(*ploc_key)
+                .agg(*[F.min(F.when(F.col("__r") == k, F.col("__c"))).alias(f"__c{k}") for k in (1, 2)]))
+    # blocks are not null here, so an equality join is enough
+    res = counted.join(best.hint("merge"), ploc_key, "left")
 
     pts = points.withColumn("__x", F.col(x).cast("double")).withColumn("__y", F.col(y).cast("double"))
     out = skew_join(pts, res, ploc_key, "left")
@@ -275,13 +269,15 @@ def _axes(metric: str, lon: Column, lat: Column) -> list[Column]:
     return [F.cos(b) * F.cos(a), F.cos(b) * F.sin(a), F.sin(b)]
 
 
-def _within(places: DataFrame, sites: DataFrame, block: list[str], radius: float, metric: str, wanted: int) -> DataFrame:
-    """Rows of ``places`` with sites within ``radius``: each that can be among the ``wanted`` nearest
-    with its distance ``__d``, and rows without a distance for what is counted in whole cells (``__qn``).
+def _within(places: DataFrame, sites: DataFrame, block: list[str], radius: float, metric: str,
+            wanted: int) -> tuple[DataFrame, DataFrame]:
+    """``places`` with the weight ``__n`` of the sites within ``radius``, and with each site there that can be among the
+    ``wanted`` nearest, with its distance ``__d``.
 
     Cells wholly inside the radius are counted without looking at their sites, and
     entered only as long as they can hold one of the nearest; cells outside are dropped; those on
-    the rim are entered."""
+    the rim are entered.  Sites of the rim are counted by a sum of numbers, which Spark hashes; only those no farther
+    than the nearest known by the descent are compared as rows, which it sorts."""
     n = 3 if metric == "haversine" else 2
     straight = 2 * math.sin(min(radius / (2 * EARTH_RADIUS_M), math.pi / 2)) if metric == "haversine" else float(radius)
     reach = straight * straight
@@ -293,43 +289,47 @@ def _within(places: DataFrame, sites: DataFrame, block: list[str], radius: float
     places = places.where(present).withColumns({"block": key, **dict(zip(at, _axes(metric, F.col("__x"), F.col("__y"))))})
     nodes, leaves = site_tree(sites.drop(*block), axes, F.col("__qn"))
 
-    one = one_of_box(at, axes)
-    far = farthest_of_box(at)
-    computed = {"lower": nearest_of_box(at), "far": far, "held": F.col("kid_held"),
-                "uppers": F.array(one, F.when(F.col("kid_held") > 1, far).otherwise(F.lit(float("inf"))))}
+    one, far, endless = one_of_box(at, axes), farthest_of_box(at), F.lit(float("inf"))
+    # one site of a node is as near as ``first``, and where it holds several, the others as ``rest``
+    computed = {"lower": nearest_of_box(at), "far": far, "held": F.col("kid_held"), "first": one,
+                "rest": F.when(F.col("kid_held") > 1, far).otherwise(endless)}
     same = ["block", "__x", "__y"]
-    of = Window.partitionBy(*same)
+    of = Window.partitionBy("piece", *same)
     if wanted == 1:
-        known = F.min(F.try_element_at("uppers", F.lit(1))).over(of)
+        known = F.coalesce(F.min("first").over(of), endless)
     else:
-        known = F.try_element_at(F.sort_array(F.flatten(F.collect_list("uppers").over(of))), F.lit(wanted))
-    known = F.coalesce(known, F.lit(float("inf")))
+        known = F.least(F.coalesce(F.try_element_at(F.sort_array(F.collect_list("first").over(of)), F.lit(wanted)), endless),
+                        F.coalesce(F.min("rest").over(of), endless))
 
     def decide(now: DataFrame) -> DataFrame:
-        now = now.withColumn("known", known)
+        # what is beyond the radius is dropped before rows of a place are brought together
+        now = now.where(F.col("lower") <= reach + slack).withColumn("known", known)
         inside = F.col("counted") | (F.col("far") <= reach - slack)
         near = F.col("lower") <= F.col("known") + slack
-        on_rim = ~inside & (F.col("lower") <= reach + slack)
-        whole = F.struct(F.lit(True).alias("done"), F.lit(True).alias("counted"), F.col("held").alias("held"))
-        go_on = F.struct(F.lit(False).alias("done"), inside.alias("counted"), F.col("held").alias("held"))
+        whole = F.struct(F.lit(True).alias("done"), F.lit(True).alias("counted"))
+        go_on = F.struct(F.lit(False).alias("done"), inside.alias("counted"))
+        bound = lambda c: F.when(~F.col("next.done"), F.col(c)).alias(c)
         return (now.withColumn("next", F.explode(F.array_compact(F.array(
-            F.when(F.col("done") | (inside & ~F.col("counted")), whole), F.when(~F.col("done") & ((inside & near) | on_rim), go_on)))))
-            .select(*same, *at, "node", F.when(F.col("next.done"), True).otherwise(F.col("leaf")).alias("leaf"), "next.held", "lower", "far",
-                    F.when(F.col("next.done"), F.array().cast("array<double>")).otherwise(F.col("uppers")).alias("uppers"),
-                    "next.done", "next.counted"))
+            F.when(F.col("done") | (inside & ~F.col("counted")), whole), F.when(~F.col("done") & (near | ~inside), go_on)))))
+            .select("piece", *same, *at, "node", F.when(F.col("next.done"), True).otherwise(F.col("leaf")).alias("leaf"), "held", "lower", "far",
+                    bound("first"), bound("rest"), "known", "next.done", "next.counted"))
 
-    start = {"held": F.lit(0).cast("long"), "lower": F.lit(0.0), "far": F.lit(float("inf")),
-             "uppers": F.array().cast("array<double>"), "done": F.lit(False), "counted": F.lit(False)}
+    start = {"held": F.lit(0).cast("long"), "lower": F.lit(0.0), "far": endless, "first": F.lit(None).cast("double"),
+             "rest": F.lit(None).cast("double"), "known": endless, "done": F.lit(False), "counted": F.lit(False)}
     reached = stable(descend(places.select(*same, *at), nodes, ["__x", "__y"], at, start, computed, decide)
-                     .select(*same, "node", "held", "done", "counted"))
-    whole = reached.where("done").groupBy(*same).agg(F.sum("held").alias("__qn")).withColumn("counted", F.lit(False))
-    measured = skew_join(reached.where("NOT done").select(*same, "node", "counted"), leaves, ["block", "node"])
-    found = (measured.select(*same, "counted", "__qn", "__id1", "__id2", "__qx", "__qy")
-             .unionByName(whole, allowMissingColumns=True))
+                     .select(*same, "node", "held", "lower", "known", "done", "counted"))
     if metric == "haversine":
         d, most = haversine_m(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy")), float(radius)
     else:
         d, most = sq_planar_distance(F.col("__x"), F.col("__y"), F.col("__qx"), F.col("__qy")), reach
-    return (found.withColumn("__d", d).where(F.col("__d").isNull() | (F.col("__d") <= most))
-            .withColumn("__qn", F.when(F.col("counted"), F.lit(0)).otherwise(F.col("__qn")))
-            .select(*[F.col("block")[c].alias(c) for c in block], "__x", "__y", "__qn", "__id1", "__id2", "__d"))
+    of_block = [F.col("block")[c].alias(c) for c in block]
+    rim = skew_join(reached.where("NOT done AND NOT counted").select(*same, "node"),
+                    leaves.select("block", "node", "__qn", "__qx", "__qy"), ["block", "node"])
+    counted = (rim.where(d <= most).select(*same, "__qn")
+               .unionByName(reached.where("done").select(*same, F.col("held").alias("__qn")))
+               .groupBy(*same).agg(F.sum("__qn").alias("__n")).select(*of_block, "__x", "__y", "__n"))
+    close = skew_join(reached.where(~F.col("done") & (F.col("lower") <= F.col("known") + slack)).select(*same, "node", "known"),
+                      leaves.select("block", "node", "__id1", "__id2", "__qx", "__qy", *axes), ["block", "node"])
+    gap = reduce(lambda a, b: a + b, [(p - F.col(q)) * (p - F.col(q)) for p, q in zip(_axes(metric, F.col("__x"), F.col("__y")), axes)])
+    close = close.where(gap <= F.col("known") + slack).withColumn("__d", d).where(F.col("__d") <= most)
+    return counted, close.select(*of_block, "__x", "__y", "__id1", "__id2", "__d")
