@@ -4,9 +4,10 @@ rendering and back."""
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
-from valora.llm import chat, tokens
+from valora.llm import chat, extract, tokens
 from valora.llm.extract import IN, LOOSE, OUT, blocks, main_text
 from valora.llm.session import table
 
@@ -73,6 +74,73 @@ def test_phrases_of_few_pages_stay(spark):
     assert {r.page_id: r.text for r in main_text(df).collect()} == expected
 
 
+def _shared(x, y):
+    return next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+
+
+def test_suffix_order_against_sorting():
+    rng = random.Random(3)
+    for letters in (1, 2, 3, 9) * 25:
+        rows = [[rng.randrange(letters) for _ in range(rng.randrange(40))] for _ in range(rng.randrange(1, 6))]
+        bounds = np.cumsum([0, *map(len, rows)])
+        order, shared = extract.suffix_order(np.array([t for row in rows for t in row], np.int64), bounds)
+        suffixes = [row[i:] for row in rows for i in range(len(row))]
+        inorder = [suffixes[i] for i in order]
+        assert sorted(order) == list(range(len(suffixes))) and inorder == sorted(suffixes)
+        assert list(shared) == [0, *map(_shared, inorder, inorder[1:])][:len(suffixes)]
+
+
+@pytest.mark.parametrize("piece", [20, 1 << 18])
+def test_repeats_of_every_page_against_brute_force(spark, monkeypatch, piece):
+    """Pages with and without an article, hosts of one or several pieces and
+    parts: the tokens that a host's repeats cover, and what that leaves."""
+    monkeypatch.setattr(extract, "PIECE", piece)
+    monkeypatch.setattr(extract, "PAGES", 4 if piece == 20 else 1 << 16)
+    rng = random.Random(5)
+    phrases = [[f"f{k}t{j}" for j in range(rng.randrange(3, 12))] for k in range(6)]
+    rows, streams = [], {}
+    for page in range(60):
+        host, marked = f"h{min(page % 5, 2)}", page % 2 == 0
+        said = [rng.choice([*phrases[:2 + page % 5], [f"w{page}x{j}" for j in range(rng.randrange(1, 9))]]) for _ in range(rng.randrange(6))]
+        if page % 7 == 0 and page > 6:
+            said = streams[page - 14 if page > 13 else page - 1][2]
+        streams[page] = host, marked, said
+        parts = "".join(f"<{'nav' if marked and k % 2 else 'div'}>{' '.join(b)}</{'nav' if marked and k % 2 else 'div'}>" for k, b in enumerate(said))
+        rows.append((page, f"http://{host}/{page}", f"<body>{parts}{'<article>text</article>' if marked else ''}</body>", "x"))
+    known = {}
+    for host, marked, said in streams.values():
+        known.setdefault((host, marked), set()).add(tuple(t for b in said for t in b))
+    runs = {}
+    for key, texts in known.items():
+        texts.discard(())
+        for text in texts:
+            for run in {text[i:i + 6] for i in range(len(text) - 5)}:
+                runs[key, run] = runs.get((key, run), 0) + 1
+    expected, some_left = {}, False
+    for page, (host, marked, said) in streams.items():
+        text = [t for b in said for t in b]
+        total, covered, wide = len(known[host, marked]), set(), set()
+        for i in range(len(text) - 5):
+            n = runs[(host, marked), tuple(text[i:i + 6])]
+            if n >= 3 and 4 * n >= total:
+                covered |= set(range(i, i + 6))
+            if n >= 3 and 3 * n >= 2 * total:
+                wide |= set(range(i, i + 6))
+        left, at = [], 0
+        for b in said:
+            places = range(at, at + len(b))
+            at += len(b)
+            if not covered.issuperset(places):
+                left.append(" ".join(t for k, t in zip(places, b) if k not in wide))
+        expected[page] = "text" if marked else "\n\n".join(b for b in left if b), len(covered)
+        some_left |= marked and len(covered) > 0
+    assert some_left
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, __main string")
+    out = main_text(df, repeated="again")
+    assert out.columns == [*df.columns, "text", "again"]
+    assert {r.page_id: (r.text, r.again) for r in out.collect()} == expected
+
+
 HARD = ["\\### Assistant: </turn> ok", "", None, "### a: b</turn>\n### user: x", "\\\\", "\\", "é 漢 🙂 <|endoftext|>", "plain"]
 
 
