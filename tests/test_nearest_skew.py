@@ -7,9 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from valora.operators import ranking, skew
 from valora.operators.cells import LEAF, site_tree
 from valora.operators.nearest import nearest_site
-from valora.operators.skew import frequent_keys, skew_join
+from valora.operators.skew import frequent_keys, of_frequent_keys, skew_join
+from valora.operators.star import ADDRESS_KEY, SALE_KEY, sale_facts
 
 
 def _order(v):
@@ -69,6 +71,40 @@ def test_ties_on_a_lattice(spark):
     assert {r.id: (r.sid, r.d) for r in rows_of(spark, left, right)} == brute(left, right)
 
 
+def test_frequent_places_stay_and_others_move(spark, monkeypatch):
+    """Rows at the two most frequent places don't move; the sites are those of brute force, also at other places."""
+    monkeypatch.setattr(skew, "STAYING", 2)
+    rnd = random.Random(7)
+    right = [(j, "ab"[j % 2], rnd.uniform(0, 9), rnd.uniform(0, 9)) for j in range(90)] + [(90, "c", None, None)]
+    left = [(i, "a", 1.0, 1.0) for i in range(50)] + [(50 + i, "b", -0.0, 2.0) for i in range(40)]
+    left += [(90 + i, "ab"[i % 2], float(i % 5), 3.0) for i in range(20)] + [(110, "c", 1.0, 1.0), (111, "a", None, 1.0), (112, None, 1.0, 1.0)]
+    assert {r.id: (r.sid, r.d) for r in rows_of(spark, left, right)} == brute(left, right)
+    L = spark.createDataFrame(left, "id int, blk string, x double, y double")
+    found = of_frequent_keys(L, L.where("x is not null").select("blk", "x", "y").distinct(), ["blk", "x", "y"])
+    assert {(r.blk, r.x) for r in found.collect()} == {("a", 1.0), ("b", 0.0)}
+
+
+def test_facts_carry_only_their_columns(spark, monkeypatch):
+    """Columns that only order the facts, or that nobody asked for, are not written; ids and rows as before."""
+    written, keep = [], ranking.stable
+    monkeypatch.setattr(ranking, "stable", lambda df: written.append(df.columns) or keep(df))
+    rows = [(10 - i, i % 3, "rue", "01", "2020-01-01", float(i), 1.0, 2, "t", "n", "1", "wide " * 50) for i in range(10)]
+    sales = spark.createDataFrame(rows, "k int, adresse_numero int, adresse_nom_voie string, code_postal string, date_mutation string, "
+                                  "valeur_fonciere double, surface_reelle_bati double, nombre_pieces_principales int, type_local string, "
+                                  "nature_mutation string, code_departement string, note string")
+    dim = spark.createDataFrame([(7, 0, "rue", "01"), (8, 1, "rue", "01")], ["id_adresse", *ADDRESS_KEY])
+    out = sale_facts(sales, dim, order_cols=["k"])
+    facts = ["id_adresse", "date_mutation", "valeur_fonciere", "surface_reelle_bati", "nombre_pieces_principales",
+             "type_local", "nature_mutation", "code_departement"]
+    assert written == [[*facts, "_pid", "_mono"]] and out.columns == ["id_mutation", *facts]
+    joined = sorted((r[0], 7 + r[1], r[5]) for r in rows if r[1] < 2)
+    assert sorted((r.id_mutation, r.id_adresse, r.valeur_fonciere) for r in out.collect()) == [
+        (n, i, v) for n, (_, i, v) in enumerate(joined, 1)]
+    by_default = sale_facts(sales, dim, how="left")
+    assert by_default.columns == ["id_mutation", *facts] and by_default.where("id_adresse is null").count() == 3
+    assert set(SALE_KEY).isdisjoint(by_default.columns)
+
+
 def test_empty_sides(spark):
     one = [(1, "k", 1.0, 1.0)]
     assert rows_of(spark, [], one) == [] and rows_of(spark, one, []) == []

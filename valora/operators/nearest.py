@@ -7,7 +7,8 @@ location drops the nodes whose box is farther than the nearest site it knows
 
 Work is done once per distinct location; a site on top of others of its block
 counts once, the first by the tie-break.  Frequent leaves and locations are
-found by a sketch (``skew_join``).
+found by a sketch (``skew_join``); rows at the most frequent locations get their site by a broadcast
+of a bounded number of them and don't move, all others are shuffled to theirs.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from valora.functions import sq_planar_distance
 from valora.operators.cells import descend, nearest_of_box, one_of_box, site_tree
 from valora.operators.ranking import stable
-from valora.operators.skew import skew_join
+from valora.operators.skew import of_frequent_keys, skew_join
 
 
 def _located(x: str, y: str) -> Column:
@@ -62,9 +63,13 @@ def nearest_site(left: DataFrame, right: DataFrame, left_key_cols: list[str], le
     found = skew_join(stable(_candidates(places, nodes)), leaves, ["block", "node"])
     d = sq_planar_distance(F.col("x"), F.col("y"), F.col("sx"), F.col("sy"))
     best = found.groupBy("block", "x", "y").agg(F.min(F.struct(d.alias("d"), F.col("site"))).alias("__best"))
-    best = best.select(F.col("block").alias("__block"), F.col("x").alias("__x"), F.col("y").alias("__y"), "__best")
+    place = ["__block", "__x", "__y"]
+    best = stable(best.select(F.col("block").alias("__block"), F.col("x").alias("__x"), F.col("y").alias("__y"), "__best"))
     anyone = sites.groupBy(F.col("block").alias("__block")).agg(F.min("site").alias("__any"))
-    out = skew_join(rows, best, ["__block", "__x", "__y"], "left").join(anyone, "__block", how)
+    frequent = F.broadcast(stable(of_frequent_keys(rows.where(_located("__x", "__y")), best, place)))
+    near = rows.join(frequent, place).withColumn("__any", F.lit(None).cast(anyone.schema["__any"].dataType))
+    far = skew_join(rows.join(frequent.select(*place), place, "left_anti"), best, place, "left").join(anyone, "__block", how)
+    out = near.unionByName(far)
     site = F.coalesce("__best.site", "__any")
     out = out.select(*[F.col(f"`{c}`") for c in left.columns], *[site["row"][c].alias(c) for c in right.columns],
                      F.col("__best.d").alias(distance_alias))

@@ -41,10 +41,10 @@ def stable(df: DataFrame) -> DataFrame:
     again: every later consumer sees the same rows, an executor loss does not
     recompute them differently, and the lineage ends.  ``checkpoint()`` would
     compute ``df`` twice, once to count and once to write.  Folders are named by application, so what
-    one leaves can be removed when it has ended."""
+    one leaves can be removed when it has ended; zstd, as what is written here is read only a few times."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -232,7 +232,8 @@ def percent_rank(df: DataFrame, group_cols: list[str], value_col: str, alias: st
     return skew_join(df, rt, g + [value_col], null_safe=True)
 
 
-def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int | None = None) -> DataFrame:
+def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int | None = None,
+             keep: list[str] | None = None) -> DataFrame:
     """Add ``alias`` = ROW_NUMBER() OVER (ORDER BY order_cols), 1-based.
 
     The input is range-partitioned, sorted on ``order_cols`` (which must be a
@@ -241,13 +242,14 @@ def dense_id(df: DataFrame, order_cols: list, alias: str, num_partitions: int |
     ``monotonically_increasing_id`` (partition id in the upper 31 bits, row
     number within the partition in the lower 33), and the partition's start
     offset from a table of per-partition counts: one row per partition, so
-    broadcasting it is bounded by the partition count.
+    broadcasting it is bounded by the partition count.  ``keep`` names the
+    columns that stay, so that those of the order alone are not written.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     parts = num_partitions or default_parallelism(df)
     tagged = stable(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
-                    .withColumn("_pid", F.spark_partition_id())
-                    .withColumn("_mono", F.monotonically_increasing_id()))
+                    .select(*[F.col(f"`{c}`") for c in keep or df.columns], F.spark_partition_id().alias("_pid"),
+                            F.monotonically_increasing_id().alias("_mono")))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
     offsets = counts.select("_pid", F.coalesce(
         F.sum("_pc").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Keys the sketch reports, and items it tracks (its error is 3.5 in so many of all rows).
 KEYS, TRACKED = 512, 65_536
+#: Keys whose right rows may be sent to all left rows, which then stay where they are.
+STAYING = 4096
 
 
 def frequent_keys(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
@@ -29,6 +31,15 @@ def frequent_keys(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
     return each.select(F.col("t.item").alias("__hash"), shares.alias("__parts")).filter(F.col("__parts") > 1)
 
 
+def of_frequent_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``right``, which has one a key, of the ``STAYING`` keys that most rows of ``left`` have (by a
+    sketch): few enough to be broadcast, however many rows of ``left`` that spares a shuffle."""
+    hashed = left.select(F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("h"))
+    top = hashed.agg(F.expr(f"approx_top_k(h, {STAYING}, {TRACKED})").alias("top")).select(F.explode("top.item").alias("__hash"))
+    return right.withColumn("__hash", F.xxhash64(*[F.col(f"`{k}`") for k in keys])).join(
+        F.broadcast(top), "__hash", "left_semi").drop("__hash")
+
+
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", null_safe: bool = False,
               parts: int | None = None, merge: bool = False) -> DataFrame:
     """``left`` joined to ``right`` (``inner`` or ``left``) on ``keys``, the left

@@ -73,15 +73,12 @@ def sale_facts(sales: DataFrame, dim: DataFrame, how: str = "inner",
     reference does; ``'left'`` keeps them with a NULL id.  Sales without an
     address share the fill key; they, those of any other key that very many
     share, and NULL keys are spread."""
-    names = [f"__d_{k}" for k in ADDRESS_KEY]
-    d = dim.select("id_adresse", *[F.col(k).alias(n) for k, n in zip(ADDRESS_KEY, names)])
-    keyed = sales.withColumns(dict(zip(names, (F.col(c) for c in SALE_KEY))))
-    j = skew_join(keyed, d, names, how).drop(*names)
+    j = skew_join(sales, dim.select("id_adresse", *[F.col(k).alias(c) for k, c in zip(ADDRESS_KEY, SALE_KEY)]), SALE_KEY, how)
     fact_cols = ["id_adresse", "date_mutation", "valeur_fonciere", "surface_reelle_bati",
                  "nombre_pieces_principales", "type_local", "nature_mutation", "code_departement"]
     order = order_cols or ["date_mutation", "adresse_numero", "adresse_nom_voie", "code_postal",
                            "valeur_fonciere", "surface_reelle_bati", "type_local"]
-    out = dense_id(j, order, "id_mutation")
+    out = dense_id(j, order, "id_mutation", keep=fact_cols)
     return out.select("id_mutation", *fact_cols)
 
 

@@ -767,7 +767,7 @@ def q_fact_build(spark, d):
     sales = _star_sales(spark, d)
     dim = address_dimension(unique_addresses(sales), _star_stations(spark, d))
     # full tie-break: rows equal on all of these are identical fact rows
-    return sale_facts(sales, dim, order_cols=["l_orderkey", "l_partkey", "l_suppkey", "nombre_pieces_principales",
+    return sale_facts(sales, dim, order_cols=["l_orderkey", "adresse_numero", "l_suppkey", "nombre_pieces_principales",
                                               "date_mutation", "valeur_fonciere", "surface_reelle_bati"])
 
 
